@@ -22,6 +22,14 @@ EVENT_RUN = (
 )
 
 
+def linear_quantile(value: str, probability: float) -> str:
+    """SQL for a quantile with linear interpolation, in the order of operations of a data frame library."""
+    values, rank = f"list_sort(list(CAST({value} AS DOUBLE)))", f"({probability}::DOUBLE * (count({value}) - 1))"
+    low = f"{values}[CAST(floor({rank}) AS BIGINT) + 1]"
+    high = f"{values}[CAST(ceil({rank}) AS BIGINT) + 1]"
+    return f"({low} + ({high} - {low}) * ({rank} - floor({rank})))"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

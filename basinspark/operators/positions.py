@@ -2,7 +2,7 @@
 
 A window that is partitioned by a group key sorts the whole group in one task. Here the rows are range-partitioned by
 (group, order) instead, so that a large group is spread over many tasks; only the sizes of the slices, one row per
-group and sort partition, are added up across tasks. The sorted rows are checkpointed, because slice sizes and rows
+group and sort partition, are added up across tasks. The sorted rows are written first, because slice sizes and rows
 must come from the same partition boundaries even when a task is run again.
 """
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basinspark.operators.groups import SMALL_GROUP, split_groups, stacked
 from basinspark.operators.positions import running_counts, value_counts_in_order
 
 _SERIES = "_series"
@@ -15,43 +16,81 @@ _VALUE = "_value"
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], probabilities: Mapping[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    probabilities: Mapping[str, float],
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Quantiles with linear interpolation of several columns per group.
 
     ``probabilities`` maps a label to a probability; the result has the columns ``<column>_<label>``. NULL and NaN are
-    left out, as are rows with a NULL key. Only the slices that hold a wanted rank are sorted for running counts.
+    left out, as are rows with a NULL key. Groups of up to ``small_group`` rows are sorted as arrays; larger groups are
+    ranked across tasks.
     """
-    long = (
-        df.na.drop(subset=list(keys))
-        .select(*keys, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-        .unpivot(list(keys), [f"`{c}`" for c in columns], _SERIES, _VALUE)
-        .where(F.col(_VALUE).isNotNull() & ~F.isnan(_VALUE))
+    numbers = df.na.drop(subset=list(keys)).select(*keys, *[_number(column).alias(column) for column in columns])
+    small, large = split_groups(numbers, keys, small_group)
+    parts = [
+        None if small is None else _by_sorted_arrays(small, keys, columns, probabilities),
+        None if large is None else _by_ranks(large, keys, columns, probabilities),
+    ]
+    return stacked(parts)
+
+
+def _number(column: str) -> Column:
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _interpolated(low: Column, high: Column, rank: Column) -> Column:
+    return low + (high - low) * (rank - F.floor(rank))
+
+
+def _by_sorted_arrays(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], probabilities: Mapping[str, float]
+) -> DataFrame:
+    arrays = df.groupBy(*keys).agg(*[F.sort_array(F.collect_list(F.col(f"`{c}`"))).alias(c) for c in columns])
+
+    def quantile(column: str, probability: float) -> Column:
+        values = F.col(f"`{column}`")
+        rank = F.lit(float(probability)) * (F.size(values) - 1)
+        low, high = F.get(values, F.floor(rank).cast("int")), F.get(values, F.ceil(rank).cast("int"))
+        return _interpolated(low, high, rank)
+
+    return arrays.select(
+        *keys, *[quantile(c, p).alias(f"{c}_{label}") for c in columns for label, p in probabilities.items()]
     )
+
+
+def _by_ranks(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], probabilities: Mapping[str, float]
+) -> DataFrame:
+    """Only the slices that hold a wanted rank are sorted for running counts."""
+    long = df.unpivot(list(keys), [f"`{c}`" for c in columns], _SERIES, _VALUE).where(F.col(_VALUE).isNotNull())
     group = [*keys, _SERIES]
     placed, slices = value_counts_in_order(long, group, _VALUE)
 
     ranks = {label: F.lit(float(p)) * (F.col("total") - 1) for label, p in probabilities.items()}
 
-    def holds(rank, start, size):
+    def holds(rank: Column, start: Column, size: Column) -> Column:
         return (rank >= start) & (rank < start + size)
 
-    wanted = [test(rank) for rank in ranks.values() for test in (F.floor, F.ceil)]
+    wanted = [nearest(rank) for rank in ranks.values() for nearest in (F.floor, F.ceil)]
     hit = reduce(lambda a, b: a | b, [holds(rank, F.col("start"), F.col("size")) for rank in wanted])
     rows = running_counts(placed, slices.where(hit), group, _VALUE)
 
-    picks = {}
-    for label, rank in ranks.items():
-        for side, nearest in (("low", F.floor(rank)), ("high", F.ceil(rank))):
-            at = holds(nearest, F.col("before"), F.col("n"))
-            picks[f"_{label}_{side}"] = F.max(F.when(at, F.col(_VALUE)))
+    picks = {
+        f"_{label}_{side}": F.max(F.when(holds(nearest(rank), F.col("before"), F.col("n")), F.col(_VALUE)))
+        for label, rank in ranks.items()
+        for side, nearest in (("low", F.floor), ("high", F.ceil))
+    }
     picked = rows.groupBy(*group).agg(
         F.max("total").alias("total"), *[expression.alias(name) for name, expression in picks.items()]
     )
-    for label, rank in ranks.items():
-        low, high = F.col(f"_{label}_low"), F.col(f"_{label}_high")
-        picked = picked.withColumn(f"_{label}", low + (high - low) * (rank - F.floor(rank)))
-    return picked.groupBy(*keys).agg(
+    quantiles = picked.withColumns(
+        {f"_{label}": _interpolated(F.col(f"_{label}_low"), F.col(f"_{label}_high"), r) for label, r in ranks.items()}
+    )
+    return quantiles.groupBy(*keys).agg(
         *[
             F.max(F.when(F.col(_SERIES) == column, F.col(f"_{label}"))).alias(f"{column}_{label}")
             for column in columns

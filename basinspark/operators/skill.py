@@ -17,6 +17,7 @@ from basinspark.functions.calendar import (
 )
 from basinspark.functions.numbers import rounded
 from basinspark.operators.ensemble import ensemble_mean
+from basinspark.operators.groups import SMALL_GROUP, split_groups, stacked
 from basinspark.operators.positions import running_counts, value_counts_in_order
 from basinspark.operators.quantiles import exact_quantiles
 from basinspark.operators.records import null_sentinel
@@ -175,30 +176,45 @@ def skill_groups(
     return skill(grouped_pairs(wide, by, pairs, groups), [*by, "group"], scaling=scaling, digits=digits)
 
 
-def crps(df: DataFrame, keys: Sequence[str], member: str, obs: str) -> DataFrame:
+def crps(
+    df: DataFrame, keys: Sequence[str], member: str, obs: str, small_group: int = SMALL_GROUP
+) -> DataFrame:
     """Ensemble CRPS per observation: mean distance to the observation minus half the mean distance of members.
 
     ``keys`` name an observation and ``obs`` repeats its value on each member row. The distance among members comes
-    from ranks, so no pairs are formed, and the ranks are counted across tasks, so an observation may have any number
-    of members. With one member the score is the absolute error.
+    from ranks, so no pairs are formed. Up to ``small_group`` members are sorted as an array; more are ranked across
+    tasks. With one member the score is the absolute error.
     """
     members = df.where(F.col(member).isNotNull() & F.col(obs).isNotNull()).select(
         *keys, F.col(member).cast("double").alias("_x"), F.col(obs).cast("double").alias("_y")
     )
-    distance = members.groupBy(*keys).agg(
-        F.avg(F.abs(F.col("_x") - F.col("_y"))).alias("_distance"), F.count(F.lit(1)).alias("n_members")
-    )
-    ranks = running_counts(*value_counts_in_order(members.select(*keys, "_x"), keys, "_x"), keys, "_x")
-    # Σ(2i − m − 1) over a run of equal values that follows ``before`` smaller ones.
-    weight = F.col("n") * (2 * F.col("before") + F.col("n") - F.col("total"))
-    spread = ranks.groupBy(*keys).agg(F.sum(F.col("_x") * weight).alias("_sum"))
-    return distance.join(spread, list(keys)).select(
+    small, large = split_groups(members, keys, small_group)
+    parts = []
+    if small is not None:
+        # A member at index i of the sorted array has the weight 2(i + 1) − m − 1.
+        terms = F.transform("_sorted", lambda x, i: x * (2 * i + 1 - F.col("n_members")))
+        parts.append(
+            small.groupBy(*keys)
+            .agg(*_distance(), F.sort_array(F.collect_list("_x")).alias("_sorted"))
+            .withColumn("_sum", F.aggregate(terms, F.lit(0.0), lambda total, term: total + term))
+        )
+    if large is not None:
+        ranks = running_counts(*value_counts_in_order(large.select(*keys, "_x"), keys, "_x"), keys, "_x")
+        # The same weights summed over a run of n equal values that follows ``before`` smaller ones.
+        weight = F.col("n") * (2 * F.col("before") + F.col("n") - F.col("total"))
+        sums = ranks.groupBy(*keys).agg(F.sum(F.col("_x") * weight).alias("_sum"))
+        parts.append(large.groupBy(*keys).agg(*_distance()).join(sums, list(keys)))
+    return stacked([part.select(*keys, "n_members", "_distance", "_sum") for part in parts]).select(
         *keys,
         "n_members",
         (F.col("_distance") - F.col("_sum") / F.pow(F.col("n_members").cast("double"), 2)).alias("crps"),
     )
 
 
+def _distance() -> list[Column]:
+    return [F.avg(F.abs(F.col("_x") - F.col("_y"))).alias("_distance"), F.count(F.lit(1)).alias("n_members")]
+
+
 def predictor_medians(
     wide: DataFrame, keys: Sequence[str], columns: Sequence[str], observations: DataFrame
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basinspark.operators.groups import SMALL_GROUP, split_groups, stacked
 from basinspark.operators.positions import with_position
 
 
@@ -17,34 +18,52 @@ def lag_lead(
     columns: Sequence[str],
     lag: int = 0,
     lead: int = 0,
-    chunk: int = 100_000,
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Values of the rows before and after in the same series, as ``<column>_mo-<k>`` and ``<column>_mo<k>``.
 
     Shifts count rows, not months. Rows with any missing value are dropped; with ``lag = lead = 0`` that is all that
-    happens. A long series is cut into chunks of rows, each with the neighbouring rows its shifts need, so that no
-    window group exceeds ``chunk + lag + lead`` rows.
+    happens. A series of more than ``small_group`` rows is cut into chunks of that size, each with the neighbouring
+    rows its shifts need, so that no window group is larger than a chunk and its neighbours.
     """
     if lag == 0 and lead == 0:
         return df.na.drop("any")
-    placed = with_position(df, [*series, *order], "_at")
-    at = F.col("_at")
-    spread = placed.withColumn(
-        "_chunk", F.explode(F.sequence(F.floor((at - lead) / chunk), F.floor((at + lag) / chunk)))
-    )
-    window = Window.partitionBy(*series, "_chunk").orderBy("_at")
+    small, large = split_groups(df, series, small_group)
+    parts = [
+        None if small is None else _shifted(small, [*series], order, columns, lag, lead),
+        None if large is None else _shifted_in_chunks(large, series, order, columns, lag, lead, small_group),
+    ]
+    return stacked(parts).na.drop("any")
+
+
+def _shifted(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], columns: Sequence[str], lag: int, lead: int
+) -> DataFrame:
+    window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*order)
     shifted = {}
     for column in columns:
         for k in range(1, lag + 1):
-            shifted[f"{column}_mo-{k}"] = F.lag(column, k).over(window)
+            shifted[f"{column}_mo-{k}"] = F.lag(f"`{column}`", k).over(window)
         for k in range(1, lead + 1):
-            shifted[f"{column}_mo{k}"] = F.lead(column, k).over(window)
-    return (
-        spread.withColumns(shifted)
-        .where(F.col("_chunk") == F.floor(at / chunk))
-        .drop("_at", "_chunk")
-        .na.drop("any")
+            shifted[f"{column}_mo{k}"] = F.lead(f"`{column}`", k).over(window)
+    return df.withColumns(shifted)
+
+
+def _shifted_in_chunks(
+    df: DataFrame,
+    series: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str],
+    lag: int,
+    lead: int,
+    chunk: int,
+) -> DataFrame:
+    at = F.col("_at")
+    spread = with_position(df, [*series, *order], "_at").withColumn(
+        "_chunk", F.explode(F.sequence(F.floor((at - lead) / chunk), F.floor((at + lag) / chunk)))
     )
+    shifted = _shifted(spread, [*series, "_chunk"], ["_at"], columns, lag, lead)
+    return shifted.where(F.col("_chunk") == F.floor(at / chunk)).drop("_at", "_chunk")
 
 
 def lag_lead_by_month(

@@ -47,15 +47,20 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
 
 
 def persisted(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint, so that later jobs see one fixed set of rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Cut the lineage of ``df`` with a table in the shared folder, so that later jobs see one fixed set of rows.
+
+    A written table computes its rows once and keeps column pruning and size statistics, which an RDD checkpoint does
+    not. The folder goes with the checkpoint folder of the session.
+    """
+    path = fresh_folder(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def size_checked(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """A join side that is broadcast if it has at most ``rows`` rows, and joined by a shuffle otherwise.
 
-    The side is checkpointed first, so that counting does not compute it a second time.
+    The side is written first, so that counting does not compute it a second time.
     """
     side = persisted(df)
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
