@@ -40,9 +40,14 @@ def run_table_from_grid(
             "lon_i",
             F.inline(
                 F.array(
-                    F.struct(F.lit("precipitation").alias("component"), F.col("p").alias("value")),
-                    F.struct(F.lit("air_temperature"), F.col("t")),
-                    F.struct(F.lit("evaporation"), evaporation_rate("t", "le")),
+                    *[
+                        F.struct(F.lit(component).alias("component"), quantity.alias("value"))
+                        for component, quantity in (
+                            ("precipitation", F.col("p")),
+                            ("air_temperature", F.col("t")),
+                            ("evaporation", evaporation_rate("t", "le")),
+                        )
+                    ]
                 )
             ),
         )
