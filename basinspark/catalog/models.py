@@ -1 +1,160 @@
-"""Queries."""
+"""Queries on feature tables and regression models."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basinspark.catalog import query
+from basinspark.catalog.inputs import LINE_CENTS, LINE_MONTH, ORDER_CENTS, ORDER_MONTH, line_months, order_months
+from basinspark.functions.calendar import month_start
+from basinspark.functions.numbers import mean
+from basinspark.operators import features, models
+from basinspark.operators.shape import to_wide
+from basinspark.operators.windows import lag_lead
+
+TRAIN, TEST = ("1995-01-01", "1998-12-31"), ("1999-01-01", "2001-12-31")
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_months(spark, folder).select(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        F.col("l_shipdate").cast("date").alias("day"),
+        F.col("l_quantity").alias("x"),
+        (F.col("l_discount") * 100).alias("d"),
+        (F.col("l_tax") * 100).alias("t"),
+        (F.col("l_extendedprice") / 1000).alias("y"),
+    )
+
+
+def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return features.date_split(df, "day", TRAIN, TEST)
+
+
+@query(
+    """
+    WITH m AS (SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sx, avg(l_linenumber) AS ml,
+                      stddev_pop(l_linenumber) AS sl FROM lineitem WHERE l_shipdate <= '1998-12-31')
+    SELECT l_orderkey, l_partkey, l_linenumber, round((l_quantity - mx) / sx, 6) AS x_scaled,
+           round((l_linenumber - ml) / sl, 6) AS l_linenumber_scaled, 0.0::DOUBLE AS constant_scaled,
+           l_quantity AS x
+    FROM lineitem, m
+    """
+)
+def standardised_features(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines scaled by the moments of the training period, and scaled back."""
+    lines = _lines(spark, folder).withColumn("constant", F.lit(7.0))
+    columns = ["x", "l_linenumber", "constant"]
+    scaler = features.fit_scaler(_parts(lines)[0], columns)
+    scaled = scaler.scale(lines, suffix="_scaled")
+    back = scaler.unscale(scaler.scale(lines, ["x"]), ["x"]).select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.round("x", 6).alias("x"), "constant"
+    )
+    again = scaler.scale(back, suffix="_scaled")
+    assert again.columns == [*back.columns, *[f"{c}_scaled" for c in columns]] and scaled.columns
+    return again.select(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        "x",
+        *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in columns],
+    )
+
+
+@query(
+    f"""
+    WITH x AS (
+        SELECT {LINE_MONTH}, CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'A') AS DOUBLE) / count(*) FILTER (l_returnflag = 'A') AS a,
+               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'N') AS DOUBLE) / count(*) FILTER (l_returnflag = 'N') AS n
+        FROM lineitem WHERE l_shipdate < '2001-07-01' AND l_returnflag <> 'R' GROUP BY ALL
+    ), lagged AS (
+        SELECT *, lag(a) OVER (ORDER BY year, month) AS "a_mo-1", lag(n) OVER (ORDER BY year, month) AS "n_mo-1" FROM x
+    ), y AS (SELECT {ORDER_MONTH}, CAST(sum({ORDER_CENTS}) AS DOUBLE) / count(*) AS target FROM orders GROUP BY ALL)
+    SELECT year, month, a, n, "a_mo-1", "n_mo-1", target, make_date(year, month, 1) AS month_start,
+           CASE WHEN year <= 1998 THEN 'train' ELSE 'test' END AS part
+    FROM lagged JOIN y USING (year, month) WHERE "a_mo-1" IS NOT NULL AND "n_mo-1" IS NOT NULL
+    """
+)
+def features_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide features with lags, targets of the same months, and the split by date."""
+    lines = line_months(spark, folder).where("l_shipdate < '2001-07-01'")
+    wide = to_wide(
+        lines.withColumn("name", F.lower("l_returnflag")), ["year", "month"], "name", ["a", "n"], "cents"
+    )
+    targets = order_months(spark, folder).groupBy("year", "month").agg(mean("cents").alias("target"))
+    table = features.training_table(lag_lead(wide, [], ["year", "month"], ["a", "n"], lag=1), targets)
+    parts = features.date_split(table, "month_start", TRAIN, TEST)
+    return parts[0].withColumn("part", F.lit("train")).unionByName(parts[1].withColumn("part", F.lit("test")))
+
+
+@query(
+    """
+    WITH lines AS (SELECT l_quantity AS x, l_extendedprice / 1000 AS y, l_shipdate <= '1998-12-31' AS train FROM lineitem),
+    fit AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i, avg(y) AS my, stddev_pop(y) AS sy FROM lines WHERE train),
+    test AS (SELECT (y - my) / sy AS zy, (s * x + i - my) / sy AS zp FROM lines, fit WHERE NOT train),
+    scores AS (SELECT avg((zy - zp) * (zy - zp)) AS mse, 1 - avg((zy - zp) * (zy - zp)) / var_pop(zy) AS r2 FROM test)
+    SELECT unnest(['y', 'mean']) AS target, round(mse, 6) AS mse, round(r2, 6) AS r2 FROM scores
+    """
+)
+def linear_fit_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Least squares on standardised lines of the training period, judged on the hold-out period."""
+    train, test = _parts(_lines(spark, folder))
+    scaler = features.fit_scaler(train, ["x", "y"])
+    fitted = models.fit_linear(models.assemble(scaler.scale(train), ["x"]), ["y"])
+    inputs = models.assemble(scaler.scale(test), ["x"]).withColumnRenamed("y", "observed")
+    scores = models.holdout_scores(fitted.predict(inputs), {"observed": "y"})
+    return scores.select(
+        F.when(F.col("target") == "observed", "y").otherwise(F.col("target")).alias("target"),
+        F.round("mse", 6).alias("mse"),
+        F.round("r2", 6).alias("r2"),
+    )
+
+
+@query()
+def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _parts(_lines(spark, folder))
+    fitted = models.fit_forest(models.assemble(train, ["x", "d", "t"]), ["y"], trees=20)
+    scored = fitted.predict(models.assemble(test.drop("y"), ["x", "d", "t"]))
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", "y")
+
+
+@query()
+def kernel_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _parts(_lines(spark, folder))
+    scaler = features.fit_scaler(train, ["x", "d", "t", "y"])
+    inputs = ["x", "d", "t"]
+    kernel = models.KernelFeatures(n_inputs=len(inputs), n_features=64)
+    fitted = models.fit_kernel(models.assemble(scaler.scale(train), inputs), ["y"], kernel)
+    scored = fitted.predict(models.assemble(scaler.scale(test.drop("y"), inputs), inputs))
+    return scaler.unscale(scored, ["y"]).select("l_orderkey", "l_partkey", "l_linenumber", "y")
+
+
+@query()
+def ensemble_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Kernel, forest and linear model on the same scaled inputs, stacked in the units of the target."""
+    train, test = _parts(_lines(spark, folder))
+    names = ["x", "d", "t"]
+    ensemble = models.fit_ensemble(
+        train,
+        names,
+        ["y"],
+        features.fit_scaler(train, names),
+        features.fit_scaler(train, ["y"]),
+        kernel=models.KernelFeatures(n_inputs=len(names), n_features=32),
+        trees=10,
+    )
+    return ensemble.predict_all(test.drop("y"), ["l_orderkey", "l_partkey", "l_linenumber"])
+
+
+@query(
+    f"""
+    SELECT {ORDER_MONTH}, make_date(year(o_orderdate), month(o_orderdate), 1) AS month_start,
+           CAST(sum({ORDER_CENTS}) AS DOUBLE) / count(*) AS target
+    FROM orders GROUP BY ALL
+    """
+)
+def monthly_targets(spark: SparkSession, folder: str) -> DataFrame:
+    targets = order_months(spark, folder).groupBy("year", "month").agg(mean("cents").alias("target"))
+    return targets.withColumn("month_start", month_start("year", "month"))
