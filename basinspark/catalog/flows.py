@@ -17,6 +17,7 @@ from basinspark.operators.shape import to_wide
 from basinspark.plans.forecast import ensemble_rows, forecast, published, published_by_lead
 from basinspark.plans.training import train
 from basinspark.plans.verification import verify
+from basinspark.session import persisted
 from basinspark.schemas import (
     FEATURE_LAKES,
     FEATURES,
@@ -190,12 +191,10 @@ def training_flow(spark: SparkSession, folder: str) -> DataFrame:
 def forecast_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Run table → cut-off → features → a linear model of all targets → published forecast."""
     runs = _run_table(spark, folder)
-    table = training_table(
-        feature_matrix(runs).join(_targets(spark, folder).select("year", "month"), ["year", "month"], "left_semi"),
-        _targets(spark, folder),
-    ).cache()
+    targets = _targets(spark, folder)
+    matched = feature_matrix(runs).join(targets.select("year", "month"), ["year", "month"], "left_semi")
+    table = persisted(training_table(matched, targets))
     ensemble = models.Ensemble(FEATURES, TARGETS, fit_scaler(table, FEATURES), fit_scaler(table, TARGETS))
     scaled = ensemble.y_scaler.scale(ensemble.scaled_inputs(table))
     ensemble.models["LR"] = models.fit_linear(scaled, TARGETS)
-    table.unpersist()
     return forecast(runs, ensemble, AS_OF).published

@@ -55,10 +55,13 @@ def valid_month(start: Column | str, lead: Column | str) -> Column:
 
 
 def month_one_hot(df: DataFrame, month: str, prefix: str = "month") -> DataFrame:
-    """Twelve 0/1 columns, always all of them, whatever months occur."""
-    return df.withColumns(
-        {f"{prefix}_{number}": (F.col(month) == number).cast("int") for number in range(1, 13)}
-    )
+    """Twelve 0/1 columns, always all of them, whatever months occur.
+
+    The columns come from one generated row. As twelve column expressions over the month they would make the optimizer
+    derive constraints for every subset of them when the table is later joined on the month.
+    """
+    flags = [(F.col(month) == number).cast("int").alias(f"{prefix}_{number}") for number in range(1, 13)]
+    return df.select("*", F.inline(F.array(F.struct(*flags))))
 
 
 def run_date(run: Column | str) -> Column:

@@ -139,9 +139,11 @@ class Ensemble:
         """Predictions of one model in the units of the targets; an unknown model name is an error."""
         if model not in self.models:
             raise ValueError(f"Unknown model '{model}'; known are {sorted(self.models)}.")
-        inputs = self.scaled_inputs(df).select(*keep, _X)
+        inputs = self.scaled_inputs(df).select(*[F.col(f"`{name}`") for name in keep], _X)
         scored = self.models[model].predict(inputs)
-        return self.y_scaler.unscale(scored, self.targets).select(*keep, *[F.col(f"`{t}`") for t in self.targets])
+        return self.y_scaler.unscale(scored, self.targets).select(
+            *[F.col(f"`{name}`") for name in [*keep, *self.targets]]
+        )
 
     def predict_all(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Predictions of every model, one below the other, with the column ``model``."""

@@ -10,6 +10,7 @@ from basinspark.operators.ensemble import union_models
 from basinspark.operators.features import date_split, fit_scaler, training_table
 from basinspark.operators.models import Ensemble, KernelFeatures, fit_ensemble, holdout_scores
 from basinspark.operators.windows import lag_lead
+from basinspark.session import persisted
 
 # Training and hold-out periods.
 TRAIN_PERIOD = ("1979-01-01", "2004-12-01")
@@ -32,18 +33,20 @@ def train(
     Both tables are keyed by ``year, month``. The result is the ensemble and one row of MSE and R² per model and
     target.
     """
-    table = training_table(
-        lag_lead(features, [], ["year", "month"], list(feature_names)),
-        lag_lead(targets, [], ["year", "month"], list(target_names)),
+    # Written once, as scalers, models and scores read it again and again.
+    table = persisted(
+        training_table(
+            lag_lead(features, [], ["year", "month"], list(feature_names)),
+            lag_lead(targets, [], ["year", "month"], list(target_names)),
+        )
     )
     train_rows, test_rows = date_split(table, "month_start", train_period, test_period)
     x_scaler, y_scaler = fit_scaler(train_rows, feature_names), fit_scaler(train_rows, target_names)
     ensemble = fit_ensemble(train_rows, feature_names, target_names, x_scaler, y_scaler, kernel, trees, seed)
-    keys = ["year", "month"]
-    observed = y_scaler.scale(test_rows, target_names).select(*keys, *[f"`{t}`" for t in target_names])
+    observed = {target: f"{target}_obs" for target in target_names}
+    inputs = y_scaler.scale(test_rows, target_names).withColumnsRenamed(observed)
     scores = {}
     for name in ensemble.models:
-        predicted = y_scaler.scale(ensemble.predict(test_rows, name, keys), target_names)
-        renamed = predicted.withColumnsRenamed({t: f"{t}_pred" for t in target_names})
-        scores[name] = holdout_scores(observed.join(renamed, keys), {t: f"{t}_pred" for t in target_names})
+        predicted = y_scaler.scale(ensemble.predict(inputs, name, list(observed.values())), target_names)
+        scores[name] = holdout_scores(predicted, {observed[target]: target for target in target_names})
     return ensemble, union_models(scores)
