@@ -1,25 +1,23 @@
 """Regression models on feature tables: fit, score as an ensemble, judge on a hold-out, save and load.
 
-Fits run in Spark ML. The kernel model approximates kernel regression by random Fourier features and ridge regression,
-which needs one pass over the rows and no matrix of all row pairs.
+The linear and the kernel model are least-squares fits, for which the sums of products of all features and targets are
+enough: one pass over the rows gives them for every target at once, and only this small matrix reaches the driver. The
+kernel model approximates kernel regression by random Fourier features, so no matrix of all row pairs is formed.
+Forests are fitted by Spark ML, one per target.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import (
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +25,6 @@ from basinspark.operators.ensemble import union_models
 from basinspark.operators.features import Scaler
 
 _X = "_features"
-_Z = "_kernel_features"
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = _X) -> DataFrame:
@@ -60,63 +57,121 @@ class KernelFeatures:
         phases = source.uniform(0, 2 * np.pi, self.n_features)
         return t3 / self.matern_length + normal / self.quadratic_length, phases
 
-    def add_to(self, df: DataFrame, vector: str = _X, out: str = _Z) -> DataFrame:
+    def waves(self, x: np.ndarray) -> np.ndarray:
+        """Features of a batch of rows."""
         frequencies, phases = self.draws()
-        scale = np.sqrt(2 / self.n_features)
+        return np.sqrt(2 / self.n_features) * np.cos(x @ frequencies + phases)
+
+
+@dataclass
+class LinearFit:
+    """Intercepts and coefficients of several targets, over the features or over their kernel features."""
+
+    targets: list[str]
+    intercepts: np.ndarray
+    coefficients: np.ndarray  # one row per feature, one column per target
+    kernel: KernelFeatures | None = None
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Add one column per target to a table with an assembled feature vector."""
+        if self.kernel is None:
+            inputs = df.withColumn("_x", vector_to_array(_X))
+            outputs = {
+                target: F.aggregate(
+                    F.zip_with("_x", F.lit(self.coefficients[:, i].tolist()), lambda x, c: x * c),
+                    F.lit(float(self.intercepts[i])),
+                    lambda total, term: total + term,
+                )
+                for i, target in enumerate(self.targets)
+            }
+            return inputs.withColumns(outputs).drop("_x")
+        kernel, coefficients, intercepts = self.kernel, self.coefficients, self.intercepts
 
         @F.pandas_udf("array<double>")
-        def waves(inputs: pd.Series) -> pd.Series:
-            x = np.stack(inputs.to_numpy()) if len(inputs) else np.empty((0, frequencies.shape[0]))
-            return pd.Series(list(scale * np.cos(x @ frequencies + phases)))
+        def outputs_of(batch: pd.Series) -> pd.Series:
+            if batch.empty:
+                return pd.Series([], dtype=object)
+            return pd.Series(list(kernel.waves(np.stack(batch.to_numpy())) @ coefficients + intercepts))
 
-        return df.withColumn(out, array_to_vector(waves(vector_to_array(F.col(vector)))))
+        scored = df.withColumn("_outputs", outputs_of(vector_to_array(F.col(_X))))
+        return scored.withColumns({t: F.get("_outputs", i) for i, t in enumerate(self.targets)}).drop("_outputs")
 
 
 @dataclass
-class FittedModel:
-    """One Spark ML model per target, with the kernel features it needs if any."""
+class ForestFit:
+    """One random forest per target."""
 
-    targets: dict[str, LinearRegressionModel | RandomForestRegressionModel]
-    kernel: KernelFeatures | None = None
+    models: dict[str, RandomForestRegressionModel]
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add one column per target to a table with an assembled feature vector."""
-        scored = df if self.kernel is None else self.kernel.add_to(df)
-        for target, model in self.targets.items():
+        scored = df
+        for target, model in self.models.items():
             scored = model.setPredictionCol(target).transform(scored)
-        return scored.drop(_Z) if self.kernel else scored
+        return scored
 
 
-def _fit_each(df: DataFrame, targets: Sequence[str], estimator) -> dict:
-    return {
-        target: estimator.copy({estimator.labelCol: target}).fit(df.where(F.col(f"`{target}`").isNotNull()))
-        for target in targets
-    }
+def _products(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures | None) -> np.ndarray:
+    """Sums of products of (1, features, targets) over all rows with complete targets.
 
+    Each task adds up its own rows, and the sums of the tasks are added by matrix row.
+    """
+    inputs = df.na.drop(subset=list(targets)).select(
+        vector_to_array(F.col(_X)).alias("x"), F.array(*[F.col(f"`{t}`").cast("double") for t in targets]).alias("y")
+    )
 
-def fit_linear(df: DataFrame, targets: Sequence[str]) -> FittedModel:
-    """Ordinary least squares per target, by the normal equations."""
-    return FittedModel(_fit_each(df, targets, LinearRegression(featuresCol=_X, solver="normal")))
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            x, y = np.stack(batch["x"].to_numpy()), np.stack(batch["y"].to_numpy())
+            rows = np.hstack([np.ones((len(x), 1)), x if kernel is None else kernel.waves(x), y])
+            total = rows.T @ rows if total is None else total + rows.T @ rows
+        if total is not None:
+            yield pd.DataFrame({"line": np.arange(len(total)), "products": list(total)})
+
+    sums = (
+        inputs.mapInPandas(partial, "line long, products array<double>")
+        .groupBy("line")
+        .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("products")))).alias("products"))
+    )
+    # As many rows and columns as the model has features and targets.
+    lines = {row["line"]: row["products"] for row in sums.collect()}
+    if not lines:
+        raise ValueError("There are no rows with complete targets.")
+    return np.array([lines[i] for i in range(len(lines))])
 
 
-def fit_forest(df: DataFrame, targets: Sequence[str], trees: int = 100, seed: int = 42, depth: int = 5) -> FittedModel:
-    """Random forest per target."""
-    forest = RandomForestRegressor(featuresCol=_X, numTrees=trees, seed=seed, maxDepth=depth)
-    return FittedModel(_fit_each(df, targets, forest))
+def fit_linear(df: DataFrame, targets: Sequence[str]) -> LinearFit:
+    """Ordinary least squares of all targets in one pass.
 
+    Dependent features, such as all twelve month indicators, get the coefficients of least size.
+    """
+    sums, k = _products(df, targets, None), len(targets)
+    means = sums[0] / sums[0, 0]
+    centred = sums - sums[0, 0] * np.outer(means, means)
+    x, y = slice(1, len(sums) - k), slice(len(sums) - k, len(sums))
+    coefficients = np.linalg.pinv(centred[x, x], rcond=1e-12, hermitian=True) @ centred[x, y]
+    return LinearFit(list(targets), means[y] - means[x] @ coefficients, coefficients)
 
-def fit_kernel(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures, noise: float = 0.1) -> FittedModel:
+
+def fit_kernel(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures, noise: float = 0.1) -> LinearFit:
     """Kernel ridge regression on random features; targets must be standardised, noise is added to the diagonal."""
-    featured = kernel.add_to(df)
-    ridge = LinearRegression(
-        featuresCol=_Z,
-        solver="normal",
-        regParam=noise / df.count(),
-        elasticNetParam=0.0,
-        fitIntercept=False,
-        standardization=False,
+    sums, k = _products(df, targets, kernel), len(targets)
+    x, y = slice(1, len(sums) - k), slice(len(sums) - k, len(sums))
+    coefficients = np.linalg.solve(sums[x, x] + noise * np.eye(kernel.n_features), sums[x, y])
+    return LinearFit(list(targets), np.zeros(k), coefficients, kernel)
+
+
+def fit_forest(df: DataFrame, targets: Sequence[str], trees: int = 100, seed: int = 42, depth: int = 5) -> ForestFit:
+    """Random forest per target."""
+    forest = RandomForestRegressor(featuresCol=_X, numTrees=trees, seed=seed, maxDepth=depth)
+    return ForestFit(
+        {
+            target: forest.copy({forest.labelCol: target}).fit(df.where(F.col(f"`{target}`").isNotNull()))
+            for target in targets
+        }
     )
-    return FittedModel(_fit_each(featured, targets, ridge), kernel)
 
 
 @dataclass
@@ -127,7 +182,7 @@ class Ensemble:
     targets: list[str]
     x_scaler: Scaler
     y_scaler: Scaler
-    models: dict[str, FittedModel] = field(default_factory=dict)
+    models: dict[str, LinearFit | ForestFit] = field(default_factory=dict)
 
     def scaled_inputs(self, df: DataFrame) -> DataFrame:
         """Standardised feature vector of each row; the input columns are kept."""
@@ -205,25 +260,37 @@ def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
     ensemble.y_scaler.write(spark, f"{path}/y_scaler")
     about = {"features": ensemble.features, "targets": ensemble.targets, "models": {}}
     for name, fitted in ensemble.models.items():
-        kind = "forest" if isinstance(next(iter(fitted.targets.values())), RandomForestRegressionModel) else "linear"
-        about["models"][name] = {"kind": kind, "kernel": vars(fitted.kernel) if fitted.kernel else None}
-        for number, target in enumerate(ensemble.targets):
-            fitted.targets[target].write().save(f"{path}/models/{name}/{number}")
+        if isinstance(fitted, ForestFit):
+            about["models"][name] = {"kind": "forest"}
+            for number, target in enumerate(ensemble.targets):
+                fitted.models[target].write().save(f"{path}/models/{name}/{number}")
+        else:
+            about["models"][name] = {"kind": "linear", "kernel": vars(fitted.kernel) if fitted.kernel else None}
+            rows = [
+                (target, float(fitted.intercepts[i]), fitted.coefficients[:, i].tolist())
+                for i, target in enumerate(fitted.targets)
+            ]
+            table = spark.createDataFrame(rows, "target string, intercept double, coefficients array<double>")
+            table.coalesce(1).write.parquet(f"{path}/models/{name}")
     spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/about")
 
 
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     about = json.loads(spark.read.text(f"{path}/about").first()["value"])
-    loaders = {"forest": RandomForestRegressionModel, "linear": LinearRegressionModel}
+    targets = about["targets"]
     models = {}
     for name, entry in about["models"].items():
-        load = loaders[entry["kind"]].load
-        targets = {t: load(f"{path}/models/{name}/{number}") for number, t in enumerate(about["targets"])}
-        models[name] = FittedModel(targets, KernelFeatures(**entry["kernel"]) if entry["kernel"] else None)
+        if entry["kind"] == "forest":
+            loaded = [RandomForestRegressionModel.load(f"{path}/models/{name}/{i}") for i in range(len(targets))]
+            models[name] = ForestFit(dict(zip(targets, loaded, strict=True)))
+        else:
+            rows = {row["target"]: row for row in spark.read.parquet(f"{path}/models/{name}").collect()}  # per target
+            models[name] = LinearFit(
+                targets,
+                np.array([rows[t]["intercept"] for t in targets]),
+                np.array([rows[t]["coefficients"] for t in targets]).T,
+                KernelFeatures(**entry["kernel"]) if entry["kernel"] else None,
+            )
     return Ensemble(
-        about["features"],
-        about["targets"],
-        Scaler.read(spark, f"{path}/x_scaler"),
-        Scaler.read(spark, f"{path}/y_scaler"),
-        models,
+        about["features"], targets, Scaler.read(spark, f"{path}/x_scaler"), Scaler.read(spark, f"{path}/y_scaler"), models
     )
