@@ -148,7 +148,7 @@ _SQL_PUBLISHED = f"""
 def published_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of coming months → both units → grand mean, tagged with the first month."""
     coming = forecast_cutoff(_predictions(spark, folder), AS_OF)
-    table = published(ensemble_rows(coming, TARGETS), digits=None)
+    table = published(ensemble_rows(coming, TARGETS).where("`value [mm]` IS NOT NULL"), digits=None)
     return table.withColumns({name: F.round(f"`{name}`", 6) for name in ("value [mm]", "value [cms]")})
 
 

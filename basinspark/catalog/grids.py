@@ -94,8 +94,9 @@ def bbox_crop(spark: SparkSession, folder: str) -> DataFrame:
 _WEIGHTED_SQL = f"""
     WITH cells AS (SELECT DISTINCT {_CELLS} FROM lineitem), mask AS ({_MASK}), fields AS ({_FIELDS})
     SELECT year, month, variable, zone,
-           round(sum(value * weight * {_AREA}) * (4 * {_DAYS} / 1e5) / sum(weight * {_AREA}), 6) AS value
-    FROM fields JOIN mask USING (lat_i, lon_i) WHERE weight <> 0 AND value IS NOT NULL
+           round(sum(value * weight * {_AREA}) * (4 * {_DAYS} / 1e5)
+                 / sum(weight * {_AREA}) FILTER (value IS NOT NULL), 6) AS value
+    FROM fields JOIN mask USING (lat_i, lon_i) WHERE weight <> 0
     GROUP BY year, month, variable, zone
 """
 

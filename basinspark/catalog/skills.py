@@ -143,7 +143,7 @@ def _crps_sql(keys: str, source: str) -> str:
                    count(*) OVER (PARTITION BY {keys}) AS m FROM members
         )
         SELECT {keys}, count(*) AS n_members,
-               round(avg(abs(x - y)) - sum(x * (2 * i - m - 1)) / (count(*) * count(*)), {DIGITS}) AS crps
+               round(avg(abs(x - y)) - sum(x * (2 * i - m - 1)) / (count(*) * count(*)), 9) AS crps
         FROM ranked GROUP BY {keys}
     """
 
@@ -151,7 +151,7 @@ def _crps_sql(keys: str, source: str) -> str:
 @query(_crps_sql("run", f"SELECT {EVENT_RUN} AS run, value AS x, ({EVENT_RUN} % 97)::DOUBLE AS y FROM events"))
 def crps_members(spark: SparkSession, folder: str) -> DataFrame:
     members = event_runs(spark, folder).withColumn("observed", (F.col("run") % 97).cast("double"))
-    return skill.crps(members, ["run"], "value", "observed").withColumn("crps", F.round("crps", DIGITS))
+    return skill.crps(members, ["run"], "value", "observed").withColumn("crps", F.round("crps", 9))
 
 
 @query(_crps_sql("event_type", "SELECT event_type, value AS x, length(event_type)::DOUBLE AS y FROM events"))
@@ -159,7 +159,7 @@ def crps_large_ensembles(spark: SparkSession, folder: str) -> DataFrame:
     """Few observations with very many members each, ranked across tasks."""
     members = table(spark, folder, "events").withColumn("observed", F.length("event_type").cast("double"))
     scores = skill.crps(members, ["event_type"], "value", "observed", small_group=1000)
-    return scores.withColumn("crps", F.round("crps", DIGITS))
+    return scores.withColumn("crps", F.round("crps", 9))
 
 
 @query("SELECT event_id, 1::BIGINT AS n_members, abs(value - 25) AS crps FROM events")
