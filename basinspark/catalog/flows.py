@@ -141,7 +141,7 @@ _SQL_PUBLISHED = f"""
     f"""
     {_SQL_PUBLISHED}
     SELECT CAST(2001 AS INTEGER) AS current_year, CAST(3 AS INTEGER) AS current_month, forecast_year, forecast_month,
-           lake, component, round(mm, 6) AS "value [mm]", round(cms, 6) AS "value [cms]"
+           lake, component, round(mm, 9) AS "value [mm]", round(cms, 6) AS "value [cms]"
     FROM means
     """
 )
@@ -149,7 +149,9 @@ def published_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of coming months → both units → grand mean, tagged with the first month."""
     coming = forecast_cutoff(_predictions(spark, folder), AS_OF)
     table = published(ensemble_rows(coming, TARGETS).where("`value [mm]` IS NOT NULL"), digits=None)
-    return table.withColumns({name: F.round(f"`{name}`", 6) for name in ("value [mm]", "value [cms]")})
+    return table.withColumns(
+        {"value [mm]": F.round("`value [mm]`", 9), "value [cms]": F.round("`value [cms]`", 6)}
+    )
 
 
 @query(

@@ -13,6 +13,7 @@ from basinspark.functions.calendar import month_index
 from basinspark.functions.numbers import mean, rounded
 from basinspark.operators.quantiles import exact_quantiles
 from basinspark.operators.shape import to_wide
+from basinspark.session import size_checked
 
 
 def forecast_cutoff(
@@ -95,14 +96,14 @@ def lead_table(
 ) -> DataFrame:
     """One column per forecast month in calendar order: ``month_1``, ``month_2``, …; repeated cells are averaged.
 
-    Months are ranked on the table of distinct months, which the calendar bounds, and so it can be broadcast. Without ``horizon`` their number is
-    counted first, so no month is left out.
+    Months are ranked on the table of distinct months, which the calendar bounds. Without ``horizon`` they are counted
+    first, so no month is left out; a given horizon fixes the columns.
     """
     months = df.select(year, month).distinct()
+    ranked = size_checked(months.withColumn("_lead", F.dense_rank().over(Window.orderBy(year, month))))
     if horizon is None:
-        horizon = months.count()
-    ranked = months.withColumn("_lead", F.dense_rank().over(Window.orderBy(year, month)))
-    leads = df.join(F.broadcast(ranked), [year, month])
+        horizon = ranked.count()
+    leads = df.join(ranked, [year, month])
     return to_wide(leads, index, "_lead", list(range(1, horizon + 1)), value, prefix=prefix)
 
 

@@ -18,14 +18,14 @@ def crop(
 ) -> DataFrame:
     """Cells inside the extent of the mask, ends included, widened by a margin.
 
-    One cell of margin keeps the neighbours that :func:`regrid` needs at the edge. The bounds are scalar subqueries.
+    One cell of margin keeps the neighbours that :func:`regrid` needs at the edge. The bounds are scalar subqueries
+    with the margin inside, so that the scan can compare each column with one value and skip row groups.
     """
-    low_lat, high_lat = mask.agg(F.min(lat)).scalar(), mask.agg(F.max(lat)).scalar()
-    low_lon, high_lon = mask.agg(F.min(lon)).scalar(), mask.agg(F.max(lon)).scalar()
-    return grid.where(
-        F.col(lat).between(low_lat - F.lit(pad_lat), high_lat + F.lit(pad_lat))
-        & F.col(lon).between(low_lon - F.lit(pad_lon), high_lon + F.lit(pad_lon))
-    )
+    chosen = F.lit(True)
+    for column, pad in ((lat, pad_lat), (lon, pad_lon)):
+        low, high = mask.agg(F.min(column) - pad).scalar(), mask.agg(F.max(column) + pad).scalar()
+        chosen = chosen & F.col(column).between(low, high)
+    return grid.where(chosen)
 
 
 def bilinear_weights(

@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 
 from basinspark.operators.positions import with_position
 from basinspark.operators.shape import to_wide
+from basinspark.session import size_checked
 
 
 def attach_observed(
     forecasts: DataFrame, observations: Sequence[DataFrame], keys: Sequence[str], complete: bool = False
 ) -> DataFrame:
-    """Left-join observation tables to forecasts; ``complete`` keeps only rows without missing values."""
+    """Left-join observation tables to forecasts; ``complete`` keeps only rows without missing values.
+
+    Observations of monthly series are few, so the forecasts, whose months may be very unequal, are not shuffled.
+    """
     joined = forecasts
     for observed in observations:
-        joined = joined.join(observed, list(keys), "left")
+        joined = joined.join(size_checked(observed), list(keys), "left")
     return joined.na.drop("any") if complete else joined
 
 
@@ -47,7 +51,7 @@ def aligned_columns(frames: Mapping[str, tuple[DataFrame, str]], keys: Sequence[
 
 def strict_align(features: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Targets for each feature key. A feature key without a target raises an error when its row is read."""
-    marked = targets.withColumn("_found", F.lit(True))
+    marked = size_checked(targets.withColumn("_found", F.lit(True)))
     joined = features.join(marked, list(keys), "left")
     complaint = F.concat_ws(" ", F.lit("No target for"), *[F.col(key).cast("string") for key in keys])
     return joined.where(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basinspark.functions.names import composite, name_part, recoded
 from basinspark.functions.numbers import mean
+from basinspark.session import size_checked
 
 
 def add_composite(df: DataFrame, columns: Sequence[str], out: str, sep: str = "_") -> DataFrame:
@@ -29,7 +30,8 @@ def recode(df: DataFrame, column: str, table: Mapping[str, str] | DataFrame, unk
     if isinstance(table, Mapping):
         return df.withColumn(column, recoded(column, table, unknown))
     source, target = table.columns
-    found = df.join(table.select(F.col(source).alias(column), F.col(target).alias("_found")), column, "left")
+    lookup = size_checked(table.select(F.col(source).alias(column), F.col(target).alias("_found")))
+    found = df.join(lookup, column, "left")
     other = (
         F.col(column)
         if unknown == "keep"

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basinspark.session import persisted
+
 # More touched partitions than this are matched by a join and not by literals.
 LITERAL_PARTITIONS = 5000
 
@@ -54,12 +56,14 @@ def upsert_into(
 ) -> None:
     """Upsert a batch into a partitioned table and rewrite only the partitions it touches.
 
-    ``partition_by`` must be part of the key. Repeating a batch gives the same table.
+    ``partition_by`` must be part of the key. Repeating a batch gives the same table. The batch is written first, as it
+    is read for the touched partitions, the key probe and the result.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("Partition columns must be key columns.")
     if sequence is not None:
         batch = latest_by_key(batch, keys, sequence).drop(sequence)
+    batch = persisted(batch)
     try:
         target = spark.read.parquet(path)
     except AnalysisException as error:
