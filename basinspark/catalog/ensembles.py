@@ -22,6 +22,7 @@ from basinspark.functions.calendar import month_one_hot, month_start
 from basinspark.functions.hydro import mm_to_cms
 from basinspark.operators import ensemble, shape
 from basinspark.operators.windows import lag_lead, lag_lead_by_month
+from basinspark.session import persisted
 
 AREAS = {"A": 82097e6, "N": 25655e6, "R": 19009e6}
 _NAMES = [f"{lake}_{component}" for lake in "ANR" for component in "FO"]
@@ -247,7 +248,8 @@ def _order_series(spark: SparkSession, folder: str) -> DataFrame:
 def lag_large_series(spark: SparkSession, folder: str) -> DataFrame:
     """Two series with half of all rows each, shifted in chunks."""
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    shifted = lag_lead(table(spark, folder, "lineitem"), ["l_linestatus"], order, ["l_quantity"], lag=1, small_group=5000)
+    lines = table(spark, folder, "lineitem").select("l_linestatus", *order, "l_shipdate")
+    shifted = lag_lead(lines, ["l_linestatus"], order, ["l_quantity"], lag=1, small_group=5000)
     return shifted.select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity_mo-1")
 
 
@@ -307,7 +309,9 @@ def ensemble_summary(spark: SparkSession, folder: str) -> DataFrame:
     index = ["l_linenumber", "year", "month"]
     wide = shape.to_wide(named, index, "variable", _NAMES, "cents")
     long = shape.split_composite(shape.to_long(wide, index, _NAMES, "name", "mm"), "name", ["lake", "component"])
-    rows = long.where("mm IS NOT NULL").withColumn("cms", mm_to_cms("mm", "lake", "year", "month", AREAS))
+    rows = persisted(
+        long.where("mm IS NOT NULL").withColumn("cms", mm_to_cms("mm", "lake", "year", "month", AREAS))
+    )
     keys = ["year", "month", "lake", "component"]
     means = ensemble.ensemble_mean(rows, keys, {"mm": "mean_mm", "cms": "mean_cms"})
     band = ensemble.quantile_band(rows, keys, ["mm"]).withColumnsRenamed(

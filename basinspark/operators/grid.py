@@ -40,10 +40,12 @@ def bilinear_weights(
     lat: str = "lat",
     lon: str = "lon",
 ) -> DataFrame:
-    """Interpolation weights of target points on a regular source grid: (target…, src_lat_i, src_lon_i, w).
+    """Interpolation weights of target points on a regular source grid.
 
-    The neighbours follow from the axes by arithmetic, so no distance join is needed; a step may be negative. Only
-    neighbours with a weight above 0 are listed. A point outside the source has no rows.
+    One row per target and neighbour: target…, ``src_lat_i``, ``src_lon_i``, the weight ``w`` and ``n_sources``, the
+    number of neighbours of the target. The neighbours follow from the axes by arithmetic, so no distance join is
+    needed; a step may be negative. Only neighbours with a weight above 0 are listed. A point outside the source has no
+    rows.
     """
     row = (F.col(lat) - F.lit(lat_start)) / F.lit(lat_step)
     column = (F.col(lon) - F.lit(lon_start)) / F.lit(lon_step)
@@ -63,9 +65,9 @@ def bilinear_weights(
         for dj in (0, 1)
     ]
     return (
-        placed.select(*target, F.explode(F.array(*corners)).alias("c"))
-        .select(*target, "c.src_lat_i", "c.src_lon_i", "c.w")
-        .where("w > 0")
+        placed.select(*target, F.filter(F.array(*corners), lambda corner: corner["w"] > 0).alias("_corners"))
+        .withColumn("n_sources", F.size("_corners"))
+        .select(*target, "n_sources", F.inline("_corners"))
     )
 
 
@@ -79,16 +81,15 @@ def regrid(
 ) -> DataFrame:
     """Interpolated value per key and target point; NULL unless every neighbour with a weight has a value.
 
-    The field is joined to the weights on the source cell and summed per target: a sparse matrix product. The number
-    of neighbours is taken along with each weight, so the weights are the only other input.
+    The field is joined to the weights of :func:`bilinear_weights` on the source cell and summed per target: a sparse
+    matrix product. The number of neighbours comes along with each weight, so the weights are the only other input.
     """
-    n_needed = weights.groupBy(*target).agg(F.count(F.lit(1)).alias("_needed"))
-    table = weights.join(n_needed, list(target)).select(
+    table = weights.select(
         *[F.col(name).alias(f"_t{i}") for i, name in enumerate(target)],
         F.col("src_lat_i").alias("_sy"),
         F.col("src_lon_i").alias("_sx"),
         "w",
-        "_needed",
+        F.col("n_sources").alias("_needed"),
     )
     field = grid.where(F.col(value).isNotNull()).select(
         *keys, F.col(source[0]).alias("_sy"), F.col(source[1]).alias("_sx"), F.col(value).alias("_v")

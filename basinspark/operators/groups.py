@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.session import persisted, size_checked
+from basinspark.session import broadcast_if_small, persisted
 
 # A group up to this many rows is sorted within one task; a larger one is spread over several.
 SMALL_GROUP = 100_000
@@ -18,7 +18,7 @@ def split_groups(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """The rows of groups with at most ``rows`` rows, and the rows of larger groups; None for an empty part.
 
-    The sizes are one aggregate over the key columns, combined before its shuffle. The list of large groups has at most
+    Keys must not be NULL. The sizes are one aggregate over the key columns, combined before its shuffle. The list of large groups has at most
     one entry per ``rows`` rows of the table, and its own size is checked before it is broadcast.
     """
     if not keys:
@@ -27,7 +27,7 @@ def split_groups(
     large = persisted(sizes.where(F.col("_rows") > rows).select(*keys))
     if large.isEmpty():
         return df, None
-    side = size_checked(large)
+    side = broadcast_if_small(large)
     return df.join(side, list(keys), "left_anti"), df.join(side, list(keys), "left_semi")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,20 +147,22 @@ def grouped_pairs(
     entries = []
     for name, variables in groups.items():
         columns = [column for variable in variables for column in pairs[variable]]
-        whole = reduce(lambda a, b: a & b, [F.col(f"`{column}`").isNotNull() for column in columns])
-        members = F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias(group),
-                    F.lit(variable).alias("variable"),
-                    F.col(f"`{pairs[variable][0]}`").alias("pred"),
-                    F.col(f"`{pairs[variable][1]}`").alias("obs"),
-                )
-                for variable in variables
-            ]
+        whole = " AND ".join(f"{_column(column)} IS NOT NULL" for column in columns)
+        members = ", ".join(
+            f"named_struct({_text(group)}, {_text(name)}, 'variable', {_text(variable)}, "
+            f"'pred', {_column(pairs[variable][0])}, 'obs', {_column(pairs[variable][1])})"
+            for variable in variables
         )
-        entries.append(F.when(whole, members))
-    return wide.select(*by, F.inline(F.flatten(F.array_compact(F.array(*entries)))))
+        entries.append(f"CASE WHEN {whole} THEN array({members}) END")
+    return wide.select(*by, F.expr(f"inline(flatten(array_compact(array({', '.join(entries)}))))"))
+
+
+def _column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def skill_groups(
@@ -185,7 +186,7 @@ def crps(
     from ranks, so no pairs are formed. Up to ``small_group`` members are sorted as an array; more are ranked across
     tasks. With one member the score is the absolute error.
     """
-    members = df.where(F.col(member).isNotNull() & F.col(obs).isNotNull()).select(
+    members = df.na.drop(subset=[*keys, member, obs]).select(
         *keys, F.col(member).cast("double").alias("_x"), F.col(obs).cast("double").alias("_y")
     )
     small, large = split_groups(members, keys, small_group)

@@ -21,6 +21,7 @@ from basinspark.operators.features import feature_matrix
 from basinspark.operators.models import Ensemble
 from basinspark.operators.shape import split_composite, to_long
 from basinspark.schemas import LAKE_AREAS
+from basinspark.session import persisted
 from basinspark.sources.delimited import write_tsv
 from basinspark.sources.tables import append
 
@@ -80,7 +81,8 @@ def forecast(run_table: DataFrame, ensemble: Ensemble, as_of: dt.date | None) ->
     """
     current = run_table if as_of is None else forecast_cutoff(run_table, as_of)
     predictions = ensemble.predict_all(feature_matrix(current), ["cfs_run", "year", "month"])
-    rows = ensemble_rows(predictions, ensemble.targets)
+    # Written once, as every summary reads it and the models should score once.
+    rows = persisted(ensemble_rows(predictions, ensemble.targets))
     by_model = ["year", "month", "model", "lake", "component"]
     return ForecastTables(
         rows,

@@ -62,5 +62,9 @@ def size_checked(df: DataFrame, rows: int = 100_000) -> DataFrame:
 
     The side is written first, so that counting does not compute it a second time.
     """
-    side = persisted(df)
+    return broadcast_if_small(persisted(df), rows)
+
+
+def broadcast_if_small(side: DataFrame, rows: int = 100_000) -> DataFrame:
+    """As :func:`size_checked`, for a side that is a written table already."""
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side

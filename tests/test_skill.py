@@ -80,8 +80,8 @@ def test_groups_need_complete_rows(spark):
         "model string, a double, a_obs double, b double, b_obs double",
     )
     pairs = {"a": ("a", "a_obs"), "b": ("b", "b_obs")}
-    found = {r.group: r for r in skill.skill_groups(wide, pairs, {"All": ["a", "b"], "A": ["a"]}).collect()}
-    assert (found["All"].n_pairs, found["A"].n_pairs) == (4, 3)
+    found = {r.group: r for r in skill.skill_groups(wide, pairs, {"All": ["a", "b"], "A's": ["a"]}).collect()}
+    assert (found["All"].n_pairs, found["A's"].n_pairs) == (4, 3)
     expected = by_numpy(np.array([1.0, 3.0, 4.0, 4.0]), np.array([2.0, 5.0, 9.0, 4.0]), "obs_raw")
     assert [found["All"][name] for name in skill.SCORES] == pytest.approx(expected, abs=6e-4)
 
