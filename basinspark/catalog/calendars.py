@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,14 +123,7 @@ def run_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def catch_up_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Runs still to be fetched: from the run after the latest stored one through yesterday 18 h."""
-    latest = event_runs(spark, folder).groupBy("user_id").agg(F.max("run").alias("latest"))
-    spans = latest.select(
-        "user_id",
-        calendar.run_boundary(calendar.next_run("latest"), 0).alias("a"),
-        calendar.run_boundary(F.lit("02-01-2024"), 18).alias("b"),
-    )
-    return calendar.run_calendar(spans, "a", "b").select("user_id", calendar.run_id("run_ts").alias("run"))
+    return calendar.missing_runs(event_runs(spark, folder), "run", dt.date(2024, 2, 2), by=["user_id"])
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,6 +121,24 @@ def run_calendar(df: DataFrame, start: str, end: str, out: str = "run_ts", hours
     return df.where(F.col(start) <= F.col(end)).withColumn(out, F.explode(F.sequence(start, end, step)))
 
 
+def missing_runs(
+    stored: DataFrame, run: str, as_of: dt.date, by: Sequence[str] = (), hours: int = 6
+) -> DataFrame:
+    """Runs still to be fetched, per table key ``by``: from the run after the latest one through 18 h of yesterday.
+
+    A table that is up to date gives no rows, and so does an empty one, which has no latest run.
+    """
+    yesterday = F.lit((as_of - dt.timedelta(days=1)).strftime("%m-%d-%Y"))
+    spans = (
+        stored.groupBy(*by)
+        .agg(F.max(run).alias("_latest"))
+        .select(
+            *by, run_boundary(next_run("_latest"), 0).alias("_first"), run_boundary(yesterday, 18).alias("_last")
+        )
+    )
+    return run_calendar(spans, "_first", "_last", "_moment", hours).select(*by, run_id("_moment").alias(run))
+
+
 def run_path(moment: Column | str, prefix: str, suffix: str) -> Column:
     """Folder of a run, ``<prefix>YYYYMMDD/HH<suffix>``."""
     moment = _col(moment)

@@ -66,6 +66,14 @@ def test_run_calendar_bounds(spark):
     assert not [r for r in runs if r.name == "c"]
 
 
+def test_missing_runs(spark):
+    stored = spark.createDataFrame([(2025051806,), (2025051812,)], "run long")
+    found = calendar.missing_runs(stored, "run", dt.date(2025, 5, 20)).collect()
+    assert [r.run for r in found] == [2025051818, 2025051900, 2025051906, 2025051912, 2025051918]
+    assert calendar.missing_runs(stored, "run", dt.date(2025, 5, 18)).count() == 0
+    assert calendar.missing_runs(stored.limit(0), "run", dt.date(2025, 5, 20)).count() == 0
+
+
 def test_run_round_trip_and_path(spark):
     moment = calendar.run_moment(F.lit(2025051806))
     assert value(spark, moment) == dt.datetime(2025, 5, 18, 6)
