@@ -39,7 +39,7 @@ def seconds_in_month(year: Column | str, month: Column | str) -> Column:
 
 def month_label(year: Column | str, month: Column | str, sep: str = "-") -> Column:
     """``YYYY<sep>MM`` with zero padding; float years and months (1950.0) are accepted."""
-    return F.format_string(f"%04d{sep}%02d", _col(year).cast("int"), _col(month).cast("int"))
+    return _formatted(f"%04d{sep}%02d", _col(year).cast("int"), _col(month).cast("int"))
 
 
 def parse_month_name(year: Column | str, name: Column | str) -> Column:
@@ -97,7 +97,7 @@ def run_moment(run: Column | str) -> Column:
 
 def run_label(day: Column, hour: Column) -> Column:
     """``MM-DD-YYYY HH``."""
-    return F.format_string("%02d-%02d-%04d %02d", F.month(day), F.dayofmonth(day), F.year(day), hour)
+    return _formatted("%02d-%02d-%04d %02d", F.month(day), F.dayofmonth(day), F.year(day), hour)
 
 
 def next_run(run: Column | str) -> Column:
@@ -142,7 +142,7 @@ def missing_runs(
 def run_path(moment: Column | str, prefix: str, suffix: str) -> Column:
     """Folder of a run, ``<prefix>YYYYMMDD/HH<suffix>``."""
     moment = _col(moment)
-    return F.format_string(
+    return _formatted(
         f"{prefix}%04d%02d%02d/%02d{suffix}",
         F.year(moment),
         F.month(moment),
@@ -151,6 +151,14 @@ def run_path(moment: Column | str, prefix: str, suffix: str) -> Column:
     )
 
 
+def _formatted(pattern: str, *parts: Column) -> Column:
+    """Formatted text; NULL when any part is NULL, which ``format_string`` would print as a word."""
+    whole = parts[0].isNotNull()
+    for part in parts[1:]:
+        whole = whole & part.isNotNull()
+    return F.when(whole, F.format_string(pattern, *parts))
+
+
 def _lookup(table: dict) -> Column:
     """A literal map of a small dictionary."""
     return F.create_map(*[F.lit(part) for pair in table.items() for part in pair])

@@ -64,11 +64,9 @@ def bilinear_weights(
         for di in (0, 1)
         for dj in (0, 1)
     ]
-    return (
-        placed.select(*target, F.filter(F.array(*corners), lambda corner: corner["w"] > 0).alias("_corners"))
-        .withColumn("n_sources", F.size("_corners"))
-        .select(*target, "n_sources", F.inline("_corners"))
-    )
+    # A point on a grid line needs one neighbour across it, and any other point two.
+    n_sources = F.when(F.col("_fy") > 0, 2).otherwise(1) * F.when(F.col("_fx") > 0, 2).otherwise(1)
+    return placed.select(*target, n_sources.alias("n_sources"), F.inline(F.array(*corners))).where("w > 0")
 
 
 def regrid(

@@ -84,6 +84,8 @@ def test_run_round_trip_and_path(spark):
 def test_labels_and_names(spark):
     assert value(spark, calendar.month_label(F.lit(1950.0), F.lit(1.0))) == "1950-01"
     assert value(spark, calendar.month_label(F.lit(2025), F.lit(11), "_")) == "2025_11"
+    assert value(spark, calendar.month_label(F.lit(2025), F.lit(None).cast("int"))) is None
+    assert value(spark, calendar.next_run(F.lit(None).cast("long"))) is None
     assert value(spark, calendar.parse_month_name(F.lit(1900), F.lit(" Dec "))) == dt.date(1900, 12, 1)
     assert value(spark, calendar.valid_month(F.lit(dt.date(2024, 11, 1)), calendar.lead_offset(F.lit("four")))) == dt.date(
         2025, 2, 1
