@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +53,26 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
-def bounded_sample(df: DataFrame, rows: int, key: Sequence[str]) -> DataFrame:
-    """At most ``rows`` rows, chosen by a hash of their key, so that reruns and repartitioned inputs agree."""
-    return df.orderBy(F.xxhash64(*key), *key).limit(rows)
+def sampled(df: DataFrame, rows: int, total: int, key: str) -> DataFrame:
+    """About ``rows`` of ``total`` rows (all of them if there are fewer), chosen by a hash of their key.
+
+    Used only to fit models on a bounded number of rows. Reruns agree, whatever the partitioning.
+    """
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < int((1 << 30) * rows / total))
+
+
+def sequences_by_time(lengths):
+    """For numpy sequences laid end to end: their order by falling length, their starts in it, and how many are as long.
+
+    Dynamic programs over many sequences run one step at a time over all sequences that still have a token there.
+    """
+    import numpy as np
+
+    lengths = np.asarray(lengths, dtype=np.int64)
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(lengths) else np.zeros(0, np.int64)
+    order = np.argsort(-lengths, kind="stable")
+    steps = int(lengths.max()) if len(lengths) else 0
+    active = np.searchsorted(-lengths[order], -np.arange(1, steps + 1), side="right")
+    return order, starts[order], active

@@ -156,7 +156,7 @@ ranked AS (
          1.5::DOUBLE * sum(source_size) OVER () AS total
   FROM sources),
 levels AS (SELECT *, (total - coalesce(capped, 0)) / open_weight AS level FROM ranked),
-chosen AS (SELECT min(level) AS level FROM levels WHERE level <= ratio),
+chosen AS (SELECT arg_min(level, ratio) AS level FROM levels WHERE level <= ratio),
 targets AS (SELECT source, source_size, least(2 * source_size, c.level * weight)::DOUBLE AS target FROM levels, chosen c),
 placed AS (
   SELECT doc_id, source, size, coalesce(sum(size) OVER (
@@ -173,3 +173,28 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     rows = mixed(docs, "doc_id", F.size(words(F.col("text"))), F.array("source"))
     return rows.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+@query()
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language, score and number of spans of every document."""
+    from basinspark.llm.common import remainder
+    from basinspark.llm.language_spans import fit_languages, identified
+
+    docs, held_out = table(spark, folder, "documents"), remainder("doc_id", 4) == 2
+    rows = identified(docs, fit_languages(docs.where(~held_out)), [F.col("doc_id"), held_out.alias("held_out")])
+    return rows.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query()
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score, prediction and toxic offsets of every document."""
+    from basinspark.llm.common import remainder
+    from basinspark.llm.toxic_spans import fit_toxicity, toxicity_scored
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = remainder("doc_id", 5) == 0
+    model = fit_toxicity(docs, labels.where(~held_out))
+    rows = toxicity_scored(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return rows.select("doc_id", "held_out", "score", predicted.alias("predicted"), "offsets")
