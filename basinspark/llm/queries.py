@@ -198,3 +198,19 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     rows = toxicity_scored(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
     return rows.select("doc_id", "held_out", "score", predicted.alias("predicted"), "offsets")
+
+
+@query()
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    from basinspark.llm.extraction import extracted
+
+    return extracted(table(spark, folder, "pages"))
+
+
+@query()
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Confirmed license notices of every document with the differences in wording."""
+    from basinspark.llm.licenses import scanned
+
+    return scanned(table(spark, folder, "documents"))
