@@ -52,8 +52,9 @@ def covered_words(tokens: Column) -> Column:
         pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(let(pairs, covered))
 
+    # element by element: slice() would copy the whole array for every window
     windows = F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(tokens, i, WINDOW))
+        F.sequence(F.lit(0), F.size(tokens) - WINDOW), lambda i: F.xxhash64(*(F.get(tokens, i + k) for k in range(WINDOW)))
     )
     return F.when(F.size(tokens) < WINDOW, F.lit(0)).otherwise(let(windows, repeated))
 
