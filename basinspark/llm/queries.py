@@ -214,3 +214,12 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     from basinspark.llm.licenses import scanned
 
     return scanned(table(spark, folder, "documents"))
+
+
+@query()
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds, with edits and place."""
+    from basinspark.llm.decontamination import with_leaks
+
+    rows = with_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), [F.col("doc_id")])
+    return rows.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
