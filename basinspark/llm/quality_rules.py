@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import SPACE_RUN, let, words
+from basinspark.llm.common import SPACE_RUN, let, stored, words
 
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -149,8 +149,13 @@ def line_losses(lines: DataFrame, limits: LineLimits = LineLimits()) -> DataFram
 def quality_verdicts(
     docs: DataFrame, limits: LineLimits = LineLimits(), doc_id: str = "doc_id", text: str = "text", host: str = "source"
 ) -> DataFrame:
-    """One row per input row with the base counts, the removed lines and whether the document is kept."""
-    losses = line_losses(line_table(docs, text, host), limits).drop("removed_keys")
+    """One row per input row with the base counts, the removed lines and whether the document is kept.
+
+    The line table (keys and lengths, no text) is written to the shared folder when the query is built, as three
+    aggregates read it.
+    """
+    lines, _ = stored(line_table(docs, text, host), "lines")
+    losses = line_losses(lines, limits).drop("removed_keys")
     joined = base_rules(docs, doc_id, text, host).join(losses, ["host_key", "text_key"], "left")
     depleted = F.coalesce(F.col("removed_chars") > limits.removed * F.col("line_chars"), F.lit(False))
     return joined.select(

@@ -223,3 +223,11 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = with_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), [F.col("doc_id")])
     return rows.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query()
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size, class and component of every document."""
+    from basinspark.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
