@@ -231,3 +231,13 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     from basinspark.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and attention-model log10 probability of every document."""
+    from basinspark.llm.attention_lm import scored
+    from basinspark.llm.common import remainder
+
+    docs, held_out = table(spark, folder, "documents"), remainder("doc_id", 10) == 0
+    return scored(docs, held_out, [F.col("doc_id"), held_out.alias("held_out")])
