@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import sampled, stored
+from basinspark.llm.common import extended, sampled, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
@@ -438,8 +438,7 @@ def scored(docs: DataFrame, held_out: Column, keep: list[Column], doc_id: str =
 
     kept = docs.select(*keep, F.col(text).alias("_text"))
     names = [f.name for f in kept.schema.fields[:-1]]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    found, _ = stored(kept.mapInArrow(_scored(model, vocabulary), f"{schema}, {SCORED}"), "scores")
+    found, _ = stored(kept.mapInArrow(_scored(model, vocabulary), extended(kept, SCORED)), "scores")
     words = counts.where(F.col("kind") == WORD).select("key", "n")
     others = found.select("row", F.explode("others").alias("key")).join(words, "key", "left")
     sums = others.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("other_logs"), F.count("n").alias("other_known"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basinspark.session import fresh_folder
 
@@ -76,3 +77,8 @@ def sequences_by_time(lengths):
     steps = int(lengths.max()) if len(lengths) else 0
     active = np.searchsorted(-lengths[order], -np.arange(1, steps + 1), side="right")
     return order, starts[order], active
+
+
+def extended(rows: DataFrame, added: str) -> StructType:
+    """The schema of all but the last column (the text), followed by the added columns."""
+    return StructType(rows.schema.fields[:-1] + StructType.fromDDL(added).fields)

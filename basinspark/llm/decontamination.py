@@ -278,7 +278,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Ite
 def with_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[Column], params: LeakParameters = LeakParameters(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with ``leaks``: item, edits, found windows of all its windows, words of the region."""
     rows = docs.select(*keep, F.col(text).alias("_text"), F.lit(None).cast(RESULT_SQL).alias("leaks"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    schema = rows.schema
     for block in item_blocks(benchmark, item_id, item_text, params.block_bytes):
         index = docs.sparkSession.sparkContext.broadcast(LeakIndex(block, params))
         rows = rows.mapInArrow(_searched(index), schema)

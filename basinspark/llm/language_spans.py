@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import sampled, sequences_by_time
+from basinspark.llm.common import extended, sampled, sequences_by_time
 from basinspark.llm.word_tables import LETTERS, WordScores, chunked, padded, trigram_cells
 
 UNKNOWN = "und"
@@ -202,5 +202,4 @@ def _labelled(model: LanguageModel, params: SpanParameters):
 def identified(docs: DataFrame, model: LanguageModel, keep: list[Column], params: SpanParameters = SpanParameters(), text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with ``lang_pred``, ``score`` and ``spans`` (offsets in characters of the text)."""
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_labelled(model, params), f"{kept}, {RESULT}")
+    return rows.mapInArrow(_labelled(model, params), extended(rows, RESULT))

@@ -241,3 +241,11 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
     docs, held_out = table(spark, folder, "documents"), remainder("doc_id", 10) == 0
     return scored(docs, held_out, [F.col("doc_id"), held_out.alias("held_out")])
+
+
+@query()
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    from corpus_pipeline import run
+
+    return run(spark, folder)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import sampled, sequences_by_time
+from basinspark.llm.common import extended, sampled, sequences_by_time
 from basinspark.llm.word_tables import LETTERS, WordScores, chunked
 
 
@@ -247,5 +247,4 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicParameters = T
 def toxicity_scored(docs: DataFrame, model: ToxicModel, keep: list[Column], text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with ``score`` and the ``offsets`` of toxic tokens in its text."""
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_scored(model), f"{kept}, {RESULT}")
+    return rows.mapInArrow(_scored(model), extended(rows, RESULT))
