@@ -131,7 +131,7 @@ def catch_up_runs(spark: SparkSession, folder: str) -> DataFrame:
     WITH w AS (
         SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS forecast_date, o_orderpriority,
                CAST(sum({ORDER_CENTS}) AS DOUBLE) / count(*) AS m
-        FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY ALL
+        FROM orders GROUP BY ALL
     )
     SELECT forecast_date, CAST(forecast_date + to_months(CAST(left(o_orderpriority, 1) AS INTEGER) - 1) AS DATE)
                AS valid_month, m AS nbs
@@ -139,11 +139,11 @@ def catch_up_runs(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def lead_to_valid_month(spark: SparkSession, folder: str) -> DataFrame:
-    """Priorities 1 to 4 stand for the leads one to four."""
+    """Priorities 1 to 5 stand for the leads one to five."""
     orders = order_months(spark, folder).withColumn(
         "lead", F.get(F.array(*[F.lit(w) for w in ("one", "two", "three", "four", "five")]), F.substring("o_orderpriority", 1, 1).cast("int") - 1)
     )
-    leads = ["one", "two", "three", "four"]
+    leads = ["one", "two", "three", "four", "five"]
     return format_leads(to_wide(orders, ["year", "month"], "lead", leads, "cents"), leads=leads).where("nbs IS NOT NULL")
 
 

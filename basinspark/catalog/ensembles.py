@@ -107,16 +107,42 @@ def large_group_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     return bands
 
 
+@query(
+    f"""
+    SELECT event_type, {linear_quantile("v", 0.025)} AS v_lower, {linear_quantile("v", 0.5)} AS v_middle
+    FROM (SELECT event_type, CASE WHEN event_type <> 'click' THEN value END AS v FROM events) GROUP BY event_type
+    """
+)
+def quantiles_empty_group(spark: SparkSession, folder: str) -> DataFrame:
+    """Large groups, one of which has no value and keeps its row."""
+    events = table(spark, folder, "events").withColumn("v", F.when(F.col("event_type") != "click", F.col("value")))
+    return ensemble.exact_quantiles(events, ["event_type"], ["v"], {"lower": 0.025, "middle": 0.5}, small_group=1000)
+
+
+@query(
+    f"""
+    SELECT {LINE_MONTH}, l_returnflag AS model, CAST(sum(cents) FILTER (NOT isnan(cents)) AS DOUBLE) / count(*) FILTER (NOT isnan(cents)) AS cents
+    FROM (SELECT *, CASE WHEN l_linenumber = 3 THEN 'NaN'::DOUBLE ELSE CAST({LINE_CENTS} AS DOUBLE) END AS cents FROM lineitem)
+    GROUP BY ALL
+    """
+)
+def mean_skips_nan(spark: SparkSession, folder: str) -> DataFrame:
+    nan = F.when(F.col("l_linenumber") == 3, F.lit(float("nan"))).otherwise(F.col("cents").cast("double"))
+    lines = line_months(spark, folder).withColumns({"cents": nan, "model": F.col("l_returnflag")})
+    return ensemble.ensemble_mean(lines, ["year", "month", "model"], ["cents"])
+
+
 @query(
     f"""
     SELECT event_type, CAST(sum(event_id) AS DOUBLE) / count(*) AS event_id,
            CAST(sum(user_id) AS DOUBLE) / count(*) AS user_id, CAST(sum({EVENT_RUN}) AS DOUBLE) / count(*) AS run,
-           CAST(sum({EVENT_CENTS}) AS DOUBLE) / count(*) AS cents
+           CAST(sum({EVENT_CENTS}) AS DOUBLE) / count(*) AS cents, round(avg(value), 6) AS value
     FROM events GROUP BY event_type
     """
 )
 def numeric_means(spark: SparkSession, folder: str) -> DataFrame:
-    return ensemble.numeric_means(event_runs(spark, folder), ["event_type"], exclude=["value"])
+    means = ensemble.numeric_means(event_runs(spark, folder), ["event_type"])
+    return means.withColumn("value", F.round("value", 6))  # the sum of a DOUBLE depends on the order of its rows
 
 
 @query(
@@ -185,16 +211,15 @@ def wide_file_records(spark: SparkSession, folder: str) -> DataFrame:
     WITH m AS (
         SELECT *, dense_rank() OVER (ORDER BY year, month) AS k FROM (
             SELECT {LINE_MONTH}, l_returnflag AS lake, CAST(sum({LINE_CENTS}) AS DOUBLE) / count(*) AS v
-            FROM lineitem WHERE l_shipdate >= '2001-01-01' GROUP BY ALL)
+            FROM lineitem GROUP BY ALL)
     )
-    SELECT lake, {", ".join(f"max(v) FILTER (k = {k}) AS month_{k}" for k in range(1, 12))} FROM m GROUP BY lake
+    SELECT lake, {", ".join(f"max(v) FILTER (k = {k}) AS month_{k}" for k in range(1, 97))} FROM m GROUP BY lake
     """
 )
 def wide_by_lead(spark: SparkSession, folder: str) -> DataFrame:
-    """Lead table of the last year. The horizon is fixed, so that the schema does not depend on the data."""
-    recent = _lines(spark, folder).where("year >= 2001")
-    means = ensemble.ensemble_mean(recent, ["year", "month", "lake"], {"cents": "v"})
-    return ensemble.lead_table(means, ["lake"], "year", "month", "v", horizon=11)
+    """Lead table of all months. The horizon of eight years is fixed, so that the schema does not depend on the data."""
+    means = ensemble.ensemble_mean(_lines(spark, folder), ["year", "month", "lake"], {"cents": "v"})
+    return ensemble.lead_table(means, ["lake"], "year", "month", "v", horizon=96)
 
 
 @query(

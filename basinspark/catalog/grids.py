@@ -14,7 +14,7 @@ from basinspark.operators import grid
 from basinspark.plans.reduction import run_table_from_grid
 from basinspark.session import fresh_folder
 from basinspark.sources.tables import read_table
-from basinspark.streaming.ingest import ingest_runs, stored_means
+from basinspark.streaming.ingest import ingest_fields, ingest_runs, stored_means, stored_run_table
 
 STEP = 0.25
 ZONES = ["eri_lake", "eri_land", "ont_lake", "ont_land", "sup_lake", "sup_land", "mih_lake", "mih_land"]
@@ -110,6 +110,27 @@ def zonal_weighted_mean(spark: SparkSession, folder: str) -> DataFrame:
     return means.withColumn("value", F.round("value", 6))
 
 
+@query(
+    f"""
+    WITH cells AS (SELECT DISTINCT {_CELLS} FROM lineitem),
+    mask AS (SELECT lat_i, lon_i, zone, coalesce(weight, 'NaN'::DOUBLE) AS weight FROM ({_MASK})),
+    fields AS (SELECT * REPLACE (coalesce(value, 'NaN'::DOUBLE) AS value) FROM ({_FIELDS}))
+    SELECT year, month, variable, zone,
+           round(sum(value * weight * {_AREA}) * (4 * {_DAYS} / 1e5) / sum(weight * {_AREA}), 6) AS value
+    FROM fields JOIN mask USING (lat_i, lon_i) WHERE weight <> 0 AND NOT isnan(weight) AND NOT isnan(value)
+    GROUP BY year, month, variable, zone
+    """
+)
+def zonal_nan_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """NaN in place of NULL in fields and mask; zones without any value are left out."""
+    nan = F.lit(float("nan"))
+    fields = _fields(spark, folder).withColumn("value", F.coalesce("value", nan))
+    mask = grid.prepare_mask(_mask(spark, folder).withColumn("weight", F.coalesce("weight", nan)))
+    keys = ["year", "month", "variable", "zone"]
+    means = grid.zonal_mean(grid.in_zone(fields, mask), keys, area=_area(), factor=4.0 * days_in_month("year", "month") / 1e5)
+    return means.where("value IS NOT NULL").withColumn("value", F.round("value", 6))
+
+
 @query(
     f"""
     WITH cells AS (SELECT DISTINCT {_CELLS} FROM lineitem), mask AS ({_MASK}), fields AS ({_FIELDS})
@@ -122,8 +143,7 @@ def zonal_plain_mean(spark: SparkSession, folder: str) -> DataFrame:
     return grid.zonal_plain_mean(cells, ["year", "month", "variable", "zone"])
 
 
-@query(
-    f"""
+_REGRID_SQL = f"""
     WITH source AS (
         SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_quantity AS INTEGER) - 1 AS lat_i,
                l_linenumber - 1 AS lon_i, CAST(sum({LINE_CENTS}) AS DOUBLE) / count(*) AS value
@@ -139,9 +159,10 @@ def zonal_plain_mean(spark: SparkSession, folder: str) -> DataFrame:
     SELECT year, p_partkey, CASE WHEN count(*) = max(needed) THEN round(sum(w * value), 4) END AS value
     FROM source JOIN weights USING (lat_i, lon_i) GROUP BY ALL
     """
-)
-def regrid_bilinear(spark: SparkSession, folder: str) -> DataFrame:
-    """Cell means per year interpolated to one point per part; points off the grid have no value."""
+
+
+def _part_points(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Cell means per year and the weights of one point per part."""
     source = (
         line_months(spark, folder)
         .where("NOT (l_quantity = 25 AND l_linenumber = 3)")
@@ -158,12 +179,26 @@ def regrid_bilinear(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("p_partkey") % 14 / 2.0 + 1).alias("lon"),
     )
     weights = grid.bilinear_weights(points, 1.0, 1.0, 50, 1.0, 1.0, 7, target=["p_partkey"])
-    values = grid.regrid(source, weights, ["year"], target=["p_partkey"])
-    return values.withColumn("value", F.round("value", 4))
+    return source, weights
 
 
-@query(
-    f"""
+@query(_REGRID_SQL)
+def regrid_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    """Cell means per year interpolated to one point per part; points off the grid have no value."""
+    source, weights = _part_points(spark, folder)
+    return grid.regrid(source, weights, ["year"], target=["p_partkey"]).withColumn("value", F.round("value", 4))
+
+
+@query(_REGRID_SQL)
+def regrid_repeated_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """As regrid_bilinear, with every cell twice, one above and one below its value, and once without a value."""
+    source, weights = _part_points(spark, folder)
+    shifts = F.array(F.lit(-50.0), F.lit(50.0), F.lit(None), F.lit(float("nan")))
+    again = source.select("year", "lat_i", "lon_i", F.explode(shifts).alias("shift"), (F.col("value") + F.col("shift")).alias("value"))
+    return grid.regrid(again, weights, ["year"], target=["p_partkey"]).withColumn("value", F.round("value", 4))
+
+
+_RUN_TABLE_SQL = f"""
     WITH means AS (
         SELECT CAST(year(l_shipdate) AS INTEGER) AS year,
                CASE l_returnflag WHEN 'A' THEN 'p' WHEN 'N' THEN 't' ELSE 'le' END AS variable,
@@ -207,9 +242,10 @@ def regrid_bilinear(spark: SparkSession, folder: str) -> DataFrame:
                 ELSE sum(value * weight * area) * 86400 * days / sum(weight * area) END, 6) AS "value [mm]"
     FROM zoned WHERE weight <> 0 GROUP BY year, zone, component, days
     """
-)
-def grid_to_run_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole reduction: alternative variable names, regrid, evaporation, zones and monthly amounts."""
+
+
+def _reduction_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fields with alternative variable names, interpolation weights and a mask."""
     names = {"AF": "tp", "AO": "tp", "NF": "avg_2t", "NO": "mean2t", "RF": "avg_slhtf", "RO": "mslhf"}
     codes = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
     cell = [(F.col("l_quantity").cast("int") - 1).alias("lat_i"), (F.col("l_linenumber") - 1).alias("lon_i")]
@@ -238,10 +274,49 @@ def grid_to_run_table(spark: SparkSession, folder: str) -> DataFrame:
         F.get(F.array(*[F.lit(z) for z in ZONES]), (F.col("lat_i") + F.col("lon_i")) % 8).alias("zone"),
         ((F.col("lat_i") + 2 * F.col("lon_i")) % 4 / F.lit(4.0)).alias("weight"),
     )
+    return fields, weights, mask
+
+
+def _run_table(fields: DataFrame, weights: DataFrame, mask: DataFrame) -> DataFrame:
     rows = run_table_from_grid(fields, weights, mask, STEP, STEP)
     return rows.withColumn("value [mm]", F.round("value [mm]", 6))
 
 
+@query(_RUN_TABLE_SQL)
+def grid_to_run_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole reduction: alternative variable names, regrid, evaporation, zones and monthly amounts."""
+    return _run_table(*_reduction_inputs(spark, folder))
+
+
+@query(_RUN_TABLE_SQL)
+def grid_two_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """As grid_to_run_table, from fields that also hold other levels of every variable."""
+    fields, weights, mask = _reduction_inputs(spark, folder)
+    warm = F.col("variable").isin("avg_2t", "mean2t")
+    right = fields.withColumns(
+        {"level_type": F.when(warm, "heightAboveGround").otherwise("surface"), "level": F.when(warm, 2).otherwise(0)}
+    )
+    wrong = fields.withColumns({"level_type": F.lit("isobaricInhPa"), "level": F.lit(850), "value": F.col("value") + 999})
+    return _run_table(right.unionByName(wrong), weights, mask)
+
+
+@query(_RUN_TABLE_SQL)
+def incremental_run_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole reduction of files that arrive in two lots; a restart without its progress repeats all of them."""
+    fields, weights, mask = _reduction_inputs(spark, folder)
+    arrivals, target = fresh_folder(spark, "arrivals"), fresh_folder(spark, "sums")
+
+    def ingest(checkpoint: str) -> None:
+        ingest_fields(spark, arrivals, fields.schema, weights, mask, target, checkpoint, STEP, STEP, files_per_batch=4)
+
+    first = fresh_folder(spark, "progress")
+    for lot in (fields.where("year < 1999"), fields.where("year >= 1999")):
+        lot.repartition("run", "year", "month").write.mode("append").parquet(arrivals)  # a run and month in one file
+        ingest(first)
+    ingest(fresh_folder(spark, "progress"))
+    return stored_run_table(read_table(spark, target)).withColumn("value [mm]", F.round("value [mm]", 6))
+
+
 @query(
     f"""
     WITH stored AS (
@@ -305,3 +380,30 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     ingest(fresh_folder(spark, "progress"))
     means = stored_means(read_table(spark, target), keys, factor=4.0 * days_in_month("year", "month") / 1e5)
     return means.withColumn("value", F.round("value", 6))
+
+
+@query(_WEIGHTED_SQL)
+def ingest_same_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Two folders of files with the same names, each with a part of the cells of every key, in two lots."""
+    arrivals, target, progress = fresh_folder(spark, "arrivals"), fresh_folder(spark, "sums"), fresh_folder(spark, "progress")
+    fields, keys = _fields(spark, folder), ["year", "month", "variable", "zone"]
+    for part in (0, 1):
+        at = f"{arrivals}/lot{part}"
+        fields.where(F.col("lon_i") % 2 == part).repartition(4).write.parquet(at)
+        same_names(spark, at)
+        ingest_runs(
+            spark, f"{arrivals}/*", fields.schema, _mask(spark, folder), target, progress, keys=keys, partition_by=["year"], area=_area()
+        )
+    means = stored_means(read_table(spark, target), keys, factor=4.0 * days_in_month("year", "month") / 1e5)
+    return means.withColumn("value", F.round("value", 6))
+
+
+def same_names(spark: SparkSession, folder: str) -> None:
+    """Name the files of a folder by their number alone."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(conf)
+    for file in store.listStatus(path):
+        name = file.getPath().getName()
+        if name.startswith("part-"):
+            store.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(path, name[:10] + ".parquet"))

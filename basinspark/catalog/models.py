@@ -61,24 +61,24 @@ def standardised_features(spark: SparkSession, folder: str) -> DataFrame:
     f"""
     WITH x AS (
         SELECT {LINE_MONTH}, CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'A') AS DOUBLE) / count(*) FILTER (l_returnflag = 'A') AS a,
-               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'N') AS DOUBLE) / count(*) FILTER (l_returnflag = 'N') AS n
-        FROM lineitem WHERE l_shipdate < '2001-07-01' AND l_returnflag <> 'R' GROUP BY ALL
+               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'N') AS DOUBLE) / count(*) FILTER (l_returnflag = 'N') AS n,
+               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'R') AS DOUBLE) / count(*) FILTER (l_returnflag = 'R') AS r,
+               CAST(sum(l_linenumber) AS DOUBLE) / count(*) AS target
+        FROM lineitem GROUP BY ALL
     ), lagged AS (
-        SELECT *, lag(a) OVER (ORDER BY year, month) AS "a_mo-1", lag(n) OVER (ORDER BY year, month) AS "n_mo-1" FROM x
-    ), y AS (SELECT {ORDER_MONTH}, CAST(sum({ORDER_CENTS}) AS DOUBLE) / count(*) AS target FROM orders GROUP BY ALL)
-    SELECT year, month, a, n, "a_mo-1", "n_mo-1", target, make_date(year, month, 1) AS month_start,
+        SELECT *, lag(a) OVER w AS "a_mo-1", lag(n) OVER w AS "n_mo-1", lag(r) OVER w AS "r_mo-1" FROM x WINDOW w AS (ORDER BY year, month)
+    )
+    SELECT year, month, a, n, r, "a_mo-1", "n_mo-1", "r_mo-1", target, make_date(year, month, 1) AS month_start,
            CASE WHEN year <= 1998 THEN 'train' ELSE 'test' END AS part
-    FROM lagged JOIN y USING (year, month) WHERE "a_mo-1" IS NOT NULL AND "n_mo-1" IS NOT NULL
+    FROM lagged WHERE COLUMNS(['a', 'n', 'r', 'a_mo-1', 'n_mo-1', 'r_mo-1']) IS NOT NULL
     """
 )
 def features_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Wide features with lags, targets of the same months, and the split by date."""
-    lines = line_months(spark, folder).where("l_shipdate < '2001-07-01'")
-    wide = to_wide(
-        lines.withColumn("name", F.lower("l_returnflag")), ["year", "month"], "name", ["a", "n"], "cents"
-    )
-    targets = order_months(spark, folder).groupBy("year", "month").agg(mean("cents").alias("target"))
-    table = features.training_table(lag_lead(wide, [], ["year", "month"], ["a", "n"], lag=1), targets)
+    """Wide features of all months with lags, targets of the same months, and the split by date."""
+    lines, names = line_months(spark, folder), ["a", "n", "r"]
+    wide = to_wide(lines.withColumn("name", F.lower("l_returnflag")), ["year", "month"], "name", names, "cents")
+    targets = lines.groupBy("year", "month").agg(mean("l_linenumber").alias("target"))
+    table = features.training_table(lag_lead(wide, [], ["year", "month"], names, lag=1), targets)
     parts = features.date_split(table, "month_start", TRAIN, TEST)
     return parts[0].withColumn("part", F.lit("train")).unionByName(parts[1].withColumn("part", F.lit("test")))
 

@@ -174,19 +174,20 @@ def crps_single_member(spark: SparkSession, folder: str) -> DataFrame:
     WITH w AS (
         SELECT {LINE_MONTH}, l_linenumber,
                CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'A') AS DOUBLE) / count(*) FILTER (l_returnflag = 'A') AS "A",
-               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'N') AS DOUBLE) / count(*) FILTER (l_returnflag = 'N') AS "N"
-        FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL
+               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'N') AS DOUBLE) / count(*) FILTER (l_returnflag = 'N') AS "N",
+               CAST(sum({LINE_CENTS}) FILTER (l_returnflag = 'R') AS DOUBLE) / count(*) FILTER (l_returnflag = 'R') AS "R"
+        FROM lineitem GROUP BY ALL
     )
-    SELECT year, month, {linear_quantile('"A"', 0.5)} AS "A", {linear_quantile('"N"', 0.5)} AS "N",
+    SELECT year, month, {linear_quantile('"A"', 0.5)} AS "A", {linear_quantile('"N"', 0.5)} AS "N", {linear_quantile('"R"', 0.5)} AS "R",
            any_value(t) AS observed
     FROM w JOIN (SELECT {ORDER_MONTH}, CAST(sum({ORDER_CENTS}) AS BIGINT) AS t FROM orders GROUP BY ALL)
-    USING (year, month) GROUP BY year, month HAVING count("A") > 0 AND count("N") > 0
+    USING (year, month) GROUP BY year, month HAVING count("A") > 0 AND count("N") > 0 AND count("R") > 0
     """
 )
 def predictor_medians(spark: SparkSession, folder: str) -> DataFrame:
-    wide = to_wide(line_months(spark, folder), ["year", "month", "l_linenumber"], "l_returnflag", ["A", "N"], "cents")
+    wide = to_wide(line_months(spark, folder), ["year", "month", "l_linenumber"], "l_returnflag", ["A", "N", "R"], "cents")
     observed = order_months(spark, folder).groupBy("year", "month").agg(F.sum("cents").alias("observed"))
-    return skill.predictor_medians(wide, ["year", "month"], ["A", "N"], observed)
+    return skill.predictor_medians(wide, ["year", "month"], ["A", "N", "R"], observed)
 
 
 @query(

@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinspark.catalog import query
-from basinspark.catalog.inputs import EVENT_RUN, LINE_CENTS, LINE_MONTH, event_runs, line_months, order_months, table
+from basinspark.catalog.inputs import (
+    EVENT_RUN,
+    LINE_CENTS,
+    LINE_MONTH,
+    ORDER_CENTS,
+    cents,
+    event_runs,
+    line_months,
+    order_months,
+    table,
+)
 from basinspark.functions.calendar import month_label, month_start
 from basinspark.operators.ensemble import ensemble_mean
 from basinspark.operators.shape import to_wide
@@ -340,6 +350,36 @@ def retention_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tables.retention_report(event_runs(spark, folder), "run", 2024011500)
 
 
+@query(
+    f"""
+    SELECT event_id, {EVENT_RUN} AS run, event_type, value FROM events WHERE {EVENT_RUN} >= 2024011506
+    """
+)
+def retention_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """A table by day after a delete on its own path: whole days go, one day is rewritten, later days stay."""
+    path = fresh_folder(spark, "runs")
+    rows = event_runs(spark, folder).select("event_id", "run", "event_type", "value").withColumn("day", F.floor(F.col("run") / 100))
+    rows.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    tables.delete_below(spark, path, "run", 2024011506, ["day"])
+    return tables.read_table(spark, path).drop("day")
+
+
+@query(
+    f"""
+    SELECT o_orderkey, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) // 2 AS INTEGER) AS slot, {ORDER_CENTS} + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS cents
+    FROM orders
+    """
+)
+def upsert_many_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch that touches over a thousand partitions of two days each."""
+    path = fresh_folder(spark, "slots")
+    slot = F.floor(F.date_diff("o_orderdate", F.lit("1995-01-01")) / 2).cast("int")
+    rows = table(spark, folder, "orders").select("o_orderkey", slot.alias("slot"), cents("o_totalprice").alias("cents"))
+    for part in (rows, rows.where("o_orderkey % 3 = 0").withColumn("cents", F.col("cents") + 1)):
+        tables.upsert_into(spark, path, part, ["o_orderkey", "slot"], ["slot"])
+    return tables.read_table(spark, path)
+
+
 @query(f"SELECT max({EVENT_RUN}) AS run FROM events")
 def latest_run(spark: SparkSession, folder: str) -> DataFrame:
     return tables.latest(event_runs(spark, folder), "run")

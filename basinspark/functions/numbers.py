@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 
 def mean(column: Column | str) -> Column:
-    """Arithmetic mean as DOUBLE for any numeric input; NULL for a group without values.
+    """Arithmetic mean as DOUBLE for any numeric input, NaN left out; NULL for a group without values.
 
     For integers the sum is exact, so the result does not depend on the order of the rows.
     """
-    column = F.col(column) if isinstance(column, str) else column
+    column = null_if_nan(F.col(column) if isinstance(column, str) else column)
     return F.try_divide(F.sum(column).cast("double"), F.count(column).cast("double"))
 
 

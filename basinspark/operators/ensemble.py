@@ -96,13 +96,16 @@ def lead_table(
 ) -> DataFrame:
     """One column per forecast month in calendar order: ``month_1``, ``month_2``, …; repeated cells are averaged.
 
-    Months are ranked on the table of distinct months, which the calendar bounds. Without ``horizon`` they are counted
-    first, so no month is left out; a given horizon fixes the columns.
+    Months are ranked on the table of distinct months, which the calendar bounds; they are counted when this is called.
+    A given ``horizon`` fixes the columns; more months than that are an error, so that none is left out.
     """
     months = df.select(year, month).distinct()
     ranked = size_checked(months.withColumn("_lead", F.dense_rank().over(Window.orderBy(year, month))))
+    found = ranked.count()
     if horizon is None:
-        horizon = ranked.count()
+        horizon = found
+    elif found > horizon:
+        raise ValueError(f"{found} months do not fit a horizon of {horizon}.")
     leads = df.join(ranked, [year, month])
     return to_wide(leads, index, "_lead", list(range(1, horizon + 1)), value, prefix=prefix)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basinspark.functions.calendar import days_in_month
 from basinspark.functions.names import name_part, recoded
+from basinspark.functions.numbers import mean, null_if_nan
 from basinspark.schemas import LAKE_NAMES
 from basinspark.session import size_checked
 
@@ -42,8 +43,8 @@ def bilinear_weights(
 ) -> DataFrame:
     """Interpolation weights of target points on a regular source grid.
 
-    One row per target and neighbour: target…, ``src_lat_i``, ``src_lon_i``, the weight ``w`` and ``n_sources``, the
-    number of neighbours of the target. The neighbours follow from the axes by arithmetic, so no distance join is
+    One row per target and neighbour: target…, ``src_lat_i``, ``src_lon_i``, the weight ``w``, its ``corner`` (0 to 3)
+    and ``n_sources``, the number of neighbours of the target. The neighbours follow from the axes by arithmetic, so no distance join is
     needed; a step may be negative. Only neighbours with a weight above 0 are listed. A point outside the source has no
     rows.
     """
@@ -60,6 +61,7 @@ def bilinear_weights(
             (F.col("_i") + di).alias("src_lat_i"),
             (F.col("_j") + dj).alias("src_lon_i"),
             ((F.col("_fy") if di else 1 - F.col("_fy")) * (F.col("_fx") if dj else 1 - F.col("_fx"))).alias("w"),
+            F.lit(2 * di + dj).alias("corner"),
         )
         for di in (0, 1)
         for dj in (0, 1)
@@ -69,6 +71,49 @@ def bilinear_weights(
     return placed.select(*target, n_sources.alias("n_sources"), F.inline(F.array(*corners))).where("w > 0")
 
 
+def interpolated(value: Column) -> Column:
+    """Aggregate of weighted neighbours: the value at the target, NULL unless every neighbour has a value.
+
+    For rows of a field joined to :func:`bilinear_weights`, with ``_w``, ``_corner`` and ``_needed``. Repeated values of
+    a neighbour are averaged.
+    """
+    total, found = F.lit(0.0), F.lit(0)
+    for corner in range(4):
+        own = F.when(F.col("_corner") == corner, value)
+        total = total + F.coalesce(F.max(F.when(F.col("_corner") == corner, F.col("_w"))) * F.avg(own), F.lit(0.0))
+        found = found + F.when(F.count(own) > 0, 1).otherwise(0)
+    return F.when(found == F.max("_needed"), total)
+
+
+def weighted_neighbours(
+    grid: DataFrame,
+    weights: DataFrame,
+    columns: Sequence[str | Column],
+    target: Sequence[str] = ("lat_i", "lon_i"),
+    source: Sequence[str] = ("lat_i", "lon_i"),
+) -> DataFrame:
+    """The field once per target that a cell is a neighbour of, cropped to the cells that any target needs.
+
+    The weights are written when this is called, and broadcast if they are small, which holds for any regional mask.
+    The bounds of their cells are scalar subqueries, so the scan of the field can skip row groups.
+    """
+    table = size_checked(
+        weights.select(
+            *[F.col(name).alias(f"_t{i}") for i, name in enumerate(target)],
+            F.col("src_lat_i").alias("_sy"),
+            F.col("src_lon_i").alias("_sx"),
+            F.col("w").alias("_w"),
+            F.col("corner").alias("_corner"),
+            F.col("n_sources").alias("_needed"),
+        )
+    )
+    extent = table.select(F.col("_sy").alias(source[0]), F.col("_sx").alias(source[1]))
+    field = crop(grid, extent, source[0], source[1]).select(
+        *columns, F.col(source[0]).alias("_sy"), F.col(source[1]).alias("_sx")
+    )
+    return field.join(table, ["_sy", "_sx"])
+
+
 def regrid(
     grid: DataFrame,
     weights: DataFrame,
@@ -79,33 +124,15 @@ def regrid(
 ) -> DataFrame:
     """Interpolated value per key and target point; NULL unless every neighbour with a weight has a value.
 
-    The field is joined to the weights of :func:`bilinear_weights` on the source cell and summed per target: a sparse
-    matrix product. The number of neighbours comes along with each weight, so the weights are the only other input.
+    A target whose neighbours have no value at all has no row. NULL and NaN are no values, and repeated values of a cell
+    are averaged. The field is joined to the weights of :func:`bilinear_weights` on the source cell and summed per
+    target: a sparse matrix product.
     """
-    table = weights.select(
-        *[F.col(name).alias(f"_t{i}") for i, name in enumerate(target)],
-        F.col("src_lat_i").alias("_sy"),
-        F.col("src_lon_i").alias("_sx"),
-        "w",
-        F.col("n_sources").alias("_needed"),
-    )
-    field = grid.where(F.col(value).isNotNull()).select(
-        *keys, F.col(source[0]).alias("_sy"), F.col(source[1]).alias("_sx"), F.col(value).alias("_v")
-    )
-    summed = (
-        field.join(size_checked(table), ["_sy", "_sx"])
-        .groupBy(*keys, *[f"_t{i}" for i in range(len(target))])
-        .agg(
-            F.sum(F.col("w") * F.col("_v")).alias("_sum"),
-            F.count(F.lit(1)).alias("_found"),
-            F.max("_needed").alias("_needed"),
-        )
-    )
-    return summed.select(
-        *keys,
-        *[F.col(f"_t{i}").alias(name) for i, name in enumerate(target)],
-        F.when(F.col("_found") == F.col("_needed"), F.col("_sum")).alias(value),
-    )
+    number = null_if_nan(F.col(value))
+    near = weighted_neighbours(grid, weights, [*keys, number.alias("_v")], target, source).where("_v IS NOT NULL")
+    names = [f"_t{i}" for i in range(len(target))]
+    cells = near.groupBy(*keys, *names).agg(interpolated(F.col("_v")).alias(value))
+    return cells.select(*keys, *[F.col(t).alias(name) for t, name in zip(names, target, strict=True)], value)
 
 
 def zone_fields(df: DataFrame, zone: str = "zone") -> DataFrame:
@@ -116,8 +143,8 @@ def zone_fields(df: DataFrame, zone: str = "zone") -> DataFrame:
 
 
 def prepare_mask(mask: DataFrame) -> DataFrame:
-    """Cells inside a zone; a NULL or 0 weight is outside. Marked for broadcast if its row count is small."""
-    return size_checked(mask.where(F.col("weight").isNotNull() & (F.col("weight") != 0)))
+    """Cells inside a zone; a NULL, NaN or 0 weight is outside. Written when this is called, broadcast if it is small."""
+    return size_checked(mask.where(null_if_nan(F.col("weight")) != 0))
 
 
 def in_zone(grid: DataFrame, mask: DataFrame, cell: Sequence[str] = ("lat_i", "lon_i")) -> DataFrame:
@@ -130,15 +157,16 @@ def zonal_sums(
 ) -> DataFrame:
     """Sums from which zonal means follow; they add up over any split of the cells.
 
-    Both weighted sums run over the same cells, those with a value.
+    All sums run over the same cells, those with a value; NaN is none.
     """
     area = F.col(area) if isinstance(area, str) else area
-    weight = F.when(F.col(value).isNotNull(), F.col("weight") * area)
+    number = null_if_nan(F.col(value))
+    weight = F.when(number.isNotNull(), F.col("weight") * area)
     return cells.groupBy(*keys).agg(
-        F.sum(F.col(value) * F.col("weight") * area).alias("weighted_sum"),
+        F.sum(number * F.col("weight") * area).alias("weighted_sum"),
         F.sum(weight).alias("weight_sum"),
-        F.sum(value).alias("plain_sum"),
-        F.count(value).alias("n_cells"),
+        F.sum(number).alias("plain_sum"),
+        F.count(number).alias("n_cells"),
     )
 
 
@@ -160,9 +188,7 @@ def zonal_mean(
 
 def zonal_plain_mean(cells: DataFrame, keys: Sequence[str], value: str = "value", out: str = "value") -> DataFrame:
     """Unweighted mean over the cells of each zone."""
-    return cells.groupBy(*keys).agg(
-        F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double")).alias(out)
-    )
+    return cells.groupBy(*keys).agg(mean(value).alias(out))
 
 
 def month_factor(component: Column | str, year: Column | str, month: Column | str) -> Column:

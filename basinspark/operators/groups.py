@@ -15,20 +15,21 @@ SMALL_GROUP = 100_000
 
 def split_groups(
     df: DataFrame, keys: Sequence[str], rows: int = SMALL_GROUP
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """The rows of groups with at most ``rows`` rows, and the rows of larger groups; None for an empty part.
+) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
+    """The rows of groups with at most ``rows`` rows, the rows of larger groups, and the keys of those; None for what is empty.
 
-    Keys must not be NULL. The sizes are one aggregate over the key columns, combined before its shuffle. The list of large groups has at most
-    one entry per ``rows`` rows of the table, and its own size is checked before it is broadcast.
+    Keys must not be NULL. The sizes are one aggregate over the key columns, combined before its shuffle; it runs when
+    this is called. The list of large groups has at most one entry per ``rows`` rows of the table, and its own size is
+    checked before it is broadcast. If there are large groups the rows are written once, as all parts read them again.
     """
     if not keys:
-        return (df, None) if df.limit(rows + 1).count() <= rows else (None, df)
+        return (df, None, None) if df.limit(rows + 1).count() <= rows else (None, persisted(df), None)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     large = persisted(sizes.where(F.col("_rows") > rows).select(*keys))
     if large.isEmpty():
-        return df, None
-    side = broadcast_if_small(large)
-    return df.join(side, list(keys), "left_anti"), df.join(side, list(keys), "left_semi")
+        return df, None, None
+    df, side = persisted(df), broadcast_if_small(large)
+    return df.join(side, list(keys), "left_anti"), df.join(side, list(keys), "left_semi"), large
 
 
 def stacked(parts: Sequence[DataFrame | None]) -> DataFrame:

@@ -25,14 +25,15 @@ def exact_quantiles(
     """Quantiles with linear interpolation of several columns per group.
 
     ``probabilities`` maps a label to a probability; the result has the columns ``<column>_<label>``. NULL and NaN are
-    left out, as are rows with a NULL key. Groups of up to ``small_group`` rows are sorted as arrays; larger groups are
-    ranked across tasks.
+    left out, as are rows with a NULL key; a group without a value keeps its row, with NULL. Groups of up to
+    ``small_group`` rows are sorted as arrays; larger groups are ranked across tasks. Group sizes are counted, and large
+    groups written, when this is called.
     """
     numbers = df.na.drop(subset=list(keys)).select(*keys, *[_number(column).alias(column) for column in columns])
-    small, large = split_groups(numbers, keys, small_group)
+    small, large, large_keys = split_groups(numbers, keys, small_group)
     parts = [
         None if small is None else _by_sorted_arrays(small, keys, columns, probabilities),
-        None if large is None else _by_ranks(large, keys, columns, probabilities),
+        None if large is None else _by_ranks(large, large_keys, keys, columns, probabilities),
     ]
     return stacked(parts)
 
@@ -63,9 +64,9 @@ def _by_sorted_arrays(
 
 
 def _by_ranks(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], probabilities: Mapping[str, float]
+    df: DataFrame, groups: DataFrame | None, keys: Sequence[str], columns: Sequence[str], probabilities: Mapping[str, float]
 ) -> DataFrame:
-    """Only the slices that hold a wanted rank are sorted for running counts."""
+    """Only the slices that hold a wanted rank are sorted for running counts. A group without values gets NULL."""
     long = df.unpivot(list(keys), [f"`{c}`" for c in columns], _SERIES, _VALUE).where(F.col(_VALUE).isNotNull())
     group = [*keys, _SERIES]
     placed, slices = value_counts_in_order(long, group, _VALUE)
@@ -90,10 +91,11 @@ def _by_ranks(
     quantiles = picked.withColumns(
         {f"_{label}": _interpolated(F.col(f"_{label}_low"), F.col(f"_{label}_high"), r) for label, r in ranks.items()}
     )
-    return quantiles.groupBy(*keys).agg(
+    wide = quantiles.groupBy(*keys).agg(
         *[
             F.max(F.when(F.col(_SERIES) == column, F.col(f"_{label}"))).alias(f"{column}_{label}")
             for column in columns
             for label in probabilities
         ]
     )
+    return wide if groups is None else groups.join(wide, list(keys), "left")

@@ -189,7 +189,7 @@ def crps(
     members = df.na.drop(subset=[*keys, member, obs]).select(
         *keys, F.col(member).cast("double").alias("_x"), F.col(obs).cast("double").alias("_y")
     )
-    small, large = split_groups(members, keys, small_group)
+    small, large, _ = split_groups(members, keys, small_group)
     parts = []
     if small is not None:
         # A member at index i of the sorted array has the weight 2(i + 1) − m − 1.

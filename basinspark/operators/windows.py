@@ -30,7 +30,7 @@ def lag_lead(
         return df.na.drop("any")
     # Rows without a series go in any case, and no other row looks at them.
     named = df.na.drop(subset=list(series)) if series else df
-    small, large = split_groups(named, series, small_group)
+    small, large, _ = split_groups(named, series, small_group)
     parts = [
         None if small is None else _shifted(small, [*series], order, columns, lag, lead),
         None if large is None else _shifted_in_chunks(large, series, order, columns, lag, lead, small_group),

@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basinspark.session import persisted
+from basinspark.session import delete_paths, persisted
+from basinspark.sources.delimited import nan_to_null
 
-# More touched partitions than this are matched by a join and not by literals.
+# Up to so many touched partitions, the values of their columns prune the scan as lists of literals.
 LITERAL_PARTITIONS = 5000
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table; NaN is read as NULL."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return nan_to_null(reader.parquet(path))
 
 
 def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -69,16 +71,19 @@ def upsert_into(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        batch.write.partitionBy(*partition_by).parquet(path)
+        batch.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
         return
     target = target.select(*batch.columns)
     touched = batch.select(*partition_by).distinct()
     listed = touched.limit(LITERAL_PARTITIONS + 1).collect()
     if len(listed) <= LITERAL_PARTITIONS:
-        tests = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(row[c]) for c in partition_by]) for row in listed]
-        target = target.where(reduce(lambda a, b: a | b, tests, F.lit(False)))
-    else:
-        target = target.join(touched, list(partition_by), "left_semi")
+        for c in partition_by:  # one list per column prunes partitions, however many are touched
+            values = {row[c] for row in listed}
+            inside = F.col(c).isin(*[v for v in values if v is not None])
+            target = target.where(inside | F.col(c).isNull() if None in values else inside)
+    if len(listed) > LITERAL_PARTITIONS or len(partition_by) > 1:
+        same = [target[c].eqNullSafe(touched[c]) for c in partition_by]
+        target = target.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
     (
         upserted(target, batch, keys)
         .hint("rebalance", *partition_by)
@@ -136,20 +141,24 @@ def retention_report(df: DataFrame, column: str, cutoff) -> DataFrame:
     )
 
 
-def delete_below(
-    spark: SparkSession, path: str, new_path: str, column: str, cutoff, partition_by: Sequence[str] = ()
-) -> int:
-    """Write the retained rows of a table to a new folder and return how many were left out.
+def delete_below(spark: SparkSession, path: str, column: str, cutoff, partition_by: Sequence[str] = ()) -> int:
+    """Delete the rows below the cutoff from a table on its own path and return how many there were.
 
-    Nothing is written when nothing is below the cutoff. A new folder is used because partitions that lose all their
-    rows would survive a partition overwrite.
+    Files whose rows are all below are dropped, files without such a row are not touched, and only the kept rows of
+    mixed files are written anew before those files go. Rows with NULL in the column are kept.
     """
     table = spark.read.parquet(path)
-    removed = table.where(F.col(column) < cutoff).count()
-    if removed:
-        writer = retained(table, column, cutoff).write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new_path)
-    return removed
+    below = F.coalesce(F.col(column) < cutoff, F.lit(False))
+    rows = table.select("*", F.col("_metadata.file_path").alias("_file")).withColumn("_below", below)
+    counts = rows.groupBy("_file").agg(F.count_if("_below").alias("gone"), F.count(F.lit(1)).alias("n"))
+    files = counts.where("gone > 0").collect()  # one row per file, as in the listing of the table itself
+    mixed = [row["_file"] for row in files if row["gone"] < row["n"]]
+    if mixed:
+        names = spark.createDataFrame([(name,) for name in mixed], "_file string")
+        writer = rows.where("NOT _below").join(F.broadcast(names), "_file", "left_semi").drop("_file", "_below").write.mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    delete_paths(spark, [row["_file"] for row in files])
+    return sum(row["gone"] for row in files)
 
 
 def latest(df: DataFrame, column: str) -> DataFrame:

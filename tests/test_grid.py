@@ -108,7 +108,29 @@ def test_unknown_zone_prefix_is_an_error(spark):
 
 
 def grid_rows(run, variable, value, cells=3):
-    return [(run, 2025, 6, variable, "surface", 0, i, j, 40.0 + i, -90.0 + j, value) for i in range(cells) for j in range(cells)]
+    level = ("heightAboveGround", 2) if variable.endswith("2t") else ("surface", 0)
+    return [(run, 2025, 6, variable, *level, i, j, 40.0 + i, -90.0 + j, value) for i in range(cells) for j in range(cells)]
+
+
+def test_reduction_takes_each_variable_from_its_level(spark):
+    from basinspark.plans.reduction import reduction_fields
+
+    fields = spark.createDataFrame(
+        [("tp", "surface", 0), ("tp", "isobaricInhPa", 850), ("avg_2t", "heightAboveGround", 2), ("avg_2t", "heightAboveGround", 10), ("mean2t", "surface", 0)],
+        "variable string, level_type string, level int",
+    )
+    assert rows(reduction_fields(fields)) == [("avg_2t", "heightAboveGround", 2), ("tp", "surface", 0)]
+
+
+def test_repeated_cells_and_missing_neighbours(spark):
+    points = spark.createDataFrame([(0, 0, 0.5, 0.5)], "lat_i int, lon_i int, lat double, lon double")
+    weights = grid.bilinear_weights(points, 0.0, 1.0, 2, 0.0, 1.0, 2)
+    cells = [("a", 0, 0, 1.0), ("a", 0, 1, 2.0), ("a", 1, 0, 3.0), ("a", 1, 1, 4.0)]
+    once = [(f"{k}", *c[1:]) for k in "a" for c in cells]
+    twice = [("b", *c[1:]) for c in cells * 2]
+    hole = [("c", *c[1:]) for c in [*cells[:3], cells[0]]] + [("c", 1, 1, float("nan"))]
+    df = spark.createDataFrame(once + twice + hole, "k string, lat_i int, lon_i int, value double")
+    assert {r.k: r.value for r in grid.regrid(df, weights, ["k"]).collect()} == {"a": 2.5, "b": 2.5, "c": None}
 
 
 def test_whole_reduction_by_hand(spark):

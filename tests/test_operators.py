@@ -65,12 +65,30 @@ def test_median_keeps_names(spark):
 
 def test_split_groups(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "key string")
-    small, large = split_groups(df, ["key"], 3)
-    assert rows(small) == [("b",)] * 2 and rows(large) == [("a",)] * 5
-    assert split_groups(df, ["key"], 5) == (df, None)
+    small, large, keys = split_groups(df, ["key"], 3)
+    assert rows(small) == [("b",)] * 2 and rows(large) == [("a",)] * 5 and rows(keys) == [("a",)]
+    assert split_groups(df, ["key"], 5) == (df, None, None)
     assert split_groups(df, [], 6)[0] is None and split_groups(df, [], 7)[1] is None
 
 
+@pytest.mark.parametrize("small_group", [2, 100_000])
+def test_group_without_values_keeps_its_row(spark, small_group):
+    df = spark.createDataFrame([("a", None)] * 5 + [("b", 1.0)] * 5, "key string, v double")
+    assert rows(exact_quantiles(df, ["key"], ["v"], {"half": 0.5}, small_group)) == [("a", None), ("b", 1.0)]
+
+
+def test_horizon_that_is_too_short_is_an_error(spark):
+    df = spark.createDataFrame([("x", 2000, m, 1.0) for m in range(1, 6)], "lake string, year int, month int, v double")
+    with pytest.raises(ValueError, match="5 months"):
+        ensemble.lead_table(df, ["lake"], "year", "month", "v", horizon=3)
+    assert len(ensemble.lead_table(df, ["lake"], "year", "month", "v", horizon=7).columns) == 8
+
+
+def test_mean_leaves_out_nan(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("b", float("nan"))], "key string, v double")
+    assert rows(ensemble.ensemble_mean(df, ["key"], ["v"])) == [("a", 1.0), ("b", None)]
+
+
 def test_positions_follow_the_order(spark):
     numbers = list(np.random.default_rng(1).permutation(3000))
     df = spark.createDataFrame([(int(n), -int(n)) for n in numbers], "n int, m int").repartition(7)

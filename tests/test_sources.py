@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from basinspark.plans.verification import posterior_observations, residual_observations
 from basinspark.schemas import RUN_KEY, RUN_TABLE
-from basinspark.session import fresh_folder, persisted, size_checked
+from basinspark.session import fresh_folder, persisted, scratch, shared_folder, size_checked
 from basinspark.sources import grids, listings, tables
 from basinspark.sources.delimited import nan_to_null, read_series, write_tsv
 
@@ -165,9 +167,9 @@ def test_append_lookup_retention(spark, tmp_path):
     found = tables.lookup(data, wanted, ["cfs_run"], ["value [mm]"])
     assert {r["cfs_run"]: r["value [mm]"] for r in found.collect()} == {2024080100: 2.0, 5: None}
     assert tuple(tables.retention_report(data, "cfs_run", 2024080100).first()) == (1, 1)
-    assert tables.delete_below(spark, path, str(tmp_path / "kept"), "cfs_run", 2024080100, ["year"]) == 2
-    assert rows(spark.read.parquet(str(tmp_path / "kept")).select("cfs_run")) == [(2024080100,)] * 2
-    assert tables.delete_below(spark, path, str(tmp_path / "none"), "cfs_run", 1) == 0
+    assert tables.delete_below(spark, path, "cfs_run", 1) == 0
+    assert tables.delete_below(spark, path, "cfs_run", 2024080100) == 2
+    assert rows(spark.read.parquet(path).select("cfs_run")) == [(2024080100,)] * 2
     assert tables.latest(data, "cfs_run").first()[0] == 2024080100
     assert tables.latest(data.limit(0), "cfs_run").first()[0] is None
     renamed = tables.rename_columns(data, {"value [mm]": "value"})
@@ -183,5 +185,29 @@ def test_shared_folder_and_size_check(spark):
     def plan(side):
         return spark.range(10).join(side, "id")._jdf.queryExecution().toString()
 
-    assert "strategy=broadcast" in plan(size_checked(df, rows=100))
-    assert "strategy=broadcast" not in plan(size_checked(df, rows=99))
+    assert "strategy=broadcast" in plan(size_checked(df, most_bytes=3200))
+    assert "strategy=broadcast" not in plan(size_checked(df, most_bytes=3199))
+    long_texts = df.withColumn("text", F.repeat(F.lit("x"), 100))
+    assert "strategy=broadcast" not in plan(size_checked(long_texts, most_bytes=13999))
+
+
+def test_scratch_tables_go_with_their_scope(spark, tmp_path):
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    with scratch(spark):
+        inner = persisted(spark.range(3))
+        with scratch(spark):
+            persisted(inner).count()
+        assert inner.count() == 3
+        assert len(set(os.listdir(shared_folder(spark).removeprefix("file:"))) - before) == 1
+    assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == before
+
+
+def test_files_are_deleted_or_rewritten_below_a_cutoff(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.createDataFrame([(1, 2000), (2, 2000)], "run long, year int").coalesce(1).write.partitionBy("year").parquet(path)
+    spark.createDataFrame([(2, 2001), (5, 2001), (None, 2001)], "run long, year int").coalesce(1).write.mode("append").partitionBy("year").parquet(path)
+    spark.createDataFrame([(7, 2002)], "run long, year int").coalesce(1).write.mode("append").partitionBy("year").parquet(path)
+    untouched = {f for f in os.listdir(f"{path}/year=2002")}
+    assert tables.delete_below(spark, path, "run", 3, ["year"]) == 3
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(None, 2001), (5, 2001), (7, 2002)}
+    assert untouched == {f for f in os.listdir(f"{path}/year=2002")}
