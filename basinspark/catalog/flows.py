@@ -168,35 +168,54 @@ def published_leads(spark: SparkSession, folder: str) -> DataFrame:
     return leads.withColumns({f"month_{k}": F.round(f"month_{k}", 6) for k in range(1, 10)})
 
 
-@query()
+def _monthly_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as targets of every month that has features: each line counts for all components of its lake."""
+    lines = line_months(spark, folder).withColumns(
+        {"lake": _pick(FEATURE_LAKES, F.col("l_linenumber")), "i": F.explode(F.sequence(F.lit(0), F.lit(len(TARGET_COMPONENTS) - 1)))}
+    )
+    named = lines.withColumn("name", F.concat("lake", F.lit("_"), _pick(TARGET_COMPONENTS, F.col("i"))))
+    value = F.col("l_quantity") * (F.col("i") + 1)
+    return to_wide(named.withColumn("observed", value), ["year", "month"], "name", TARGETS, "observed").na.drop("any")
+
+
+_TRAINED = ("1995-01-01", "1998-12-01")
+_JUDGED = ("1999-01-01", "2001-12-01")
+
+
+@query(f"SELECT unnest(['GP', 'RF', 'LR']) AS model, target, true AS scored FROM (SELECT unnest({[*TARGETS, 'mean']}) AS target)")
 def training_flow(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly features and targets, three models, hold-out scores per model and target."""
+    """Monthly features, all targets, three models of full size, hold-out scores per model and target."""
     features = feature_matrix(_run_table(spark, folder)).groupBy("year", "month").agg(
         *[F.avg(name).alias(name) for name in FEATURES]
     )
-    names = TARGETS[:2]
-    targets = _targets(spark, folder).select("year", "month", *names)
-    _, scores = train(
-        features.join(targets.select("year", "month"), ["year", "month"], "left_semi"),
-        targets,
-        FEATURES,
-        names,
-        ("1995-01-01", "1998-12-01"),
-        ("1999-01-01", "2001-12-01"),
-        kernel=models.KernelFeatures(n_inputs=len(FEATURES), n_features=100, matern_length=10.0, quadratic_length=10.0),
-        trees=10,
-    )
-    return scores
+    _, scores = train(features, _monthly_targets(spark, folder), FEATURES, TARGETS, _TRAINED, _JUDGED)
+    observed = F.regexp_replace("target", "_obs$", "")
+    return scores.select("model", observed.alias("target"), ((F.col("mse") >= 0) & (F.col("r2") <= 1)).alias("scored"))
 
 
-@query()
+@query(
+    f"""
+    WITH cells AS (
+        SELECT year, month, cfs_run FROM (
+            SELECT {LINE_MONTH}, year(l_shipdate) * 1000000 + month(l_shipdate) * 10000 + 100 + l_suppkey % 2 * 6 AS cfs_run,
+                   l_linenumber % {len(FEATURE_LAKES)} AS lake, l_partkey % {len(SURFACES)} AS surface,
+                   ascii(l_returnflag) % {len(PREDICTOR_COMPONENTS)} AS component
+            FROM lineitem WHERE year(l_shipdate) * 12 + month(l_shipdate) >= 2001 * 12 + 3)
+        GROUP BY year, month, cfs_run
+        HAVING count(DISTINCT (lake, surface, component)) = {len(FEATURE_LAKES) * len(SURFACES) * len(PREDICTOR_COMPONENTS)}),
+    months AS (SELECT DISTINCT year, month FROM cells),
+    names AS (SELECT unnest({FEATURE_LAKES}) AS lake), parts AS (SELECT unnest({TARGET_COMPONENTS}) AS component)
+    SELECT (SELECT CAST(min(year * 100 + month) // 100 AS INTEGER) FROM months) AS current_year,
+           (SELECT CAST(min(year * 100 + month) % 100 AS INTEGER) FROM months) AS current_month,
+           year AS forecast_year, month AS forecast_month, lake, component, true AS published
+    FROM months, names, parts
+    """
+)
 def forecast_flow(spark: SparkSession, folder: str) -> DataFrame:
-    """Run table → cut-off → features → a linear model of all targets → published forecast."""
+    """Run table → cut-off → features → three models of all targets → published forecast."""
     runs = _run_table(spark, folder)
-    targets = _targets(spark, folder)
-    matched = feature_matrix(runs).join(targets.select("year", "month"), ["year", "month"], "left_semi")
-    table = persisted(training_table(matched, targets))
-    ensemble = models.Ensemble(FEATURES, TARGETS, fit_scaler(table, FEATURES), fit_scaler(table, TARGETS))
-    scaled = ensemble.y_scaler.scale(ensemble.scaled_inputs(table))
-    ensemble.models["LR"] = models.fit_linear(scaled, TARGETS)
-    return forecast(runs, ensemble, AS_OF).published
+    table = persisted(training_table(feature_matrix(runs), _monthly_targets(spark, folder)))
+    ensemble = models.fit_ensemble(table, FEATURES, TARGETS, fit_scaler(table, FEATURES), fit_scaler(table, TARGETS))
+    rows = forecast(runs, ensemble, AS_OF).published
+    found = F.col("`value [mm]`").isNotNull() & F.col("`value [cms]`").isNotNull()
+    return rows.select("current_year", "current_month", "forecast_year", "forecast_month", "lake", "component", found.alias("published"))

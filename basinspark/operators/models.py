@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinspark.operators.ensemble import union_models
@@ -37,7 +37,8 @@ class KernelFeatures:
     """Random Fourier features of the product of a Matérn (ν = 3/2) and a rational quadratic kernel.
 
     A product of kernels adds their random frequencies. The Matérn part draws from a t distribution with three degrees
-    of freedom; the rational quadratic part from a normal distribution with gamma-distributed variance.
+    of freedom; the rational quadratic part from a normal distribution with gamma-distributed variance. Frequencies and
+    phases are drawn once, from the seed, unless they are given; a saved model keeps them.
     """
 
     n_inputs: int
@@ -46,9 +47,17 @@ class KernelFeatures:
     quadratic_length: float = 1.0
     quadratic_alpha: float = 1.0
     seed: int = 42
+    frequencies: np.ndarray | None = None  # one row per input, one column per feature
+    phases: np.ndarray | None = None
+
+    def __post_init__(self) -> None:
+        if self.frequencies is None:
+            frequencies, phases = self.draws()
+            object.__setattr__(self, "frequencies", frequencies)
+            object.__setattr__(self, "phases", phases)
 
     def draws(self) -> tuple[np.ndarray, np.ndarray]:
-        """Frequencies and phases; the same seed gives the same draws on every executor."""
+        """Random frequencies and phases."""
         source = np.random.default_rng(self.seed)
         shape = (self.n_inputs, self.n_features)
         t3 = source.standard_normal(shape) / np.sqrt(source.chisquare(3, self.n_features) / 3)
@@ -59,8 +68,19 @@ class KernelFeatures:
 
     def waves(self, x: np.ndarray) -> np.ndarray:
         """Features of a batch of rows."""
-        frequencies, phases = self.draws()
-        return np.sqrt(2 / self.n_features) * np.cos(x @ frequencies + phases)
+        return waves(x, self.frequencies, self.phases)
+
+
+def waves(x: np.ndarray, frequencies: np.ndarray, phases: np.ndarray) -> np.ndarray:
+    return np.sqrt(2 / len(phases)) * np.cos(x @ frequencies + phases)
+
+
+def summed(terms: Sequence[Column]) -> Column:
+    """Sum of columns as a balanced tree, so that many of them do not nest deeply."""
+    terms = list(terms)
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2], strict=False)] + ([terms[-1]] if len(terms) % 2 else [])
+    return terms[0]
 
 
 @dataclass
@@ -77,21 +97,20 @@ class LinearFit:
         if self.kernel is None:
             inputs = df.withColumn("_x", vector_to_array(_X))
             outputs = {
-                target: F.aggregate(
-                    F.zip_with("_x", F.lit(self.coefficients[:, i].tolist()), lambda x, c: x * c),
-                    F.lit(float(self.intercepts[i])),
-                    lambda total, term: total + term,
-                )
+                target: summed([F.get("_x", k) * F.lit(float(c)) for k, c in enumerate(self.coefficients[:, i])])
+                + F.lit(float(self.intercepts[i]))
                 for i, target in enumerate(self.targets)
             }
             return inputs.withColumns(outputs).drop("_x")
-        kernel, coefficients, intercepts = self.kernel, self.coefficients, self.intercepts
+        features, phases = self.kernel.frequencies, self.kernel.phases
+        coefficients, intercepts = self.coefficients, self.intercepts
 
         @F.pandas_udf("array<double>")
         def outputs_of(batch: pd.Series) -> pd.Series:
             if batch.empty:
                 return pd.Series([], dtype=object)
-            return pd.Series(list(kernel.waves(np.stack(batch.to_numpy())) @ coefficients + intercepts))
+            waves_of = np.sqrt(2 / len(phases)) * np.cos(np.stack(batch.to_numpy()) @ features + phases)
+            return pd.Series(list(waves_of @ coefficients + intercepts))
 
         scored = df.withColumn("_outputs", outputs_of(vector_to_array(F.col(_X))))
         return scored.withColumns({t: F.get("_outputs", i) for i, t in enumerate(self.targets)}).drop("_outputs")
@@ -113,8 +132,10 @@ class ForestFit:
 def _products(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures | None) -> np.ndarray:
     """Sums of products of (1, features, targets) over all rows with complete targets.
 
-    Each task adds up its own rows, and the sums of the tasks are added by matrix row.
+    Each task adds up its own rows, and the sums of the tasks are added by matrix row. Input partitions are joined into
+    a few per core first, as each task sends one matrix. Tasks get plain arrays and do not need this package.
     """
+    frequencies, phases = (None, None) if kernel is None else (kernel.frequencies, kernel.phases)
     inputs = df.na.drop(subset=list(targets)).select(
         vector_to_array(F.col(_X)).alias("x"), F.array(*[F.col(f"`{t}`").cast("double") for t in targets]).alias("y")
     )
@@ -125,13 +146,16 @@ def _products(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures | No
             if batch.empty:
                 continue
             x, y = np.stack(batch["x"].to_numpy()), np.stack(batch["y"].to_numpy())
-            rows = np.hstack([np.ones((len(x), 1)), x if kernel is None else kernel.waves(x), y])
+            if phases is not None:
+                x = np.sqrt(2 / len(phases)) * np.cos(x @ frequencies + phases)
+            rows = np.hstack([np.ones((len(x), 1)), x, y])
             total = rows.T @ rows if total is None else total + rows.T @ rows
         if total is not None:
             yield pd.DataFrame({"line": np.arange(len(total)), "products": list(total)})
 
     sums = (
-        inputs.mapInPandas(partial, "line long, products array<double>")
+        inputs.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+        .mapInPandas(partial, "line long, products array<double>")
         .groupBy("line")
         .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("products")))).alias("products"))
     )
@@ -163,9 +187,11 @@ def fit_kernel(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures, no
     return LinearFit(list(targets), np.zeros(k), coefficients, kernel)
 
 
-def fit_forest(df: DataFrame, targets: Sequence[str], trees: int = 100, seed: int = 42, depth: int = 5) -> ForestFit:
-    """Random forest per target."""
-    forest = RandomForestRegressor(featuresCol=_X, numTrees=trees, seed=seed, maxDepth=depth)
+def fit_forest(df: DataFrame, targets: Sequence[str], trees: int = 100, seed: int = 42, depth: int = 30) -> ForestFit:
+    """Random forest per target; every split may use every feature, and 30 is the greatest depth that Spark allows."""
+    forest = RandomForestRegressor(
+        featuresCol=_X, numTrees=trees, seed=seed, maxDepth=depth, featureSubsetStrategy="all"
+    )
     return ForestFit(
         {
             target: forest.copy({forest.labelCol: target}).fit(df.where(F.col(f"`{target}`").isNotNull()))
@@ -215,6 +241,7 @@ def fit_ensemble(
     trees: int = 100,
     seed: int = 42,
     noise: float = 0.1,
+    depth: int = 30,
 ) -> Ensemble:
     """Fit the kernel, forest and linear models on standardised data; the rows are cached for the repeated passes."""
     ensemble = Ensemble(list(features), list(targets), x_scaler, y_scaler)
@@ -223,7 +250,7 @@ def fit_ensemble(
     try:
         kernel = kernel or KernelFeatures(n_inputs=len(features), seed=seed)
         ensemble.models["GP"] = fit_kernel(scaled, targets, kernel, noise)
-        ensemble.models["RF"] = fit_forest(scaled, targets, trees, seed)
+        ensemble.models["RF"] = fit_forest(scaled, targets, trees, seed, depth)
         ensemble.models["LR"] = fit_linear(scaled, targets)
     finally:
         scaled.unpersist()
@@ -265,7 +292,13 @@ def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
             for number, target in enumerate(ensemble.targets):
                 fitted.models[target].write().save(f"{path}/models/{name}/{number}")
         else:
-            about["models"][name] = {"kind": "linear", "kernel": vars(fitted.kernel) if fitted.kernel else None}
+            kernel = fitted.kernel
+            shape = {k: v for k, v in vars(kernel).items() if k not in ("frequencies", "phases")} if kernel else None
+            about["models"][name] = {"kind": "linear", "kernel": shape}
+            if kernel:
+                drawn = [(i, kernel.frequencies[:, i].tolist(), float(kernel.phases[i])) for i in range(kernel.n_features)]
+                table = spark.createDataFrame(drawn, "feature int, frequencies array<double>, phase double")
+                table.coalesce(1).write.parquet(f"{path}/kernels/{name}")
             rows = [
                 (target, float(fitted.intercepts[i]), fitted.coefficients[:, i].tolist())
                 for i, target in enumerate(fitted.targets)
@@ -275,6 +308,13 @@ def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
     spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/about")
 
 
+def _load_kernel(spark: SparkSession, path: str, shape: dict) -> KernelFeatures:
+    rows = spark.read.parquet(path).orderBy("feature").collect()  # one per feature
+    return KernelFeatures(
+        **shape, frequencies=np.array([r["frequencies"] for r in rows]).T, phases=np.array([r["phase"] for r in rows])
+    )
+
+
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     about = json.loads(spark.read.text(f"{path}/about").first()["value"])
     targets = about["targets"]
@@ -289,7 +329,7 @@ def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
                 targets,
                 np.array([rows[t]["intercept"] for t in targets]),
                 np.array([rows[t]["coefficients"] for t in targets]).T,
-                KernelFeatures(**entry["kernel"]) if entry["kernel"] else None,
+                _load_kernel(spark, f"{path}/kernels/{name}", entry["kernel"]) if entry["kernel"] else None,
             )
     return Ensemble(
         about["features"], targets, Scaler.read(spark, f"{path}/x_scaler"), Scaler.read(spark, f"{path}/y_scaler"), models

@@ -27,6 +27,7 @@ def train(
     kernel: KernelFeatures | None = None,
     trees: int = 100,
     seed: int = 42,
+    depth: int = 30,
 ) -> tuple[Ensemble, DataFrame]:
     """Fit on the training months and score on the hold-out months, both standardised by the training months.
 
@@ -42,7 +43,7 @@ def train(
     )
     train_rows, test_rows = date_split(table, "month_start", train_period, test_period)
     x_scaler, y_scaler = fit_scaler(train_rows, feature_names), fit_scaler(train_rows, target_names)
-    ensemble = fit_ensemble(train_rows, feature_names, target_names, x_scaler, y_scaler, kernel, trees, seed)
+    ensemble = fit_ensemble(train_rows, feature_names, target_names, x_scaler, y_scaler, kernel, trees, seed, depth=depth)
     observed = {target: f"{target}_obs" for target in target_names}
     inputs = y_scaler.scale(test_rows, target_names).withColumnsRenamed(observed)
     scores = {}
