@@ -74,8 +74,8 @@ def skill_std(spark: SparkSession, folder: str) -> DataFrame:
         SELECT model, avg(p) AS mp, avg(o) AS mo, stddev_pop(p) AS sp, stddev_pop(o) AS so FROM ({_PAIRS}) GROUP BY model
     ), z AS (SELECT model, (p - mp) / sp AS p, (o - mo) / so AS o FROM ({_PAIRS}) JOIN m USING (model))
     SELECT model, count(*) AS n_pairs, round(sqrt(avg((p - o) * (p - o))), {DIGITS}) AS rmse,
-           round(1 - avg((p - o) * (p - o)), {DIGITS}) AS r2, 0.0::DOUBLE AS bias, 1.0::DOUBLE AS variance,
-           round(avg(abs(p - o)), {DIGITS}) AS crps
+           round(1 - avg((p - o) * (p - o)), {DIGITS}) AS r2, abs(round(avg(p - o), {DIGITS})) AS bias,
+           round(var_pop(p) / var_pop(o), {DIGITS}) AS variance, round(avg(abs(p - o)), {DIGITS}) AS crps
     FROM z GROUP BY model
     """
 )

@@ -17,32 +17,6 @@ RUN_TABLE = T.StructType(
 )
 RUN_KEY = ["cfs_run", "year", "month", "lake", "surface_type", "component"]
 
-ENSEMBLE_TABLE = T.StructType(
-    [
-        T.StructField("cfs_run", T.LongType()),
-        T.StructField("month", T.IntegerType()),
-        T.StructField("year", T.IntegerType()),
-        T.StructField("model", T.StringType()),
-        T.StructField("lake", T.StringType()),
-        T.StructField("component", T.StringType()),
-        T.StructField("value [mm]", T.DoubleType()),
-        T.StructField("value [cms]", T.DoubleType()),
-    ]
-)
-
-PUBLISHED_FORECAST = T.StructType(
-    [
-        T.StructField("current_year", T.IntegerType()),
-        T.StructField("current_month", T.IntegerType()),
-        T.StructField("forecast_year", T.IntegerType()),
-        T.StructField("forecast_month", T.IntegerType()),
-        T.StructField("lake", T.StringType()),
-        T.StructField("component", T.StringType()),
-        T.StructField("value [mm]", T.DoubleType()),
-        T.StructField("value [cms]", T.DoubleType()),
-    ]
-)
-
 POSTERIOR_OBSERVATIONS = T.StructType(
     [T.StructField(name, T.DoubleType()) for name in ("Year", "Month", "Median", "2.5 Percentile", "97.5 Percentile")]
 )
@@ -98,12 +72,6 @@ MASK_LAKE_AREAS = {
     "michigan-huron": 123626283030.46616,
     "superior": 78288645587.81192,
 }
-MASK_LAND_AREAS = {
-    "erie": 81902183517.35063,
-    "ontario": 64465190376.66068,
-    "michigan-huron": 236478938454.17358,
-    "superior": 123736048741.43369,
-}
 
 # Order of lakes, surfaces and components in the feature and target tables.
 FEATURE_LAKES = ["superior", "erie", "ontario", "michigan-huron"]
@@ -130,6 +98,3 @@ SKILL_GROUPS = {
     "Runoff": ["runoff"],
     "CNBS": ["cnbs"],
 }
-
-# Units of the run table by component.
-COMPONENT_UNITS = {"precipitation": "mm", "evaporation": "mm", "runoff": "mm", "cnbs": "mm", "air_temperature": "K"}
