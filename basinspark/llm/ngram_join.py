@@ -7,13 +7,15 @@ frequent ones last. Documents with equal sets form a class and take part once.
    each. These prefixes meet by shingle; only shingles of two classes or more are kept.
 2. *Counting.* The order is cut into fragments. For a candidate pair the overlap is counted in each fragment on its own
    and summed per pair, so no row holds a whole long document, and pairs at or above the threshold become links.
-3. *No pair twice.* A first round links each class to the ones it most often meets as the first of a shingle or as its
-   neighbour there. Only pairs of classes that are still in different components are then enumerated in full, so a
-   group of thousands of near copies is never expanded into all its pairs, and no component can be missed: every pair
-   of a link either lies within one component already or is counted in the second round.
+3. *No pair twice.* In a few rounds each class meets one other class at each of its shingles, in an order that changes
+   from round to round; the pairs that share most of their prefixes are counted, and those of one component no longer
+   meet. Then all pairs of classes that are still in different components are enumerated in full. So a group of
+   thousands of near copies is never expanded into all its pairs, and no component can be missed: every pair of a link
+   either lies within one component already or is counted at the end.
 
 The list of frequent shingles (at most ``heavy_most``) only changes the order, thus the work and not the result. Each
-task counts shingles in blocks of ``heavy_block`` and reports those seen ``heavy_copies`` times in a block, over all rows.
+task counts the shingles of distinct classes in blocks of ``heavy_block`` and reports those seen ``heavy_copies`` times
+in a block, over all rows; a shingle of more classes than there are blocks is surely among them.
 
 Defined cases: a NULL or empty text has an empty set and is linked with nothing; a text of fewer words than a shingle is
 one shingle of all its words; repeated rows share a class; a NULL doc_id takes part but is never the smallest id unless all
@@ -38,10 +40,13 @@ from basinspark.llm.common import dropped, stored
 class JoinParameters:
     words: int = 5
     percent: int = 75
-    fragments: int = 8  # a power of two
-    heavy_block: int = 2_000_000
-    heavy_copies: int = 4
-    heavy_most: int = 200_000
+    fragments: int = 4  # a power of two
+    heavy_block: int = 4_000_000
+    heavy_copies: int = 2
+    heavy_most: int = 300_000
+    rounds: int = 4  # at most, before the full enumeration
+    partners: int = 3  # of a class in a round
+    worth: float = 0.01  # share of the meeting classes that a round must link to be followed by another
     known_classes: int = 500_000  # class ids that a task remembers so as to send copies once
     broadcast_rows: int = 300_000  # largest list of document ids (8 bytes each) that is broadcast
 
@@ -77,7 +82,7 @@ def _digests(seed: int, params: JoinParameters):
     """Rows (doc_id, n, node, check) of all documents, and rows (gram, copies) of shingles frequent in a block of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = [], 0
+        block, held, known = [], 0, set()
 
         def frequent() -> pa.RecordBatch:
             grams, copies = np.unique(np.concatenate(block), return_counts=True)
@@ -92,10 +97,15 @@ def _digests(seed: int, params: JoinParameters):
             for text in batch.column(1).to_pylist():
                 grams = shingles(text, seed, params.words)
                 sizes.append(len(grams))
-                nodes.append(class_id(grams) if len(grams) else None)
+                node = class_id(grams) if len(grams) else None
+                nodes.append(node)
                 checks.append(int(np.int64(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), 1)))) if len(grams) else None)
-                block.append(grams)
-                held += len(grams)
+                if node not in known:
+                    if len(known) >= params.known_classes:
+                        known.clear()
+                    known.add(node)
+                    block.append(grams)
+                    held += len(grams)
                 if held >= params.heavy_block:
                     yield frequent()
                     block, held = [], 0
@@ -190,8 +200,8 @@ class NgramJoin:
             if self.classes.where("clash").isEmpty():  # else two sets got one 64-bit id: hash anew
                 break
         often = facts.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("copies").alias("copies"))
-        rows = often.orderBy(F.desc("copies"), "gram").limit(params.heavy_most).toPandas()
-        keys = rows["gram"].to_numpy(dtype=np.int64).view(np.uint64)
+        rows = often.orderBy(F.desc("copies"), "gram").limit(params.heavy_most).toArrow()
+        keys = rows["gram"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
         self.heavy = self.spark.sparkContext.broadcast((keys[order], len(keys) - order))
 
@@ -201,29 +211,55 @@ class NgramJoin:
         return table
 
     def close(self) -> None:
-        dropped(self.spark, *self.paths)
+        self._drop(self.paths)
+
+    def _drop(self, paths: list[str]) -> None:
+        """Delete tables that no later step reads."""
+        dropped(self.spark, *paths)
+        self.paths = [p for p in self.paths if p not in set(paths)]
 
     def fits(self, a: Column, b: Column) -> Column:
         return 100 * F.least(a, b) >= self.params.percent * F.greatest(a, b)
 
     def meetings(self) -> DataFrame:
-        """Prefix shingles that at least two classes share: a row per shingle and class, with the first and the previous one."""
+        """Prefix shingles that at least two classes share: a row per shingle and class."""
         entries = self.texts.select("text").mapInArrow(_prefixes(self.seed, self.heavy, self.params), "gram long, node long, n int")
-        own = F.struct("n", "node")
-        ordered = Window.partitionBy("gram").orderBy("n", "node")
-        all_rows = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        seen = entries.withColumns({"head": F.first(own).over(all_rows), "tail": F.last(own).over(all_rows), "prev": F.lag(own).over(ordered)})
-        shared = seen.where((F.col("head.node") != F.col("tail.node")) & (F.col("prev").isNull() | (F.col("prev.node") != F.col("node"))))
-        return self._stored(shared.select("gram", "node", "n", "head", "prev"), "meetings")
-
-    def first_pairs(self, meetings: DataFrame) -> DataFrame:
-        """For each class the two others that it meets most often as first of a shingle or neighbour."""
-        met = meetings.select("node", "n", F.explode(F.array("head", "prev")).alias("other")).where("other.node <> node")
-        met = met.where(self.fits(F.col("n"), F.col("other.n"))).groupBy("node", "n", "other").count()
-        met = met.where(F.col("count") * 1000 >= F.col("n") * (100 - self.params.percent))  # a tenth of the prefix
-        best = Window.partitionBy("node").orderBy(F.desc("count"), "other")
-        top = met.withColumn("place", F.row_number().over(best)).where("place <= 2")
-        return self.pairs(top.select(F.struct("n", "node").alias("x"), F.col("other").alias("y")))
+        ordered = Window.partitionBy("gram").orderBy("node")
+        last = F.last("node").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        seen = entries.withColumns({"prev": F.lag("node").over(ordered), "first": F.first("node").over(ordered), "last": last})
+        shared = seen.where("first <> last AND (prev IS NULL OR prev <> node)")
+        return self._stored(shared.select("gram", "node", "n"), "meetings")
+
+    def open_meetings(self, meetings: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Meetings with the component of each class, without the shingles whose classes are all in one component."""
+        if labels is None:
+            return meetings.withColumn("component", F.col("node"))
+        named = meetings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        within = Window.partitionBy("gram")
+        ends = named.withColumns({"low": F.min("component").over(within), "high": F.max("component").over(within)})
+        return ends.where("low <> high").drop("low", "high")
+
+    def enough(self, shared: Column, n_a: Column, n_b: Column) -> Column:
+        """Whether two sets that share so much of their prefixes can reach the threshold.
+
+        Beyond the prefix that ends first in the order lie at most ceil(t n) - 1 shared shingles.
+        """
+        p = self.params.percent
+        beyond = F.ceil(p * F.greatest(n_a, n_b) / 100) - 1
+        return (100 + p) * (shared + beyond) >= p * (n_a + n_b)
+
+    def round_pairs(self, meetings: DataFrame, prefixes: DataFrame, labels: DataFrame | None, number: int) -> DataFrame:
+        """For each class some others of different components that it meets, those that share most of its prefix."""
+        dealt = Window.partitionBy("gram").orderBy(F.xxhash64(F.lit(number), "gram", "node"), "node")
+        met = self.open_meetings(meetings, labels).withColumn("prev", F.lag(F.struct("node", "n", "component")).over(dealt))
+        met = met.where((F.col("prev.component") != F.col("component")) & self.fits(F.col("n"), F.col("prev.n")))
+        pairs = self.pairs(met.select(F.struct("n", "node").alias("x"), F.col("prev").alias("y")))
+        both = pairs.join(prefixes.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
+        both = both.join(prefixes.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
+        counted = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("shared"))
+        hopeful = counted.where(self.enough(F.col("shared"), F.col("n_a"), F.col("n_b")))
+        best = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
+        return hopeful.withColumn("place", F.row_number().over(best)).where(F.col("place") <= self.params.partners).drop("place", "shared")
 
     @staticmethod
     def pairs(found: DataFrame) -> DataFrame:
@@ -233,7 +269,7 @@ class NgramJoin:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """Pairs at or above the threshold, by overlaps counted per fragment and summed."""
-        p = self.params
+        p, before = self.params, len(self.paths)
         pairs = self._stored(pairs, "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = self._stored(nodes.join(self.classes, "node").select("rep").distinct(), "wanted")
@@ -247,10 +283,13 @@ class NgramJoin:
         partial = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("shared").alias("shared"))  # repeated rows
         total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
         reached = (100 + p.percent) * F.col("shared") >= p.percent * (F.col("n_a") + F.col("n_b"))
-        return self._stored(total.where(reached).select("a", "b"), "links")
+        links = self._stored(total.where(reached).select("a", "b"), "links")
+        self._drop(self.paths[before:-1])
+        return links
 
     def components(self, edges: DataFrame) -> DataFrame:
         """(node, component) of every node of an edge: least labels of neighbours, and labels of labels, until stable."""
+        before = len(self.paths)
         both = self._stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
         labels = self._stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), "labels")
         while True:
@@ -260,35 +299,48 @@ class NgramJoin:
             step = self._stored(jumped, "labels")
             labels = step.select("node", "component")
             if step.where("component <> old").isEmpty():
+                self._drop(self.paths[before:-1])
                 return labels
 
-    def second_pairs(self, meetings: DataFrame, labels: DataFrame) -> DataFrame:
+    def all_pairs(self, meetings: DataFrame, labels: DataFrame) -> DataFrame:
         """All pairs of different components that meet often enough in their prefixes to reach the threshold."""
-        p = self.params
-        named = meetings.select("gram", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        within = Window.partitionBy("gram")
-        open_ = named.withColumns({"low": F.min("component").over(within), "high": F.max("component").over(within)}).where("low <> high").drop("low", "high")
+        open_ = self._stored(self.open_meetings(meetings, labels), "open")
         x, y = open_.alias("x"), open_.alias("y")
         on = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
         met = x.join(y, on & self.fits(F.col("x.n"), F.col("y.n")))
         counted = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).count()
-        # beyond the shorter prefix lie at most ceil(t n) - 1 shared shingles
-        beyond = F.ceil(p.percent * F.greatest("n_a", "n_b") / 100) - 1
-        return counted.where((100 + p.percent) * (F.col("count") + beyond) >= p.percent * (F.col("n_a") + F.col("n_b"))).drop("count")
+        return counted.where(self.enough(F.col("count"), F.col("n_a"), F.col("n_b"))).drop("count")
 
-    def members(self) -> DataFrame:
-        """(doc_id, n_shingles, class_id, component_id) of every document."""
-        meetings = self.meetings()
-        first = self.linked(self.first_pairs(meetings))
-        labels = self.components(first)
-        second = self.linked(self.second_pairs(meetings, labels))
-        joined = second
+    def merged(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
+        """Components after more links between classes of different components."""
+        if labels is None:
+            return self.components(links)
+        joined = links
         for side in ("a", "b"):
             joined = joined.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_component")), side, "left")
         between = joined.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b")).where("a <> b").distinct()
-        merged = self.components(between).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+        moved = self.components(between).select(F.col("node").alias("component"), F.col("component").alias("moved"))
+        # a class without a link so far is its own component, so it is among the moved ones
+        alone = moved.select(F.col("component").alias("node"), "component").join(labels, "node", "left_anti")
+        every = labels.unionByName(alone).join(moved, "component", "left")
+        return self._stored(every.select("node", F.coalesce("moved", "component").alias("component")), "labels")
+
+    def members(self) -> DataFrame:
+        """(doc_id, n_shingles, class_id, component_id) of every document."""
+        meetings = self.meetings()
+        prefixes = self._stored(meetings.groupBy("node").agg(F.collect_list("gram").alias("grams")), "prefixes")
+        classes, labels = prefixes.count(), None
+        for number in range(self.params.rounds):
+            links = self.linked(self.round_pairs(meetings, prefixes, labels, number))
+            found = links.count()
+            if found:
+                labels = self.merged(labels, links)
+            if found <= self.params.worth * classes:
+                break
+        if labels is None:
+            labels = self.spark.createDataFrame([], "node long, component long")
+        labels = self.merged(labels, self.linked(self.all_pairs(meetings, labels)))
         top = self.classes.select("node", "rep").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        top = top.join(merged, "component", "left").select("node", "rep", F.coalesce("merged", "component").alias("component"))
         least = top.groupBy("component").agg(F.min("rep").alias("component_id"))
         ids = top.join(least, "component").select("node", F.col("rep").alias("class_id"), "component_id")
         rows = self.documents.join(ids, "node", "left")
