@@ -1,21 +1,25 @@
-"""Language-model scoring: a causal self-attention model over subword ids, trained in numpy, beside word unigrams.
+"""Language-model scoring: a causal self-attention model over subword ids, trained in numpy by Spark tasks, beside word unigrams.
 
-A text is its words and an end. A word is its subword ids in a public byte-pair vocabulary, with a leading blank. The
-probability of a word is that of the class of its leading subword given the words before (the attention model), of that
-subword in its class, and of the word given its leading subword. The last is its share of the words with that subword if
-it is common, plus the share of all words that are not common times its further subwords, each given the one before, and
-its end (tables of counts). Classes are the most frequent leading subwords, one class each, and the others in groups of about equal counts.
+A text is the subword ids of its words in a public byte-pair vocabulary, each word with a leading blank, and an end. The
+attention model reads the ids before a place and predicts the id there: the class of the id, then the id in its class,
+both from the state of the place. Every id has an input and an output vector of its own. Classes only order the
+softmax: the most frequent ids are classes alone, the others are in groups of about equal counts.
 
-The tables (word counts, leading and further subwords and their pairs, word ends) are counted over all training texts. The attention
-weights are fitted on windows of about ``sample_documents`` training texts. Scoring lays overlapping windows over every
-whole text: a window's first ``context`` places only serve as context, except in a text's first window, so each token is
-scored once. Windows of many texts are computed together under one causal mask.
+The weights are fitted on the windows of all training texts, each once. The texts are dealt into ``rounds`` by a hash of
+their key. In a round every task starts from the same weights and takes its windows in batches; Spark adds up the tasks'
+changes, each weighted by the places that it comes from (for an id's vectors: the places of that id or its class), and
+the driver takes the mean. The sums are whole numbers, so their order does not matter. At most ``trainers`` tasks take
+part, which bounds the sums that are sent, not the texts.
+
+Scoring lays overlapping windows over every whole text: a window's first ``context`` places only serve as context,
+except in a text's first window, so each id is scored once. Windows of many texts are computed together under one
+causal mask.
 
 Word counts of any size stay distributed: only words with at least ``common_share`` of all tokens (at most its
 reciprocal of them) are broadcast; the other words of each text are joined with the table of counts.
 
-Defined cases: a NULL or empty text is the end alone; without training texts all counts are 0 and the attention model
-is uniform; repeated rows get equal scores; other columns are not read.
+Defined cases: a NULL or empty text is the end alone; without training texts all counts are 0 and the weights stay as
+they start; repeated rows get equal scores; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,26 +37,28 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import extended, sampled, stored
+from basinspark.llm.common import extended, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
-WORD, LEADING, FURTHER, INNER, LAST, TEXTS, PAIR = range(7)  # kinds of counts
+WORD, SUBWORD, TEXTS = range(3)  # kinds of counts
+FIXED = float(1 << 20)  # weighted changes are added up as whole numbers of this fraction
+SLICE = 1 << 17  # numbers to a row of the sums
 
 
 @dataclass(frozen=True)
 class ModelParameters:
-    classes: int = 128
-    width: int = 16
+    classes: int = 256
+    width: int = 32
     window: int = 32
     context: int = 8
-    sample_documents: int = 3000
-    steps: int = 500
-    batch: int = 96  # windows
-    rate: float = 0.01
+    rounds: int = 4
+    trainers: int = 96  # tasks of a round
+    steps: int = 500  # of a task, after which the rate has fallen by the root of two
+    batch: int = 512  # windows
+    rate: float = 0.05
     smoothing: float = 0.1
     common_share: float = 5e-7  # of all tokens; at most 2,000,000 words can have it
-    pair_share: float = 1e-6  # of all further subwords; at most 1,000,000 pairs of subwords can have it
     cached_words: int = 400_000
     piece: int = 3_000_000  # characters scored at a time
     seed: int = 7
@@ -80,38 +86,24 @@ def word_keys(words: list[bytes]) -> np.ndarray:
 
 
 def _counted(vocabulary, most: int):
-    """Rows (kind, key, n, lead) of texts: word hashes with their leading subword, and subwords by their place in a word."""
+    """Rows (kind, key, n) of texts: word hashes, subword ids, and the number of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = encoder(vocabulary.value)
         words: Counter = Counter()
 
         def rows() -> pa.RecordBatch:
-            kinds, keys, numbers, leads = [], [], [], []
-
-            def add(kind: int, found: np.ndarray, n: np.ndarray, lead: np.ndarray | None = None) -> None:
-                kinds.append(np.full(len(found), kind, dtype=np.int8))
-                keys.append(found)
-                numbers.append(n)
-                leads.append(np.zeros(len(found), dtype=np.int32) if lead is None else lead.astype(np.int32))
-
             distinct, n = list(words), np.fromiter(words.values(), dtype=np.int64, count=len(words))
             ids = subwords(encoding, distinct)
             lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            flat, times = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(lengths.sum())), np.repeat(n, lengths)
-            ends = np.cumsum(lengths)
-            leading, last = np.zeros(len(flat), dtype=bool), np.zeros(len(flat), dtype=bool)
-            leading[ends - lengths], last[ends - 1] = True, True
-            add(WORD, word_keys(distinct), n, flat[leading])
-            for kind, part in ((LEADING, leading), (FURTHER, ~leading), (INNER, ~last), (LAST, last)):
-                sums = np.bincount(flat[part], weights=times[part]).astype(np.int64)
-                add(kind, np.flatnonzero(sums), sums[sums > 0])
-            follows = np.flatnonzero(~leading)
-            pairs, at = np.unique(flat[follows - 1] << 32 | flat[follows], return_inverse=True)
-            add(PAIR, pairs, np.bincount(at, weights=times[follows]).astype(np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (kinds, keys, numbers, leads)], names=names)
-
-        texts, names = 0, ["kind", "key", "n", "lead"]
+            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(lengths.sum()))
+            sums = np.bincount(flat, weights=np.repeat(n, lengths)).astype(np.int64)
+            found = np.flatnonzero(sums)
+            kinds = np.repeat(np.array([WORD, SUBWORD], dtype=np.int8), [len(distinct), len(found)])
+            columns = kinds, np.concatenate((word_keys(distinct), found)), np.concatenate((n, sums[found]))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+        texts, names = 0, ["kind", "key", "n"]
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words.update(words_of(text))
@@ -120,15 +112,18 @@ def _counted(vocabulary, most: int):
                     yield rows()
                     words.clear()
         yield rows()
-        yield pa.RecordBatch.from_arrays([pa.array([TEXTS], pa.int8()), pa.array([0], pa.int64()), pa.array([texts], pa.int64()), pa.array([0], pa.int32())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([TEXTS], pa.int8()), pa.array([0], pa.int64()), pa.array([texts], pa.int64())], names=names)
 
     return run
 
 
 class Attention:
-    """One layer of masked self-attention with a residual path; inputs and outputs are classes."""
+    """One layer of masked self-attention with a residual path over ids; an id is predicted by its class, then in its class.
 
-    def __init__(self, classes: int, params: ModelParameters):
+    Without ``class_of`` each id is a class. The vectors ``r`` and ``c`` of ids in their classes are in the order of classes.
+    """
+
+    def __init__(self, ids: int, params: ModelParameters, class_of: np.ndarray | None = None):
         rng = np.random.default_rng(params.seed)
         d, w = params.width, params.window
 
@@ -136,7 +131,15 @@ class Attention:
             return (rng.standard_normal(shape) * scale).astype(np.float32)
 
         self.window = w
-        self.p = {"e": start(classes, d), "s": start(w, d, scale=0.1), "q": start(d, d), "k": start(d, d), "v": start(d, d), "o": start(d, d), "u": start(d, classes, scale=0.1), "b": np.zeros(classes, dtype=np.float32)}
+        self.class_of = np.arange(ids) if class_of is None else class_of.astype(np.int64)
+        self.order = np.argsort(self.class_of, kind="stable")
+        self.rank = np.argsort(self.order)
+        self.sizes = np.bincount(self.class_of)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        classes = len(self.sizes)
+        self.p = {"e": start(ids, d), "s": start(w, d, scale=0.1), "q": start(d, d), "k": start(d, d), "v": start(d, d), "o": start(d, d), "u": start(d, classes, scale=0.1), "b": np.zeros(classes, dtype=np.float32)}
+        if class_of is not None:
+            self.p |= {"r": np.zeros((ids, d), dtype=np.float32), "c": np.zeros(ids, dtype=np.float32)}
         self.mask = np.where(np.tril(np.ones((w, w), dtype=bool)), np.float32(0), np.float32(-1e9))
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
@@ -152,26 +155,47 @@ class Attention:
         h = x + m @ p["o"]
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "m": m, "h": h}
 
-    def logs(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log probability of each target class."""
-        z = self.forward(inputs)["h"].reshape(-1, self.p["u"].shape[0]) @ self.p["u"] + self.p["b"]
-        z -= z.max(axis=-1, keepdims=True)
-        own = z[np.arange(len(z)), targets.ravel()]
-        np.exp(z, out=z)
-        return (own - np.log(z.sum(axis=-1))).reshape(targets.shape)
+    def grouped(self, targets: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
+        """For each class of several ids: the places of its targets, its ids as a range of the order, and the targets in it."""
+        own = self.class_of[targets]
+        at = np.flatnonzero(self.sizes[own] > 1)
+        at = at[np.argsort(own[at], kind="stable")]
+        for places in np.split(at, np.flatnonzero(np.diff(own[at])) + 1):
+            if len(places):
+                k = own[places[0]]
+                yield places, slice(self.first[k], self.first[k] + self.sizes[k]), self.rank[targets[places]] - self.first[k]
+
+    def logs(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray | None = None) -> np.ndarray:
+        """Natural log probability of each target; 0 at places that are not counted."""
+        counted = np.ones(targets.shape, dtype=bool) if counted is None else counted
+        h, goal = self.forward(inputs)["h"][counted], targets[counted].astype(np.int64)
+        found = log_shares(h @ self.p["u"] + self.p["b"], self.class_of[goal])
+        for places, ids, own in self.grouped(goal) if "r" in self.p else ():
+            for k in range(0, len(places), 1024):
+                part = places[k : k + 1024]
+                found[part] += log_shares(h[part] @ self.p["r"][ids].T + self.p["c"][ids], own[k : k + 1024])
+        result = np.zeros(targets.shape, dtype=found.dtype)
+        result[counted] = found
+        return result
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
         """Gradient of the mean log likelihood of the counted places."""
         p, f = self.p, self.forward(inputs)
         d = f["x"].shape[-1]
-        z = f["h"] @ p["u"] + p["b"]
-        z = np.exp(z - z.max(axis=-1, keepdims=True))
-        z /= -z.sum(axis=-1, keepdims=True)
-        np.put_along_axis(z, targets[..., None], np.take_along_axis(z, targets[..., None], -1) + 1, -1)
-        z *= counted[..., None] / max(1, counted.sum())
+        h, goal = f["h"][counted], targets[counted].astype(np.int64)
+        n = max(1, len(goal))
+        z = left_over(h @ p["u"] + p["b"], self.class_of[goal], n)
+        g = {"u": h.T @ z, "b": z.sum(axis=0)}
+        back = z @ p["u"].T
+        if "r" in p:
+            g |= {"r": np.zeros_like(p["r"]), "c": np.zeros_like(p["c"])}
+            for places, ids, own in self.grouped(goal):
+                z = left_over(h[places] @ p["r"][ids].T + p["c"][ids], own, n)
+                g["r"][ids], g["c"][ids] = z.T @ h[places], z.sum(axis=0)
+                back[places] += z @ p["r"][ids]
         flat = lambda x: x.reshape(-1, x.shape[-1])
-        g = {"u": flat(f["h"]).T @ flat(z), "b": flat(z).sum(axis=0)}
-        dh = z @ p["u"].T
+        dh = np.zeros_like(f["h"])
+        dh[counted] = back
         g["o"] = flat(f["m"]).T @ flat(dh)
         dm = dh @ p["o"].T
         da = dm @ f["v"].transpose(0, 2, 1)
@@ -183,21 +207,36 @@ class Attention:
         dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
         g["s"] = dx.sum(axis=0)
         g["e"] = np.zeros_like(p["e"])
-        np.add.at(g["e"], inputs.ravel(), flat(dx))
+        by_id = np.argsort(inputs, axis=None, kind="stable")
+        ids, begins = np.unique(inputs.ravel()[by_id], return_index=True)
+        g["e"][ids] = np.add.reduceat(flat(dx)[by_id], begins, axis=0)
         return g
 
-    def train(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray, params: ModelParameters) -> None:
-        """Adam over seeded batches of windows with a falling rate."""
-        rng = np.random.default_rng(params.seed)
-        mean = {k: np.zeros_like(v) for k, v in self.p.items()}
-        square = {k: np.zeros_like(v) for k, v in self.p.items()}
-        for step in range(1, params.steps + 1 if len(inputs) else 1):
-            part = rng.integers(0, len(inputs), params.batch)
-            rate = params.rate * (1 - 0.9 * step / params.steps)
-            for k, g in self.gradient(inputs[part], targets[part], counted[part]).items():
-                mean[k] += 0.1 * (g - mean[k])
-                square[k] += 0.01 * (g * g - square[k])
-                self.p[k] += rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
+    def step(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray, rate: float, squares: dict[str, np.ndarray]) -> None:
+        """Steps of Adagrad, whose sums of squared gradients are in ``squares``; parts without a gradient stay as they are."""
+        for k, g in self.gradient(inputs, targets, counted).items():
+            rows = np.unique(inputs) if k == "e" else slice(None)
+            g = g[rows]
+            squares[k][rows] += g * g
+            self.p[k][rows] += np.float32(rate) * g / np.sqrt(squares[k][rows])
+
+
+def log_shares(z: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Natural log of each row's own share in the softmax; overwrites ``z``."""
+    z -= z.max(axis=-1, keepdims=True)
+    found = z[np.arange(len(z)), own]
+    np.exp(z, out=z)
+    return found - np.log(z.sum(axis=-1))
+
+
+def left_over(z: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
+    """Gradient of the own shares' mean log over ``n`` rows; overwrites ``z``."""
+    z -= z.max(axis=-1, keepdims=True)
+    np.exp(z, out=z)
+    z /= -z.sum(axis=-1, keepdims=True)
+    z[np.arange(len(z)), own] += 1
+    z /= n
+    return z
 
 
 def windows(lengths: np.ndarray, window: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,42 +260,19 @@ def placed(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, params:
 
 @dataclass
 class Model:
-    """Everything that tasks need to score texts; a few MB plus the common words."""
+    """Everything that tasks need to score texts; some MB plus the common words."""
 
     params: ModelParameters
     attention: Attention
-    class_of: np.ndarray  # leading subword -> class; the class after the last is the end of a text
-    leading: np.ndarray  # log10 of a leading subword in its class
-    further: np.ndarray  # share of a further subword among all
-    goes_on: np.ndarray  # log10 that a subword is not the last of its word
-    stops: np.ndarray  # log10 that it is
+    end: int  # the id after those of the vocabulary
     common: np.ndarray  # sorted hashes of the common words
     common_counts: np.ndarray
-    all_words: np.ndarray  # of a leading subword, smoothed
-    other_words: np.ndarray  # those of them that are not common, smoothed
-    pairs: np.ndarray  # sorted common pairs of a subword and the next in a word
-    pair_counts: np.ndarray
-    followed: np.ndarray  # how often a subword has a next one, smoothed
-    other_pairs: np.ndarray  # how often that pair is not common, smoothed
-
-    def next_logs(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
-        """log10 of a subword after another: the common pair's share, and the others' by the share of all further ones."""
-        count = np.zeros(len(before))
-        if len(self.pairs):
-            pair = before << 32 | after
-            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            count = np.where(self.pairs[at] == pair, self.pair_counts[at], 0.0)
-        return np.log10((count + self.other_pairs[before] * self.further[after]) / self.followed[before])
-
-    @property
-    def end(self) -> int:
-        return int(self.class_of.max()) + 1 if len(self.class_of) else 0
 
 
 def group_classes(counts: np.ndarray, classes: int) -> np.ndarray:
     """A class of its own for the most frequent subwords, the others in groups of about equal counts."""
     order = np.argsort(-counts, kind="stable")
-    single = min(classes * 3 // 4, len(order))
+    single = min(classes // 2, len(order))
     class_of = np.zeros(len(counts), dtype=np.int16)
     class_of[order[:single]] = np.arange(single)
     rest = np.cumsum(counts[order[single:]] + 1.0)
@@ -266,7 +282,7 @@ def group_classes(counts: np.ndarray, classes: int) -> np.ndarray:
 
 
 class WordFacts:
-    """Class, log10 inside the word and base facts of distinct words, in a bounded cache."""
+    """Subword ids and base facts of distinct words, in a bounded cache."""
 
     def __init__(self, model: Model, encoding):
         self.model, self.encoding = model, encoding
@@ -274,9 +290,9 @@ class WordFacts:
 
     def forget(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.classes = np.zeros(0, dtype=np.int16)
-        self.inside, self.base = np.zeros(0, dtype=np.float32), np.zeros(0)
-        self.keys = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.int32)
+        self.begins, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.base, self.keys = np.zeros(0), np.zeros(0, dtype=np.int64)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """Row numbers of the words; ``base`` is NaN for words that are not common."""
@@ -287,52 +303,51 @@ class WordFacts:
             m = self.model
             ids = subwords(self.encoding, new)
             lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(lengths.sum()))
-            begins = np.cumsum(lengths) - lengths
-            value = m.goes_on[flat] + np.concatenate(([0.0], m.next_logs(flat[:-1], flat[1:])))
-            value[begins] = m.goes_on[flat[begins]]
-            last = begins + lengths - 1
-            value[last] += m.stops[flat[last]] - m.goes_on[flat[last]]
-            spelled = np.add.reduceat(value, begins)
             keys = word_keys(new)
             count = np.zeros(len(new))
             if len(m.common):
                 at = np.minimum(np.searchsorted(m.common, keys), len(m.common) - 1)
                 count = np.where(m.common[at] == keys, m.common_counts[at], 0.0)
             base = np.where(count > 0, np.log10(count + 0.1), np.nan)
-            lead = flat[begins]
-            rest = np.log10(np.maximum(m.other_words[lead], 1e-6)) + spelled
-            inside = np.logaddexp2(np.log2(np.maximum(count, 1e-300)), rest * np.log2(10)) / np.log2(10) - np.log10(m.all_words[lead])
             first = len(self.numbers)
             self.numbers.update(zip(new, range(first, first + len(new)), strict=True))
-            self.classes = np.concatenate((self.classes, m.class_of[flat[begins]]))
-            self.inside = np.concatenate((self.inside, (m.leading[lead] + inside).astype(np.float32)))
+            self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(lengths) - lengths))
+            self.lengths = np.concatenate((self.lengths, lengths))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(lengths.sum()))))
             self.base = np.concatenate((self.base, base))
             self.keys = np.concatenate((self.keys, keys))
         return np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
 
 
-def score_texts(texts: list[list[bytes]], facts: WordFacts) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Per tokenised text: model log10, sum of common base logs, number of common words, and its other words' keys."""
-    m = facts.model
+def sequences(texts: list[list[bytes]], facts: WordFacts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word rows, and the subword ids of all texts with their ends laid end to end, with starts and lengths."""
     counts = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     rows = facts.of(list(chain.from_iterable(texts)))
-    lengths = counts + 1
+    pieces = facts.lengths[rows]
+    total = np.concatenate(([0], np.cumsum(pieces)))
+    ends = np.cumsum(counts)
+    lengths = total[ends] - total[ends - counts] + 1
     starts = np.cumsum(lengths) - lengths
-    is_end = np.zeros(int(lengths.sum()), dtype=bool)
-    is_end[starts + counts] = True
-    classes = np.full(len(is_end), m.end, dtype=np.int16)
-    classes[~is_end] = facts.classes[rows]
-    logs = np.zeros(len(is_end))
-    inputs, targets, scored, index = placed(classes, starts, lengths, m.params, m.end)
+    ids = np.full(int(lengths.sum()), facts.model.end, dtype=np.int32)
+    inner = np.ones(len(ids), dtype=bool)
+    inner[starts + lengths - 1] = False
+    ids[inner] = facts.ids[np.repeat(facts.begins[rows] - total[:-1], pieces) + np.arange(total[-1])]
+    return rows, ids, starts, lengths
+
+
+def score_texts(texts: list[list[bytes]], facts: WordFacts) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Per tokenised text: model log10, sum of common base logs, number of common words, and its other words' keys."""
+    m = facts.model
+    rows, ids, starts, lengths = sequences(texts, facts)
+    logs = np.zeros(len(ids))
+    inputs, targets, scored, index = placed(ids, starts, lengths, m.params, m.end)
     for k in range(0, len(inputs), 512):
         part = slice(k, k + 512)
-        found = m.attention.logs(inputs[part], targets[part])
-        logs[index[part][scored[part]]] = found[scored[part]]
+        logs[index[part][scored[part]]] = m.attention.logs(inputs[part], targets[part], scored[part])[scored[part]]
     logs /= np.log(10)
-    logs[~is_end] += facts.inside[rows]
     base = facts.base[rows]
     common = ~np.isnan(base)
+    counts = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     ends = np.cumsum(counts)
     sums = np.concatenate(([0.0], np.cumsum(np.where(common, base, 0))))
     number = np.concatenate(([0], np.cumsum(common)))
@@ -341,6 +356,85 @@ def score_texts(texts: list[list[bytes]], facts: WordFacts) -> tuple[np.ndarray,
     return np.add.reduceat(logs, starts), sums[ends] - sums[begins], number[ends] - number[begins], [other[b:e][~common[b:e]] for b, e in zip(begins, ends, strict=True)]
 
 
+def _trained(model, vocabulary, rate: float):
+    """Task function: train from the model's weights on every window of the texts; the changes and their places in slices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        net, params = m.attention, m.params
+        start = net.p
+        net.p = {k: v.copy() for k, v in start.items()}
+        squares = {k: np.full_like(v, 1e-8) for k, v in start.items()}
+        facts, rng = WordFacts(m, encoder(vocabulary.value)), np.random.default_rng(params.seed)
+        read, asked, steps = np.zeros(m.end + 1), np.zeros(len(net.sizes)), 0
+
+        def learn(texts: list[list[bytes]]) -> None:
+            nonlocal steps
+            _, ids, starts, lengths = sequences(texts, facts)
+            inputs, targets, counted, _ = placed(ids, starts, lengths, params, m.end)
+            mixed = rng.permutation(len(inputs))
+            for k in range(0, len(mixed), params.batch):
+                part = mixed[k : k + params.batch]
+                net.step(inputs[part], targets[part], counted[part], rate / (1 + steps / params.steps) ** 0.5, squares)
+                steps += 1
+            read[:] += np.bincount(inputs.ravel(), minlength=len(read))
+            asked[:] += np.bincount(net.class_of[targets[counted]], minlength=len(asked))
+
+        pending: list[list[bytes]] = []
+        size = 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                pending.append(words_of(text))
+                size += len(text or "")
+                if size >= params.piece:
+                    learn(pending)
+                    pending, size = [], 0
+        if pending:
+            learn(pending)
+        changes, net.p = {k: net.p[k] - start[k] for k in start}, start
+        if steps:
+            values = packed(net, changes, read, asked)
+            for k in range(0, len(values), SLICE):
+                yield pa.RecordBatch.from_arrays([pa.array([k // SLICE], pa.int32()), pa.array([values[k : k + SLICE].tobytes()], pa.binary())], names=["slice", "sums"])
+
+    return run
+
+
+def place_weights(net: Attention, read: np.ndarray, asked: np.ndarray) -> dict[str, np.ndarray]:
+    """The places that the changes of each part come from, by row of an id's vectors and else one number."""
+    in_class = asked[net.class_of[net.order]]
+    return {k: read if k == "e" else in_class if k in "rc" else asked.sum(keepdims=True) for k in net.p}
+
+
+def packed(net: Attention, changes: dict[str, np.ndarray], read: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Weighted changes and places as whole numbers, which tasks' sums add up."""
+    weights = place_weights(net, read, asked)
+    parts = [np.rint(v.astype(float) * weights[k].reshape(-1, *[1] * (v.ndim - 1)) * FIXED).astype(np.int64).ravel() for k, v in changes.items()]
+    return np.concatenate([*parts, read.astype(np.int64), asked.astype(np.int64)])
+
+
+def moved(net: Attention, sums: np.ndarray) -> None:
+    """Add the mean changes of all tasks to the weights."""
+    ids, classes = len(net.class_of), len(net.sizes)
+    weights = place_weights(net, sums[-ids - classes : -classes].astype(float), sums[-classes:].astype(float))
+    at = 0
+    for k, v in net.p.items():
+        n = np.maximum(weights[k], 1).reshape(-1, *[1] * (v.ndim - 1))
+        net.p[k] = (v + sums[at : at + v.size].reshape(v.shape) / FIXED / n).astype(np.float32)
+        at += v.size
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: sums of slices by number."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for number, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            values = np.frombuffer(raw.as_buffer(), dtype=np.int64)
+            sums[number] = sums[number] + values if number in sums else values.copy()
+    for number, values in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([values.tobytes()], pa.binary())], names=["slice", "sums"])
+
+
 SCORED = "row long, n_tokens long, score double, common_logs double, common_words long, others array<long>"
 
 
@@ -376,43 +470,28 @@ def _scored(model, vocabulary):
     return run
 
 
-def fit(counts: DataFrame, train: DataFrame, vocabulary: bytes, params: ModelParameters, doc_id: str, text: str, total_texts: int, total_tokens: int) -> Model:
-    """Tables from the counts, and attention weights from a bounded sample of the training texts."""
-    size = max(len(vocabulary.splitlines()), 1)
-    tables = np.zeros((6, size))
-    for kind, key, n in counts.where(F.col("kind").between(LEADING, LAST)).select("kind", "key", "n").toPandas().itertuples(index=False):  # at most 4 x vocabulary
-        tables[kind, key] = n
-    smooth = params.smoothing
-    class_of = group_classes(tables[LEADING], params.classes)
-    leading = tables[LEADING] + smooth
-    in_class = np.bincount(class_of, weights=leading)
-    further = tables[FURTHER] + smooth
-    both = tables[INNER] + tables[LAST] + 2 * smooth
-    often = counts.where((F.col("kind") == WORD) & (F.col("n") >= max(1.0, params.common_share * total_tokens))).select("key", "n", "lead").toPandas()
+def fit(counts: DataFrame, train: DataFrame, vocabulary, params: ModelParameters, doc_id: str, text: str, total_tokens: int) -> Model:
+    """Classes from the counts of ids, and weights from the windows of all training texts."""
+    end = max(len(vocabulary.value.splitlines()), 1)
+    numbers = np.zeros(end + 1)
+    for key, n in counts.where(F.col("kind") == SUBWORD).select("key", "n").toPandas().itertuples(index=False):  # at most the vocabulary
+        numbers[key] = n
+    numbers[end] = counts.where(F.col("kind") == TEXTS).agg(F.sum("n")).collect()[0][0] or 0
+    often = counts.where((F.col("kind") == WORD) & (F.col("n") >= max(1.0, params.common_share * total_tokens))).select("key", "n").toPandas()
     order = np.argsort(often["key"].to_numpy(dtype=np.int64))
-    further_tokens = tables[FURTHER].sum()
-    pairs = counts.where((F.col("kind") == PAIR) & (F.col("n") >= max(1.0, params.pair_share * further_tokens))).select("key", "n").toPandas().sort_values("key")
-    pair_keys, pair_counts = pairs["key"].to_numpy(dtype=np.int64), pairs["n"].to_numpy(dtype=float)
-    followed = tables[INNER] + 1.0
-    model = Model(
-        params, None, class_of, np.log10(leading / in_class[class_of]), further / further.sum(),
-        np.log10((tables[INNER] + smooth) / both), np.log10((tables[LAST] + smooth) / both),
-        often["key"].to_numpy(dtype=np.int64)[order], often["n"].to_numpy(dtype=float)[order],
-        leading, leading - np.bincount(often["lead"].to_numpy(dtype=np.int64), weights=often["n"].to_numpy(dtype=float), minlength=size),
-        pair_keys, pair_counts, followed, followed - np.bincount(pair_keys >> 32, weights=pair_counts, minlength=size),
-    )
-    model.attention = Attention(model.end + 1, params)
-    sample = sampled(train, params.sample_documents, total_texts, doc_id).select(doc_id, text).toPandas().sort_values([doc_id, text])
-    texts = [words_of(t) for t in sample[text]]
-    if texts:
-        facts = WordFacts(model, encoder(vocabulary))
-        lengths = np.array([len(t) + 1 for t in texts])
-        classes = np.full(int(lengths.sum()), model.end, dtype=np.int16)
-        numbers = facts.of(list(chain.from_iterable(texts)))
-        classes[np.delete(np.arange(len(classes)), np.cumsum(lengths) - 1)] = facts.classes[numbers]
-        model.attention.p["b"] = np.log(np.bincount(classes, minlength=model.end + 1) + 1.0).astype(np.float32)
-        inputs, targets, scored, _ = placed(classes, np.cumsum(lengths) - lengths, lengths, params, model.end)
-        model.attention.train(inputs, targets, scored, params)
+    net = Attention(end + 1, params, group_classes(numbers, params.classes))
+    net.p["b"] = np.log(np.bincount(net.class_of, weights=numbers + params.smoothing)).astype(np.float32)
+    net.p["c"] = np.log(numbers[net.order] + params.smoothing).astype(np.float32)
+    model = Model(params, net, end, often["key"].to_numpy(dtype=np.int64)[order], often["n"].to_numpy(dtype=float)[order])
+    dealt = F.pmod(F.xxhash64(F.lit("round"), F.col(doc_id)), F.lit(params.rounds))
+    for k in range(params.rounds):
+        start = train.sparkSession.sparkContext.broadcast(model)
+        texts = train.where(dealt == k).select(F.col(text)).coalesce(params.trainers)
+        changes = texts.mapInArrow(_trained(start, vocabulary, params.rate / (1 + k) ** 0.5), "slice int, sums binary")
+        sums = changes.repartition(8, "slice").mapInArrow(_added, "slice int, sums binary").collect()
+        if sums:
+            moved(net, np.concatenate([np.frombuffer(r["sums"], dtype=np.int64) for r in sorted(sums, key=lambda r: r["slice"])]))
+        start.unpersist()
     return model
 
 
@@ -427,14 +506,14 @@ def scored(docs: DataFrame, held_out: Column, keep: list[Column], doc_id: str =
         raw = file.read()
     vocabulary = spark.sparkContext.broadcast(raw)
     train = docs.where(~held_out)
-    rows = train.select(F.col(text)).mapInArrow(_counted(vocabulary, params.cached_words), "kind byte, key long, n long, lead int")
-    counts, _ = stored(rows.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.max("lead").alias("lead")), "counts")
+    rows = train.select(F.col(text)).mapInArrow(_counted(vocabulary, params.cached_words), "kind byte, key long, n long")
+    counts, _ = stored(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     facts = counts.where(F.col("kind").isin(WORD, TEXTS)).groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
     of = {r["kind"]: r for r in facts}
     texts = of[TEXTS]["n"] if TEXTS in of else 0
     tokens = texts + (of[WORD]["n"] if WORD in of else 0)
     distinct = (of[WORD]["kinds"] if WORD in of else 0) + (texts > 0)
-    model = spark.sparkContext.broadcast(fit(counts, train, raw, params, doc_id, text, texts, tokens))
+    model = spark.sparkContext.broadcast(fit(counts, train, vocabulary, params, doc_id, text, tokens))
 
     kept = docs.select(*keep, F.col(text).alias("_text"))
     names = [f.name for f in kept.schema.fields[:-1]]

@@ -471,3 +471,50 @@ def test_flow_against_all_divisions():
     assert sum(flow.values()) == 9 and cost == best
     assert level_targets({"a": 10, "b": 100}, {"a": 3, "b": 1}, 60, 2) == {"a": 20, "b": 40}
     assert level_targets({}, {}, 0, 2) == {}
+
+
+# Whole jobs
+
+
+def test_language_model_trains_on_all_subwords_of_all_texts(docs):
+    """Every id of every training text is a target once, and ids of one class are told apart by what comes before."""
+    from basinspark.llm import attention_lm as lm
+
+    params = lm.ModelParameters(window=8, context=3, width=8, batch=16, classes=4)
+    class_of = np.array([0, 1, 2, 2, 2, 3])
+    net = lm.Attention(6, params, class_of)
+    net.p = {k: v.astype(np.float64) + (0.1 if k in "rc" else 0) for k, v in net.p.items()}
+    rng = np.random.default_rng(0)
+    inputs = rng.integers(0, 6, (4, 8))
+    total = sum(np.exp(net.logs(inputs, np.full((4, 8), k))) for k in range(6))
+    assert total == pytest.approx(np.ones((4, 8)), rel=1e-6)
+    targets, counted = rng.integers(0, 6, (4, 8)), rng.random((4, 8)) < 0.7
+    gradient = net.gradient(inputs, targets, counted)
+    for name in "rceu":
+        at = tuple(int(rng.integers(2, s)) for s in net.p[name].shape)
+        values = []
+        for shift in (1e-4, -2e-4):
+            net.p[name][at] += shift
+            values.append(net.logs(inputs, targets, counted).sum() / counted.sum())
+        net.p[name][at] += 1e-4
+        assert gradient[name][at] == pytest.approx((values[0] - values[1]) / 2e-4, rel=1e-3, abs=1e-7)
+
+    small = lm.Attention(6, params, class_of)
+    model = type("Held", (), {"value": lm.Model(params, small, 5, np.zeros(0, np.int64), np.zeros(0))})
+    facts = lm.WordFacts(model.value, type("Letters", (), {"encode_ordinary": staticmethod(lambda w: [ord(x) - 97 for x in w[1:]])}))
+    _, ids, starts, lengths = lm.sequences([[b"abc", b"d"], [], [b"abc"]], facts)
+    assert ids.tolist() == [0, 1, 2, 3, 5, 5, 0, 1, 2, 5] and lengths.tolist() == [5, 1, 4] and starts.tolist() == [0, 5, 6]
+
+    seen = []
+    fit_round = lm._trained
+
+    def watched(*args):
+        seen.append(args[0].value.attention.p["b"].copy())
+        return fit_round(*args)
+
+    lm._trained = watched
+    try:
+        rows = lm.scored(docs, F.lit(False), [F.col("doc_id")], params=lm.ModelParameters(rounds=2, classes=32)).collect()
+    finally:
+        lm._trained = fit_round
+    assert len(seen) == 2 and not np.allclose(seen[0], seen[1]) and len(rows) == docs.count()
