@@ -1,14 +1,16 @@
 """License scans by conditional compression.
 
-Candidate blocks are the paragraphs of a text with a word that license notices use. Each block is compressed alone and
-with every template as a raw zstandard dictionary; templates are ranked by the share of bytes that they save. The best
-ones are confirmed by the exact differences in wording: the template's words must be found in the block in order, up
-to a share of missing words, and words that tell licenses apart (names, numbers) must not differ.
+Texts are searched by paragraphs (runs of lines with words), long ones in overlapping runs that hold any notice whole,
+so a notice may be wrapped over lines and have comment marks. Every place of every template with a run of its words
+that no permitted difference could break is checked by the exact differences in wording: the template's words must be
+found in order, up to a share of missing words, and words that tell licenses apart (names, numbers) must not differ.
+The lines of each confirmed place are its block. It is compressed alone and with the template as a raw zstandard
+dictionary; the template must save a share of the bytes, and where places overlap the one that saves most is reported.
 
-Texts without any such word never reach Python, and every block of the others is scanned whole.
+Texts without any word of license notices never reach Python, and every paragraph of the others with one is scanned whole.
 
 Defined cases: a NULL or empty text has no block; a block may hold several notices, each reported once with its best
-template; repeated rows get equal results; other columns are not read.
+template, and once if it repeats on the line where it begins; repeated rows get equal results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights. CC0 1.0 Universal.",
 }
 #: Words that open the search of a block, in lower case.
-TRIGGER = r"(?i)licen[sc]|copyright|redistribut|hereby granted|waived|spdx"
+TRIGGER = r"(?i)licen[sc]|copyright|redistribut|hereby\W+granted|waived|spdx"
+MARGIN = re.compile(r"\s*\n[^\w\n]*")  # line ends with the indents and comment marks after them
 TOKEN = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 #: Words that carry no license's name; all others of a template must be in the block.
 COMMON = frozenset(
@@ -53,11 +56,10 @@ COMMON = frozenset(
 
 @dataclass(frozen=True)
 class ScanParameters:
-    rivals: int = 8  # best templates by saved bytes that are confirmed in turn
     least_gain: float = 0.2  # share of a notice's bytes that its template must save
     missing: float = 0.15  # share of a template's words that may be missing
     level: int = 3
-    window: int = 2000  # a longer block is scanned in overlapping runs of so many characters
+    window: int = 2000  # a longer paragraph is scanned in overlapping runs of so many characters, or four times the longest template
 
 
 def tokens(text: str) -> list[str]:
@@ -72,9 +74,36 @@ def saved_bytes(block: bytes, dictionaries: dict[str, zstandard.ZstdCompressionD
     }
 
 
+def places(template: list[str], block: list[str], slack: int) -> list[tuple[int, int]]:
+    """Ranges of block words that hold every place with at most ``slack`` template words missing and as many put in.
+
+    So few differences leave a run of at least ``q`` template words whole, which fixes the place up to the slack.
+    """
+    q = max(1, -(-(len(template) - slack) // (2 * slack + 1)))
+    at: dict[tuple[str, ...], list[int]] = {}
+    for i in range(len(template) - q + 1):
+        at.setdefault(tuple(template[i : i + q]), []).append(i)
+    starts = sorted({j - i for j in range(len(block) - q + 1) for i in at.get(tuple(block[j : j + q]), ())})
+    ranges, k = [], 0
+    while k < len(starts):
+        first = last = starts[k]
+        while k < len(starts) and starts[k] <= first + slack:
+            last = starts[k]
+            k += 1
+        ranges.append((max(0, first - slack), min(len(block), last + len(template) + slack)))
+    return ranges
+
+
 def wording(template: list[str], block: list[str]) -> tuple[list[str], list[str], int, int]:
-    """Template words missing, block words put in between, and the range of block words from first to last match."""
+    """Template words missing, block words put in between, and the range of block words from first to last match.
+
+    A run at either end that costs more words in between than it has is left out.
+    """
     runs = [m for m in SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
+    while len(runs) > 1 and runs[0].size < runs[1].b - runs[0].b - runs[0].size:
+        runs = runs[1:]
+    while len(runs) > 1 and runs[-1].size < runs[-1].b - runs[-2].b - runs[-2].size:
+        runs = runs[:-1]
     if not runs:
         return list(template), [], 0, 0
     begin, end = runs[0].b, runs[-1].b + runs[-1].size
@@ -84,35 +113,46 @@ def wording(template: list[str], block: list[str]) -> tuple[list[str], list[str]
 
 
 def scan_block(block: str, templates: dict[str, str], dictionaries, params: ScanParameters = ScanParameters()) -> list[dict]:
-    """Confirmed notices of one block, best first."""
-    own = tokens(block)
-    gains = saved_bytes(block.encode(), dictionaries, params.level)
-    share = {name: gain / max(1, min(len(block.encode()), len(templates[name].encode()))) for name, gain in gains.items()}
+    """Confirmed notices of one paragraph, best first, with the characters of their lines."""
+    spans = [m.span() for m in TOKEN.finditer(block)]
+    own = [block[a:b].lower() for a, b in spans]
+    rivals = []
+    for name, text in templates.items():
+        words = tokens(text)
+        for lo, hi in places(words, own, int(params.missing * len(words))):
+            missing, extra, begin, end = wording(words, own[lo:hi])
+            if begin == end or len(missing) > params.missing * len(words) or any(w not in COMMON for w in missing) or len(extra) > params.missing * len(words):
+                continue
+            begin, end = begin + lo, end + lo
+            first = block.rfind("\n", 0, spans[begin][0]) + 1
+            last = block.find("\n", spans[end - 1][1])
+            last = len(block) if last < 0 else last
+            raw = MARGIN.sub(" ", block[first:last]).encode()
+            gain = saved_bytes(raw, {name: dictionaries[name]}, params.level)[name]
+            share = gain / max(1, min(len(raw), len(text.encode())))
+            if share >= params.least_gain:
+                facts = {"license": name, "gain": round(share, 6), "missing": missing, "extra": extra, "exact": not missing and not extra}
+                rivals.append(((-gain, name, begin), (begin, end), facts | {"begin": first, "end": last, "at": spans[begin][0]}))
     found: list[dict] = []
     taken: list[tuple[int, int]] = []
-    for name in sorted((n for n in gains if share[n] >= params.least_gain), key=lambda n: (-gains[n], n))[: params.rivals]:
-        words = tokens(templates[name])
-        missing, extra, begin, end = wording(words, own)
-        if len(missing) > params.missing * len(words) or any(w not in COMMON for w in missing) or len(extra) > params.missing * len(words):
-            continue
-        if any(begin < e and b < end for b, e in taken):
-            continue
-        taken.append((begin, end))
-        found.append({"license": name, "gain": round(share[name], 6), "missing": missing, "extra": extra, "exact": not missing and not extra})
+    for _, (begin, end), notice in sorted(rivals, key=lambda x: x[0]):
+        if not any(begin < e and b < end for b, e in taken):
+            taken.append((begin, end))
+            found.append(notice)
     return found
 
 
 def pieces(text: str, window: int) -> Iterator[tuple[int, str]]:
-    """Lines with a trigger word, offset first; a long line in overlapping runs that end at blanks."""
-    at = 0
-    for line in text.split("\n"):
-        if re.search(TRIGGER, line):
-            if len(line) <= window:
-                yield at, line
-            else:
-                for k in range(0, len(line), window // 2):
-                    if re.search(TRIGGER, line[k : k + window]):
-                        yield at + k, line[k : k + window]
+    """Paragraphs with a trigger word, offset first; a long one in overlapping runs."""
+    at = begin = 0
+    for line in [*text.split("\n"), ""]:
+        if not re.search(r"\w", line):
+            paragraph = text[begin : max(begin, at - 1)]
+            if re.search(TRIGGER, paragraph):
+                for k in range(0, max(1, len(paragraph) - window // 2), window // 2):
+                    if re.search(TRIGGER, paragraph[k : k + window]):
+                        yield begin + k, paragraph[k : k + window]
+            begin = at + len(line) + 1
         at += len(line) + 1
 
 
@@ -127,20 +167,21 @@ def scanned(docs: DataFrame, templates: dict[str, str] | None = None, params: Sc
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dictionaries = {n: zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for n, t in templates.items()}
         known: dict[str, list[dict]] = {}
+        window = max(params.window, 4 * max(map(len, templates.values())))
         for batch in batches:
             out = []
             for key, text_ in zip(batch["doc_id"], batch["text"], strict=True):
                 seen = set()
-                for offset, block in pieces(text_, params.window):
+                for offset, block in pieces(text_, window):
                     if block not in known:
                         if len(known) > 10_000:
                             known.clear()
                         known[block] = scan_block(block, templates, dictionaries, params)
                     for notice in known[block]:
-                        mark = (text_.count("\n", 0, offset), notice["license"])
+                        mark = (text_.count("\n", 0, offset + notice["at"]), notice["license"])
                         if mark not in seen:
                             seen.add(mark)
-                            out.append({"doc_id": key, "offset": offset, "block": block} | notice)
+                            out.append({"doc_id": key, "offset": offset + notice["begin"], "block": block[notice["begin"] : notice["end"]]} | notice)
             columns = ["doc_id", "offset", "block", "license", "gain", "exact", "missing", "extra"]
             yield pd.DataFrame(out, columns=columns)
 

@@ -518,3 +518,22 @@ def test_language_model_trains_on_all_subwords_of_all_texts(docs):
     finally:
         lm._trained = fit_round
     assert len(seen) == 2 and not np.allclose(seen[0], seen[1]) and len(rows) == docs.count()
+
+
+def test_licenses_in_wrapped_notices_and_many_templates(spark):
+    """Notices wrapped over lines, with and without comment marks, and a short one among many templates that share words."""
+    import textwrap
+
+    from basinspark.llm.licenses import TEMPLATES, scanned
+
+    wrapped = {n: "\n".join(textwrap.wrap(TEMPLATES[n], 60)) for n in TEMPLATES if len(TEMPLATES[n]) > 80}
+    texts = {f"{n}|{m}": "Intro words.\n" + "\n".join(m + line for line in t.split("\n")) + "\nint main() {" for n, t in wrapped.items() for m in ("", " * ", "# ")}
+    texts["twice|"] = "Released under the MIT License.\n" + "code and more\n" * 3 + "Released under the MIT License."
+    found = scanned(spark.createDataFrame(list(texts.items()), "doc_id string, text string")).collect()
+    got = Counter((r["doc_id"], r["license"]) for r in found)
+    assert got == Counter({(d, d.split("|")[0]): 1 for d in texts if d != "twice|"} | {("twice|", "MIT"): 2})
+    assert all(r["block"] == texts[r["doc_id"]][r["offset"] : r["offset"] + len(r["block"])] for r in found)
+    many = TEMPLATES | {f"Other-{i}": TEMPLATES["GPL-3.0-header"].replace("GNU", f"Other{i}") for i in range(12)}
+    text = " ".join([TEMPLATES["GPL-3.0-header"], "Words between.", TEMPLATES["MIT"]])
+    rows = scanned(spark.createDataFrame([(1, text)], "doc_id long, text string"), many).collect()
+    assert {r["license"] for r in rows} == {"GPL-3.0-header", "MIT"}
