@@ -182,13 +182,28 @@ _TRAINED = ("1995-01-01", "1998-12-01")
 _JUDGED = ("1999-01-01", "2001-12-01")
 
 
-@query(f"SELECT unnest(['GP', 'RF', 'LR']) AS model, target, true AS scored FROM (SELECT unnest({[*TARGETS, 'mean']}) AS target)")
+@query()
 def training_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly features, all targets, three models of full size, hold-out scores per model and target."""
     features = feature_matrix(_run_table(spark, folder)).groupBy("year", "month").agg(
         *[F.avg(name).alias(name) for name in FEATURES]
     )
-    _, scores = train(features, _monthly_targets(spark, folder), FEATURES, TARGETS, _TRAINED, _JUDGED)
+    return train(features, _monthly_targets(spark, folder), FEATURES, TARGETS, _TRAINED, _JUDGED)[1]
+
+
+@query()
+def forecast_flow(spark: SparkSession, folder: str) -> DataFrame:
+    """Run table → cut-off → features → three models of all targets → published forecast."""
+    runs = _run_table(spark, folder)
+    table = persisted(training_table(feature_matrix(runs), _monthly_targets(spark, folder)))
+    ensemble = models.fit_ensemble(table, FEATURES, TARGETS, fit_scaler(table, FEATURES), fit_scaler(table, TARGETS))
+    return forecast(runs, ensemble, AS_OF).published
+
+
+@query(f"SELECT unnest(['GP', 'RF', 'LR']) AS model, target, true AS scored FROM (SELECT unnest({[*TARGETS, 'mean']}) AS target)")
+def training_flow_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The models and targets of ``training_flow``, and that each has scores."""
+    scores = training_flow(spark, folder)
     observed = F.regexp_replace("target", "_obs$", "")
     return scores.select("model", observed.alias("target"), ((F.col("mse") >= 0) & (F.col("r2") <= 1)).alias("scored"))
 
@@ -211,11 +226,8 @@ def training_flow(spark: SparkSession, folder: str) -> DataFrame:
     FROM months, names, parts
     """
 )
-def forecast_flow(spark: SparkSession, folder: str) -> DataFrame:
-    """Run table → cut-off → features → three models of all targets → published forecast."""
-    runs = _run_table(spark, folder)
-    table = persisted(training_table(feature_matrix(runs), _monthly_targets(spark, folder)))
-    ensemble = models.fit_ensemble(table, FEATURES, TARGETS, fit_scaler(table, FEATURES), fit_scaler(table, TARGETS))
-    rows = forecast(runs, ensemble, AS_OF).published
+def forecast_flow_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The months, lakes and components of ``forecast_flow``, and that each has values."""
+    rows = forecast_flow(spark, folder)
     found = F.col("`value [mm]`").isNotNull() & F.col("`value [cms]`").isNotNull()
     return rows.select("current_year", "current_month", "forecast_year", "forecast_month", "lake", "component", found.alias("published"))

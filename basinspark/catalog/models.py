@@ -14,6 +14,7 @@ from basinspark.operators.shape import to_wide
 from basinspark.operators.windows import lag_lead
 
 TRAIN, TEST = ("1995-01-01", "1998-12-31"), ("1999-01-01", "2001-12-31")
+INPUTS = ["x", "d", "t"]
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,12 +107,39 @@ def linear_fit_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest of full depth on three features, its price for every hold-out line."""
+    train, test = _parts(_lines(spark, folder))
+    fitted = models.fit_forest(models.assemble(train, INPUTS), ["y"])
+    scored = fitted.predict(models.assemble(test.drop("y"), INPUTS))
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", "y")
+
+
+@query()
+def kernel_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The kernel model on three scaled features, its price for every hold-out line."""
+    train, test = _parts(_lines(spark, folder))
+    scaler = features.fit_scaler(train, [*INPUTS, "y"])
+    fitted = models.fit_kernel(models.assemble(scaler.scale(train), INPUTS), ["y"], models.KernelFeatures(n_inputs=len(INPUTS)))
+    scored = fitted.predict(models.assemble(scaler.scale(test.drop("y"), INPUTS), INPUTS))
+    return scaler.unscale(scored, ["y"]).select("l_orderkey", "l_partkey", "l_linenumber", "y")
+
+
+@query()
+def ensemble_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Kernel, forest and linear model on the same scaled inputs, every hold-out line in the units of the target."""
+    train, test = _parts(_lines(spark, folder))
+    ensemble = models.fit_ensemble(train, INPUTS, ["y"], features.fit_scaler(train, INPUTS), features.fit_scaler(train, ["y"]))
+    return ensemble.predict_all(test.drop("y"), ["l_orderkey", "l_partkey", "l_linenumber"])
+
+
 # A step function of two features with few values, which a forest of any seed learns exactly.
 _STEPS = "CASE WHEN l_linenumber <= 2 THEN 10.0 WHEN l_linenumber <= 5 THEN 25.0 ELSE 40.0 END + CASE WHEN l_tax >= 0.05 THEN 100.0 ELSE 0.0 END"
 
 
 @query(f"SELECT l_orderkey, l_partkey, l_linenumber, CAST({_STEPS} AS DOUBLE) AS y FROM lineitem WHERE l_shipdate >= '1999-01-01'")
-def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def forest_steps(spark: SparkSession, folder: str) -> DataFrame:
     """A forest of full depth on a step function, scored on the hold-out lines."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day"),
@@ -124,7 +152,7 @@ def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("SELECT l_orderkey, l_partkey, l_linenumber, true AS near FROM lineitem WHERE l_shipdate >= '1999-01-01'")
-def kernel_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def kernel_near_label(spark: SparkSession, folder: str) -> DataFrame:
     """The kernel model on a smooth label: every hold-out line is within 0.15 of it, a tenth of its range of 1.5."""
     lines = _lines(spark, folder).withColumn("y", F.sin(F.col("x") / 12) * 0.75)
     train, test = _parts(lines)
@@ -144,7 +172,7 @@ def kernel_predictions(spark: SparkSession, folder: str) -> DataFrame:
     FROM lines, fit, (SELECT unnest(['GP', 'RF', 'LR']) AS model) WHERE NOT train GROUP BY model
     """
 )
-def ensemble_scores(spark: SparkSession, folder: str) -> DataFrame:
+def ensemble_linear_mean(spark: SparkSession, folder: str) -> DataFrame:
     """Kernel, forest and linear model on the same scaled input in the units of the target: rows, and the linear mean."""
     train, test = _parts(_lines(spark, folder))
     ensemble = models.fit_ensemble(train, ["x"], ["y"], features.fit_scaler(train, ["x"]), features.fit_scaler(train, ["y"]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pytest
 from oracle_check import connect, differences
 
@@ -30,3 +31,42 @@ def test_entry_and_names(spark):
         "year", "month", "lake", "component", "mean_mm", "mean_cms", "lower_mm", "upper_mm",
     ]
     assert set(ORACLES) <= set(contract.queries())
+
+
+def holdout_lines(connection):
+    """Keys, inputs and prices of the training and the hold-out lines, as numpy."""
+    rows = connection.sql("SELECT l_shipdate <= '1998-12-31' AS train, l_orderkey, l_partkey, l_linenumber, l_quantity, l_discount * 100, l_tax * 100, l_extendedprice / 1000 FROM lineitem WHERE l_shipdate >= '1995-01-01' AND l_shipdate <= '2001-12-31'").fetchall()
+    parts = [[r[1:] for r in rows if bool(r[0]) == kind] for kind in (True, False)]
+    return [([r[:3] for r in part], np.array([[float(x) for x in r[3:6]] for r in part]), np.array([float(r[6]) for r in part])) for part in parts]
+
+
+def test_model_queries_return_every_prediction(spark, connection):
+    """All hold-out lines by each model on three features; the linear ones against least squares, the others against the price."""
+    (_, x, y), (keys, tested, price) = holdout_lines(connection)
+    weights = np.linalg.lstsq(np.column_stack((x, np.ones(len(x)))), y, rcond=None)[0]
+    direct = sorted((*k, v) for k, v in zip(keys, np.column_stack((tested, np.ones(len(tested)))) @ weights, strict=True))
+    rows = contract.queries()["ensemble_scores"](spark, FOLDER).collect()
+    by_model = {m: sorted((r["l_orderkey"], r["l_partkey"], r["l_linenumber"], r["y"]) for r in rows if r["model"] == m) for m in ("GP", "RF", "LR")}
+    assert [r[:3] for r in by_model["LR"]] == [r[:3] for r in direct]
+    assert [r[3] for r in by_model["LR"]] == pytest.approx([r[3] for r in direct], rel=1e-6)
+    prices = np.array([v for *_, v in sorted((*k, v) for k, v in zip(keys, price, strict=True))])
+    alone = {"GP": "kernel_predictions", "RF": "forest_predictions"}
+    for model, query in alone.items():
+        single = sorted((r["l_orderkey"], r["l_partkey"], r["l_linenumber"], r["y"]) for r in contract.queries()[query](spark, FOLDER).collect())
+        for found in (by_model[model], single):
+            assert [r[:3] for r in found] == [r[:3] for r in direct]
+            assert np.mean((np.array([r[3] for r in found]) - prices) ** 2) < np.var(prices) / 2
+
+
+def test_training_flow_returns_scores(spark):
+    scores = contract.queries()["training_flow"](spark, FOLDER).collect()
+    assert {"model", "target", "mse", "r2"} <= set(scores[0].asDict()) and len({(r["model"], r["target"]) for r in scores}) == len(scores)
+    assert all(r["mse"] >= 0 and r["r2"] <= 1 for r in scores)
+
+
+@pytest.mark.parametrize("name", ["forest_predictions", "kernel_predictions", "ensemble_scores"])
+def test_model_queries_score_every_row(spark, name):
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").where("l_shipdate >= '1999-01-01'").count()
+    models = 3 if name == "ensemble_scores" else 1
+    scored = contract.queries()[name](spark, FOLDER)
+    assert scored.count() == lines * models and scored.where("y IS NULL").count() == 0
