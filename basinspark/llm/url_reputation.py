@@ -9,7 +9,8 @@ Everything is DataFrame functions. Counts combine before their shuffles, so a ho
 row of the reputation table.
 
 Defined cases: a NULL url or one without ``://`` has an empty host and path, fits no rule, and is judged by the rate
-of all pages; with no labelled page at all nothing is blocked; repeated rows get equal verdicts.
+of all pages; a host without labelled pages has the posterior of its domain, or else of its suffix, or else the rate of all
+pages; with no labelled page at all nothing is blocked; repeated rows get equal verdicts.
 """
 
 from __future__ import annotations
@@ -103,7 +104,7 @@ def _weight(children: DataFrame, key: str, params: Reputation) -> DataFrame:
 
 
 def host_reputation(outcomes: DataFrame, params: Reputation = Reputation()) -> tuple[DataFrame, DataFrame]:
-    """Posterior means per host with the bound, and the one-row prior of all pages.
+    """Posterior means with the bound per labelled host, domain and suffix (``level``, ``name``), and the one-row prior of all pages.
 
     ``outcomes`` has ``host`` and ``bad`` (0 or 1) for every labelled page.
     """
@@ -116,15 +117,29 @@ def host_reputation(outcomes: DataFrame, params: Reputation = Reputation()) -> t
     everything = _weight(suffixes.select("suffix", F.lit(1).alias("every"), "bad", "pages"), "every", params)
 
     top = everything.select("every", (F.col("bad") / F.col("pages")).alias("rate"), F.col("weight").alias("w"))
-    shrunk = lambda: ((F.col("bad") + F.col("w") * F.col("rate")) / (F.col("pages") + F.col("w")))
-    level = suffixes.withColumn("every", F.lit(1)).join(F.broadcast(top), "every").select("suffix", shrunk().alias("rate"), F.col("weight").alias("w"))
-    level = named.join(level, "suffix").select("domain", shrunk().alias("rate"), F.col("weight").alias("w"))
-    joined = hosts.join(level, "domain")
-    a = F.col("bad") + F.col("w") * F.col("rate")
-    n = F.col("pages") + F.col("w")
-    mean = a / n
-    bound = mean - params.deviations * F.sqrt(mean * (1 - mean) / (n + 1))
-    return joined.select("host", F.col("pages").alias("labelled_pages"), mean.alias("bad_rate"), bound.alias("bad_bound")), top
+    mean = (F.col("bad") + F.col("w") * F.col("rate")) / (F.col("pages") + F.col("w"))
+    bound = mean - params.deviations * F.sqrt(mean * (1 - mean) / (F.col("pages") + F.col("w") + 1))
+
+    def posterior(level: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(level).alias("level"), F.col(level).alias("name"), F.col("pages").alias("labelled_pages"), mean.alias("bad_rate"), bound.alias("bad_bound"))
+
+    of_suffix = suffixes.withColumn("every", F.lit(1)).join(F.broadcast(top), "every")
+    prior = of_suffix.select("suffix", mean.alias("rate"), F.col("weight").alias("w"))
+    of_domain = named.join(prior, "suffix")
+    prior = of_domain.select("domain", mean.alias("rate"), F.col("weight").alias("w"))
+    found = posterior("host", hosts.join(prior, "domain")).unionByName(posterior("domain", of_domain)).unionByName(posterior("suffix", of_suffix))
+    return found, top
+
+
+def nearest_reputation(pages: DataFrame, reputation: DataFrame, params: Reputation) -> DataFrame:
+    """One row per host of ``pages`` with its own posterior, or that of its domain, or that of its suffix."""
+    domain, suffix = domain_of(F.col("host"), params.long_suffixes)
+    hosts = pages.select("host").distinct().select("host", domain.alias("domain"), suffix.alias("suffix"))
+    for level in ("host", "domain", "suffix"):
+        own = reputation.where(F.col("level") == level).select(F.col("name").alias(level), F.struct("labelled_pages", "bad_rate", "bad_bound").alias(f"_{level}"))
+        hosts = hosts.join(own, level, "left")
+    nearest = F.coalesce("_host", "_domain", "_suffix")
+    return hosts.select("host", F.col("_host.labelled_pages").alias("labelled_pages"), nearest["bad_rate"].alias("bad_rate"), nearest["bad_bound"].alias("bad_bound"))
 
 
 def judged_urls(
@@ -132,8 +147,8 @@ def judged_urls(
 ) -> DataFrame:
     """One row per page: host, path, rule and verdict, with the host's reputation.
 
-    ``outcomes`` has ``url`` and ``bad`` (0 or 1) of the labelled pages. A host without labelled pages gets the rate
-    of all pages, and is blocked only if that rate exceeds the limit.
+    ``outcomes`` has ``url`` and ``bad`` (0 or 1) of the labelled pages. A host without labelled pages is judged
+    by its registered domain, then by its suffix, and then by the rate of all pages.
     """
     host, path = url_parts(F.col(url))
     parts = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -141,7 +156,7 @@ def judged_urls(
     seen = outcomes.where(F.col("bad").isNotNull()).select(url_parts(F.col("url"))[0].alias("host"), F.col("bad").cast("long").alias("bad"))
     reputation, top = host_reputation(seen, params)
     prior = F.broadcast(top.select("every", F.col("rate").alias("_rate")))  # one row
-    joined = parts.withColumn("every", F.lit(1)).join(reputation, "host", "left").join(prior, "every", "left")
+    joined = parts.withColumn("every", F.lit(1)).join(nearest_reputation(parts.where("host <> ''"), reputation, params), "host", "left").join(prior, "every", "left")
     bad = F.coalesce("bad_bound", "_rate", F.lit(0.0)) > params.limit
     return joined.select(
         "page_id", "host", "path", F.col("_rule.rule").alias("rule"),

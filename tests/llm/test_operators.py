@@ -537,3 +537,15 @@ def test_licenses_in_wrapped_notices_and_many_templates(spark):
     text = " ".join([TEMPLATES["GPL-3.0-header"], "Words between.", TEMPLATES["MIT"]])
     rows = scanned(spark.createDataFrame([(1, text)], "doc_id long, text string"), many).collect()
     assert {r["license"] for r in rows} == {"GPL-3.0-header", "MIT"}
+
+
+def test_unlabelled_hosts_are_judged_by_domain_then_suffix(spark):
+    from basinspark.llm.url_reputation import judged_urls
+
+    urls = {1: "http://new.bad.com/", 2: "http://new.clean.com/", 3: "http://other.evil/", 4: "http://far.away/", 5: None, 6: "http://a.bad.com/"}
+    outcomes = [("http://a.bad.com/", 1)] * 300 + [("http://b.bad.com/", 1)] * 300 + [("http://a.clean.com/", 0)] * 900 + [("http://x.evil/", 1)] * 300
+    pages = spark.createDataFrame(list(urls.items()), "page_id long, url string")
+    rows = {r["page_id"]: r for r in judged_urls(pages, spark.createDataFrame(outcomes, "url string, bad int"), []).collect()}
+    assert {k: r["verdict"] for k, r in rows.items()} == {1: "block", 2: "allow", 3: "block", 4: "allow", 5: "allow", 6: "block"}
+    assert rows[1]["bad_rate"] > 0.9 and rows[2]["bad_rate"] < 0.1 and rows[4]["bad_rate"] == rows[5]["bad_rate"] == 0.5
+    assert [rows[k]["labelled_pages"] for k in (1, 2, 3, 6)] == [0, 0, 0, 300]
