@@ -1,7 +1,9 @@
 """Benchmark decontamination: q-gram lemma in diagonal bands, verified by banded alignment.
 
 Texts are compared in lower case (A-Z) with single blanks, as UTF-8 bytes. Benchmark items are cut into overlapping
-windows of ``window`` bytes. A window of w bytes found with at most e edits shares at least w + 1 - q(e + 1) of its
+windows of ``window`` bytes every ``step`` bytes and of ``passage`` bytes every ``passage_step``. An exact excerpt of
+``passage + passage_step - 1`` bytes (79) holds a whole short window, so it is always found; a shorter one need not be, if
+the item is longer. The long windows find passages with more edits than a short window may have. A window of w bytes found with at most e edits shares at least w + 1 - q(e + 1) of its
 q-grams with the text, and all of them on diagonals (place in the text less place in the window) that lie within e of
 each other. Shared q-grams are therefore counted in overlapping bands of diagonals, and regions that reach the bound
 are verified by an alignment inside their band. The filter loses no region within the edit budget.
@@ -35,6 +37,8 @@ class LeakParameters:
     edit_share: float = 0.08  # of a window's bytes
     window: int = 200
     step: int = 100
+    passage: int = 60  # bytes of the short windows
+    passage_step: int = 20
     band: int = 32  # more than the edits of a window
     common: int = 24  # q-grams of more windows are left out where the bound of the rest stays positive
     piece: int = 1 << 20  # bytes searched at a time
@@ -67,11 +71,13 @@ class LeakIndex:
                 if whole:
                     self.exact.append((number, whole))
                 continue
-            last = max(0, len(whole) - params.window)
-            starts = sorted({*range(0, last, params.step), last})
-            self.n_windows[number] = len(starts)
-            for s in starts:
-                self.windows.append(whole[s : s + params.window])
+            spans = set()
+            for width, step in ((params.window, params.step), (params.passage, params.passage_step)):
+                last = max(0, len(whole) - width)
+                spans |= {(s, min(len(whole), s + width)) for s in (*range(0, last, step), last)}
+            self.n_windows[number] = len(spans)
+            for begin, end in sorted(spans):
+                self.windows.append(whole[begin:end])
                 self.item.append(number)
         self.ids = [key for key, _ in items]
         self.edits = [self._edits(len(w)) for w in self.windows]

@@ -549,3 +549,16 @@ def test_unlabelled_hosts_are_judged_by_domain_then_suffix(spark):
     assert {k: r["verdict"] for k, r in rows.items()} == {1: "block", 2: "allow", 3: "block", 4: "allow", 5: "allow", 6: "block"}
     assert rows[1]["bad_rate"] > 0.9 and rows[2]["bad_rate"] < 0.1 and rows[4]["bad_rate"] == rows[5]["bad_rate"] == 0.5
     assert [rows[k]["labelled_pages"] for k in (1, 2, 3, 6)] == [0, 0, 0, 300]
+
+
+def test_every_excerpt_of_the_stated_length_is_a_leak():
+    from basinspark.llm.decontamination import LeakIndex, LeakParameters, leaks_of
+
+    rng = random.Random(8)
+    item = "".join(rng.choice("abcdefgh") for _ in range(394))
+    noise = "".join(rng.choice("klmnopqrst ") for _ in range(300))
+    params = LeakParameters()
+    length = params.passage + params.passage_step - 1
+    texts = [noise + item[k : k + length] + noise for k in range(len(item) - length + 1)]
+    assert length < 80 and all([leak["item_id"] for leak in own] == [1] for own in leaks_of(texts, LeakIndex([(1, item)], params)))
+    assert leaks_of([noise], LeakIndex([(1, item)], params)) == [[]]
