@@ -243,6 +243,105 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored(docs, held_out, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+@query(r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, tokens, CAST(len(tokens) AS BIGINT) AS n, CAST(CAST('0x' || h[1:8] AS UBIGINT) AS BIGINT) AS h1,
+         CAST(CAST('0x' || h[9:16] AS UBIGINT) AS BIGINT) AS h2, CAST(CAST('0x' || h[17:24] AS UBIGINT) AS BIGINT) AS h3,
+         CAST(CAST('0x' || h[25:32] AS UBIGINT) AS BIGINT) AS h4
+  FROM docs),
+placed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle,
+         array_to_string(tokens[b + 1:n], '') AS suffix
+  FROM placed),
+outputs AS (
+  SELECT *, CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END AS output
+  FROM parts),
+marks AS (SELECT *, strpos(output, '<P>') AS p, strpos(output, '<S>') AS s, strpos(output, '<M>') AS m FROM outputs)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(len(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(len(middle) AS BIGINT) END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'psm' THEN output[4:s - 1] || output[m + 3:] || output[s + 3:m - 1]
+                        WHEN 'spm' THEN output[p + 3:m - 1] || output[m + 3:] || output[4:p - 1] ELSE output END) AS restored_sha256
+FROM marks
+""")
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, cuts and hashes of every transformed document, and of the document rebuilt from it."""
+    from basinspark.llm.fill_in_middle import fill_in_middle, restored
+
+    facts = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    rows = fill_in_middle(table(spark, folder, "documents"), [F.col("doc_id")])
+    return restored(rows, [F.col(c) for c in facts], with_text=False)
+
+
+@query(r"""
+WITH payloads AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+groups AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM payloads)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN other THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN other THEN top END AS refers_to
+FROM (SELECT *, payload_bytes >= 1000 AND top IS NOT NULL AND page_id IS DISTINCT FROM top AS other FROM groups)
+""")
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back, revisits through the capture index."""
+    from basinspark.llm.web_archive import read_back, written
+
+    pages = table(spark, folder, "pages")
+    kind = pages.schema["page_id"].dataType
+    rows = read_back(written(pages))
+    return rows.withColumns({name: F.col(name).cast(kind) for name in ("page_id", "refers_to")})
+
+
+_ROUND = r"""
+near{i} AS MATERIALIZED (
+  SELECT id, part, arg_min(entry, error) AS entry, min(error) AS error FROM (
+    SELECT v.id, v.part, c.entry, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + c.entry AS error
+    FROM vectors v JOIN books{i} c ON v.part = c.part)
+  GROUP BY id, part),"""
+_MEANS = r"""
+sums{i} AS (
+  SELECT part, entry, place, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+  FROM (SELECT n.part, n.entry, unnest(v.x) AS x, generate_subscripts(v.x, 1) AS place FROM near{i} n JOIN vectors v ON n.id = v.id AND n.part = v.part)
+  GROUP BY part, entry, place),
+means{i} AS (SELECT part, entry, list(x ORDER BY place) AS x FROM sums{i} GROUP BY part, entry),
+books{j} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM books{i} b LEFT JOIN means{i} m ON b.part = m.part AND b.entry = m.entry),"""
+
+
+@query(
+    r"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS id, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+vectors AS MATERIALIZED (
+  SELECT id, part, x[part * len(x) // 16 + 1:(part + 1) * len(x) // 16] AS x FROM kept, (SELECT unnest(range(0, 16)) AS part)),
+books0 AS MATERIALIZED (SELECT part, id - 1 AS entry, x FROM vectors WHERE id <= 64),"""
+    + "".join(_ROUND.format(i=i) + _MEANS.format(i=i, j=i + 1) for i in (0, 1))
+    + _ROUND.format(i=2)
+    + r"""
+coded AS (
+  SELECT id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum((error - entry) // 64) AS BIGINT) AS error FROM near2 GROUP BY id),
+digest AS (
+  SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(x) AS x, generate_subscripts(x, 1) AS place FROM books2))
+SELECT vec_id, code, error, label, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (id), digest
+"""
+)
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes, errors and errors by label of every kept vector."""
+    from basinspark.llm.vector_codes import coded
+
+    return coded(table(spark, folder, "embeddings"))
+
+
 @query()
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
