@@ -3,7 +3,7 @@
 The linear and the kernel model are least-squares fits, for which the sums of products of all features and targets are
 enough: one pass over the rows gives them for every target at once, and only this small matrix reaches the driver. The
 kernel model approximates kernel regression by random Fourier features, so no matrix of all row pairs is formed.
-Forests are fitted by Spark ML, one per target.
+Forests predict all targets jointly (:mod:`basinspark.operators.forest`).
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinspark.operators.ensemble import union_models
 from basinspark.operators.features import Scaler
+from basinspark.operators.forest import TREE, ForestParameters, fit_trees, scored
 
 _X = "_features"
 
@@ -118,15 +118,14 @@ class LinearFit:
 
 @dataclass
 class ForestFit:
-    """One random forest per target."""
+    """A random forest of all targets: a table with one row per tree."""
 
-    models: dict[str, RandomForestRegressionModel]
+    targets: list[str]
+    trees: DataFrame
 
     def predict(self, df: DataFrame) -> DataFrame:
-        scored = df
-        for target, model in self.models.items():
-            scored = model.setPredictionCol(target).transform(scored)
-        return scored
+        """Add one column per target, the mean over the trees."""
+        return scored(df, _X, self.trees, self.targets)
 
 
 def _products(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures | None) -> np.ndarray:
@@ -188,16 +187,8 @@ def fit_kernel(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures, no
 
 
 def fit_forest(df: DataFrame, targets: Sequence[str], trees: int = 100, seed: int = 42, depth: int = 30) -> ForestFit:
-    """Random forest per target; every split may use every feature, and 30 is the greatest depth that Spark allows."""
-    forest = RandomForestRegressor(
-        featuresCol=_X, numTrees=trees, seed=seed, maxDepth=depth, featureSubsetStrategy="all"
-    )
-    return ForestFit(
-        {
-            target: forest.copy({forest.labelCol: target}).fit(df.where(F.col(f"`{target}`").isNotNull()))
-            for target in targets
-        }
-    )
+    """Forest whose trees split on the squared error of all targets together; every split may use every feature."""
+    return ForestFit(list(targets), fit_trees(df, _X, targets, ForestParameters(trees=trees, seed=seed, depth=depth)))
 
 
 @dataclass
@@ -289,8 +280,7 @@ def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
     for name, fitted in ensemble.models.items():
         if isinstance(fitted, ForestFit):
             about["models"][name] = {"kind": "forest"}
-            for number, target in enumerate(ensemble.targets):
-                fitted.models[target].write().save(f"{path}/models/{name}/{number}")
+            fitted.trees.write.parquet(f"{path}/models/{name}")
         else:
             kernel = fitted.kernel
             shape = {k: v for k, v in vars(kernel).items() if k not in ("frequencies", "phases")} if kernel else None
@@ -321,8 +311,7 @@ def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     models = {}
     for name, entry in about["models"].items():
         if entry["kind"] == "forest":
-            loaded = [RandomForestRegressionModel.load(f"{path}/models/{name}/{i}") for i in range(len(targets))]
-            models[name] = ForestFit(dict(zip(targets, loaded, strict=True)))
+            models[name] = ForestFit(targets, spark.read.schema(TREE).parquet(f"{path}/models/{name}"))
         else:
             rows = {row["target"]: row for row in spark.read.parquet(f"{path}/models/{name}").collect()}  # per target
             models[name] = LinearFit(
