@@ -34,22 +34,6 @@ def _pick(names: list[str], number: Column) -> Column:
     return F.get(F.array(*[F.lit(name) for name in names]), (number % len(names)).cast("int"))
 
 
-def _run_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as a run table: two runs a month, four lakes, two surfaces and three components."""
-    lines = line_months(spark, folder)
-    keys = {
-        "cfs_run": F.col("year").cast("long") * 1000000 + F.col("month") * 10000 + 100 + F.col("l_suppkey") % 2 * 6,
-        "lake": _pick(FEATURE_LAKES, F.col("l_linenumber")),
-        "surface_type": _pick(SURFACES, F.col("l_partkey")),
-        "component": _pick(PREDICTOR_COMPONENTS, F.ascii("l_returnflag")),
-    }
-    return (
-        lines.withColumns(keys)
-        .groupBy("cfs_run", "year", "month", "lake", "surface_type", "component")
-        .agg((mean("cents") / 1e5).alias("value [mm]"))
-    )
-
-
 def _observed(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as long monthly observations of four lakes and four components."""
     named = order_months(spark, folder).withColumns(
@@ -178,6 +162,20 @@ def _monthly_targets(spark: SparkSession, folder: str) -> DataFrame:
     return to_wide(named.withColumn("observed", value), ["year", "month"], "name", TARGETS, "observed").na.drop("any")
 
 
+def _model_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as a run table that is complete at every size: each line counts for all components of its place."""
+    lines = line_months(spark, folder).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(PREDICTOR_COMPONENTS) - 1))))
+    measures = F.array(F.col("cents") / 1e5, F.col("l_quantity").cast("double"), F.col("l_discount") * 100)
+    keys = {
+        "cfs_run": F.col("year").cast("long") * 1000000 + F.col("month") * 10000 + 100 + F.col("l_suppkey") % 2 * 6,
+        "lake": _pick(FEATURE_LAKES, F.col("l_linenumber")),
+        "surface_type": _pick(SURFACES, F.col("l_partkey")),
+        "component": _pick(PREDICTOR_COMPONENTS, F.col("i")),
+        "measure": F.get(measures, F.col("i")),
+    }
+    return lines.withColumns(keys).groupBy("cfs_run", "year", "month", "lake", "surface_type", "component").agg(F.avg("measure").alias("value [mm]"))
+
+
 _TRAINED = ("1995-01-01", "1998-12-01")
 _JUDGED = ("1999-01-01", "2001-12-01")
 
@@ -185,7 +183,7 @@ _JUDGED = ("1999-01-01", "2001-12-01")
 @query()
 def training_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly features, all targets, three models of full size, hold-out scores per model and target."""
-    features = feature_matrix(_run_table(spark, folder)).groupBy("year", "month").agg(
+    features = feature_matrix(_model_runs(spark, folder)).groupBy("year", "month").agg(
         *[F.avg(name).alias(name) for name in FEATURES]
     )
     return train(features, _monthly_targets(spark, folder), FEATURES, TARGETS, _TRAINED, _JUDGED)[1]
@@ -194,7 +192,7 @@ def training_flow(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def forecast_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Run table → cut-off → features → three models of all targets → published forecast."""
-    runs = _run_table(spark, folder)
+    runs = _model_runs(spark, folder)
     table = persisted(training_table(feature_matrix(runs), _monthly_targets(spark, folder)))
     ensemble = models.fit_ensemble(table, FEATURES, TARGETS, fit_scaler(table, FEATURES), fit_scaler(table, TARGETS))
     return forecast(runs, ensemble, AS_OF).published
@@ -213,11 +211,10 @@ def training_flow_keys(spark: SparkSession, folder: str) -> DataFrame:
     WITH cells AS (
         SELECT year, month, cfs_run FROM (
             SELECT {LINE_MONTH}, year(l_shipdate) * 1000000 + month(l_shipdate) * 10000 + 100 + l_suppkey % 2 * 6 AS cfs_run,
-                   l_linenumber % {len(FEATURE_LAKES)} AS lake, l_partkey % {len(SURFACES)} AS surface,
-                   ascii(l_returnflag) % {len(PREDICTOR_COMPONENTS)} AS component
+                   l_linenumber % {len(FEATURE_LAKES)} AS lake, l_partkey % {len(SURFACES)} AS surface
             FROM lineitem WHERE year(l_shipdate) * 12 + month(l_shipdate) >= 2001 * 12 + 3)
         GROUP BY year, month, cfs_run
-        HAVING count(DISTINCT (lake, surface, component)) = {len(FEATURE_LAKES) * len(SURFACES) * len(PREDICTOR_COMPONENTS)}),
+        HAVING count(DISTINCT (lake, surface)) = {len(FEATURE_LAKES) * len(SURFACES)}),
     months AS (SELECT DISTINCT year, month FROM cells),
     names AS (SELECT unnest({FEATURE_LAKES}) AS lake), parts AS (SELECT unnest({TARGET_COMPONENTS}) AS component)
     SELECT (SELECT CAST(min(year * 100 + month) // 100 AS INTEGER) FROM months) AS current_year,

@@ -109,7 +109,7 @@ def linear_fit_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """A forest of full depth on three features, its price for every hold-out line."""
+    """A forest of 100 trees of depth 30 on three features, its price for every hold-out line."""
     train, test = _parts(_lines(spark, folder))
     fitted = models.fit_forest(models.assemble(train, INPUTS), ["y"])
     scored = fitted.predict(models.assemble(test.drop("y"), INPUTS))
@@ -151,6 +151,28 @@ def forest_steps(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("l_orderkey", "l_partkey", "l_linenumber", F.round("y", 6).alias("y"))
 
 
+_JOINT = ["CASE WHEN l_linenumber <= 3 THEN 5.0 ELSE 8.0 END", "CASE WHEN l_linenumber <= 5 THEN -40.0 ELSE 60.0 END", "CASE WHEN l_tax >= 0.03 THEN 700.0 ELSE -200.0 END"]
+
+
+@query(
+    f"""
+    SELECT l_orderkey, l_partkey, l_linenumber, {", ".join(f"CAST({step} AS DOUBLE) AS y{i}" for i, step in enumerate(_JOINT))}
+    FROM lineitem WHERE l_shipdate >= '1999-01-01'
+    """
+)
+def forest_joint_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """One forest of three targets, whose trees must find the steps of each, scored on the hold-out lines."""
+    targets = [f"y{i}" for i in range(len(_JOINT))]
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day"), F.col("l_linenumber").cast("double").alias("n"),
+        F.col("l_tax").cast("double").alias("t"), *[F.expr(step).cast("double").alias(name) for name, step in zip(targets, _JOINT, strict=True)],
+    )
+    train, test = _parts(lines)
+    fitted = models.fit_forest(models.assemble(train, ["n", "t"]), targets, trees=20)
+    scored = fitted.predict(models.assemble(test.drop(*targets), ["n", "t"]))
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", *[F.round(name, 6).alias(name) for name in targets])
+
+
 @query("SELECT l_orderkey, l_partkey, l_linenumber, true AS near FROM lineitem WHERE l_shipdate >= '1999-01-01'")
 def kernel_near_label(spark: SparkSession, folder: str) -> DataFrame:
     """The kernel model on a smooth label: every hold-out line is within 0.15 of it, a tenth of its range of 1.5."""

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -308,7 +309,7 @@ def _copying(trees: list[Tree], local: dict[int, list[int]], thresholds, params:
 def _finishing(depths: dict[tuple[int, int], int], n_features: int, n_targets: int, params: ForestParameters):
     """Group function: the subtree of one node."""
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
         bins = np.concatenate([np.frombuffer(b, np.uint16).reshape(-1, n_features) for b in group["bins"]])
         y = np.concatenate([np.frombuffer(b, np.float64).reshape(-1, n_targets) for b in group["y"]])
         weights = np.concatenate([np.frombuffer(b, np.uint8) for b in group["weights"]]).astype(np.float64)
@@ -324,7 +325,7 @@ def _finishing(depths: dict[tuple[int, int], int], n_features: int, n_targets: i
 def _joining(trees: list[Tree], thresholds, offset: np.ndarray):
     """Group function: all subtrees of a tree hung below its top, with thresholds in place of bins."""
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
         top = trees[key[0]]
         feature, split, left, right, value = (list(part) for part in (top.feature, top.split, top.left, top.right, top.value))
         for sub in group.sort_values("node").to_dict("records"):
@@ -380,7 +381,7 @@ def fit_trees(df: DataFrame, features: str, targets: Sequence[str], params: Fore
     # A tree that is all top, or drew no row at all, has no subtree and stays as it is.
     both = every.join(persisted(subtrees), "tree", "left").select("tree", "node", "feature", "bin", "left", "right", "value")
 
-    def joined(key, group: pd.DataFrame) -> pd.DataFrame:
+    def joined(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
         return join(key, group.dropna(subset=["node"]).astype({"node": int}))
 
     join = _joining(trees, thresholds, offset)
