@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from basinspark.operators.skill import format_observed
 from basinspark.schemas import MONTH_NAMES
 from basinspark.session import fresh_folder
 from basinspark.sources import listings, tables
+from basinspark.sources.bucketed import create_bucketed, upsert_bucketed
 from basinspark.sources.delimited import read_series, write_tsv
 from basinspark.sources.grids import one_name, preferred_column, preferred_variable, select_fields
 
@@ -380,6 +383,78 @@ def upsert_many_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, path)
 
 
+@query(
+    f"""
+    SELECT event_id, {EVENT_RUN} AS run, event_type || ': ' || user_id % 3 || '%' AS kind, printf('%02d', user_id % 7) AS lot
+    FROM events WHERE {EVENT_RUN} >= 2024011506
+    """
+)
+def retention_odd_names(spark: SparkSession, folder: str) -> DataFrame:
+    """A delete in a folder with a blank, whose text partitions have colons, blanks, percent signs and leading zeros."""
+    path = f"{fresh_folder(spark, 'odd')}/runs of 2024"
+    kind = F.concat("event_type", F.lit(": "), F.col("user_id") % 3, F.lit("%"))
+    rows = event_runs(spark, folder).select("event_id", "run", kind.alias("kind"), F.format_string("%02d", F.col("user_id") % 7).alias("lot"))
+    tables.upsert_into(spark, path, rows, ["event_id", "kind", "lot"], ["kind", "lot"])
+    tables.delete_below(spark, path, "run", 2024011506)
+    return tables.read_table(spark, path)
+
+
+@query(
+    f"""
+    SELECT o_orderkey, printf('%02d', month(o_orderdate)) AS region, {ORDER_CENTS} + CASE WHEN o_orderkey % 5 = 0 THEN 7 ELSE 0 END AS cents
+    FROM orders
+    """
+)
+def upsert_text_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Partitions named 01 to 12, which are texts and stay texts."""
+    path = fresh_folder(spark, "regions")
+    region = F.format_string("%02d", F.month("o_orderdate"))
+    rows = table(spark, folder, "orders").select("o_orderkey", region.alias("region"), cents("o_totalprice").alias("cents"))
+    for part in (rows, rows.where("o_orderkey % 5 = 0").withColumn("cents", F.col("cents") + 7)):
+        tables.upsert_into(spark, path, part, ["o_orderkey", "region"], ["region"])
+    return tables.read_table(spark, path)
+
+
+@query(
+    """
+    SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS month, 'stored' AS part FROM orders WHERE o_orderkey % 10 <> 0
+    UNION ALL SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER), 'added' FROM orders WHERE o_orderkey % 10 = 0
+    """
+)
+def strict_insert_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two lots go in by a key index, the second, repeated, is refused whole."""
+    path = fresh_folder(spark, "indexed")
+    rows = table(spark, folder, "orders").select("o_orderkey", F.month("o_orderdate").alias("month"))
+    added = rows.where("o_orderkey % 10 = 0").withColumn("part", F.lit("added"))
+    tables.strict_insert(spark, path, rows.where("o_orderkey % 10 <> 0").withColumn("part", F.lit("stored")), ["o_orderkey"], ["month"])
+    tables.strict_insert(spark, path, added, ["o_orderkey"], ["month"])
+    try:
+        tables.strict_insert(spark, path, added, ["o_orderkey"], ["month"])
+    except ValueError:
+        return tables.read_table(spark, path)
+    raise AssertionError("A repeated lot was accepted.")
+
+
+@query(
+    f"""
+    SELECT l.l_orderkey * 2 AS o_orderkey, l.l_partkey, l.l_linenumber, {ORDER_CENTS} + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS cents
+    FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey * 2
+    UNION ALL SELECT -1 - o_orderkey, CAST(0 AS BIGINT), CAST(0 AS INTEGER), CAST(1 AS BIGINT) FROM orders WHERE o_orderkey % 3 = 0
+    """
+)
+def bucketed_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Point lookups in a table bucketed by key after an upsert with changed and new keys."""
+    name = f"orders_{uuid.uuid4().hex}"
+    rows = table(spark, folder, "orders").select("o_orderkey", cents("o_totalprice").alias("cents"))
+    create_bucketed(rows, name, fresh_folder(spark, "bucketed"), ["o_orderkey"], 16)
+    third = rows.where("o_orderkey % 3 = 0")
+    new = third.select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit(1).cast("long").alias("cents"))
+    stored = upsert_bucketed(spark, name, third.withColumn("cents", F.col("cents") + 1).unionByName(new), ["o_orderkey"])
+    lines = table(spark, folder, "lineitem").select((F.col("l_orderkey") * 2).alias("o_orderkey"), "l_partkey", "l_linenumber")
+    none = new.select("o_orderkey", F.lit(0).cast("long").alias("l_partkey"), F.lit(0).alias("l_linenumber"))
+    return tables.lookup(stored, lines.unionByName(none), ["o_orderkey"], ["cents"])
+
+
 @query(f"SELECT max({EVENT_RUN}) AS run FROM events")
 def latest_run(spark: SparkSession, folder: str) -> DataFrame:
     return tables.latest(event_runs(spark, folder), "run")
