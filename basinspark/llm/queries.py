@@ -108,18 +108,28 @@ everything AS ("""
     + _LEVEL.format(key="every", children="all_suffixes")
     + r"""),
 suffix_rates AS (
-  SELECT s.suffix, (s.bad + e.weight * (e.bad / e.pages)) / (s.pages + e.weight) AS rate, s.weight
-  FROM all_suffixes s JOIN everything e USING (every)),
+  SELECT suffix, rate, weight, rate - 1.645 * sqrt(rate * (1 - rate) / (n + 1)) AS bound
+  FROM (SELECT s.suffix, (s.bad + e.weight * (e.bad / e.pages)) / (s.pages + e.weight) AS rate, s.weight, s.pages + e.weight AS n
+        FROM all_suffixes s JOIN everything e USING (every))),
 domain_rates AS (
-  SELECT n.domain, (n.bad + s.weight * s.rate) / (n.pages + s.weight) AS rate, n.weight FROM named n JOIN suffix_rates s USING (suffix)),
+  SELECT domain, rate, weight, rate - 1.645 * sqrt(rate * (1 - rate) / (n + 1)) AS bound
+  FROM (SELECT n.domain, (n.bad + s.weight * s.rate) / (n.pages + s.weight) AS rate, n.weight, n.pages + s.weight AS n
+        FROM named n JOIN suffix_rates s USING (suffix))),
 reputation AS (
   SELECT host, pages, mean, mean - 1.645 * sqrt(mean * (1 - mean) / (n + 1)) AS bound
   FROM (SELECT h.host, h.pages, (h.bad + d.weight * d.rate) / (h.pages + d.weight) AS mean, h.pages + d.weight AS n
-        FROM hosts h JOIN domain_rates d USING (domain)))
-SELECT page_id, host, path, rule,
-       coalesce(rule_verdict, CASE WHEN coalesce(bound, prior, 0) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
-       coalesce(r.pages, 0)::BIGINT AS labelled_pages, round(coalesce(mean, prior), 9) AS bad_rate
-FROM (SELECT *, (SELECT bad / pages FROM everything) AS prior FROM split) LEFT JOIN ruled USING (page_id) LEFT JOIN reputation r USING (host)
+        FROM hosts h JOIN domain_rates d USING (domain))),
+placed AS (
+  SELECT *, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+         (SELECT bad / pages FROM everything) AS prior
+  FROM split),
+nearest AS (
+  SELECT p.*, r.pages, coalesce(r.mean, CASE WHEN host <> '' THEN coalesce(d.rate, s.rate) END, prior) AS mean,
+         coalesce(r.bound, CASE WHEN host <> '' THEN coalesce(d.bound, s.bound) END, prior, 0) AS bound
+  FROM placed p LEFT JOIN reputation r USING (host) LEFT JOIN domain_rates d USING (domain) LEFT JOIN suffix_rates s USING (suffix))
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(pages, 0)::BIGINT AS labelled_pages, round(mean, 9) AS bad_rate
+FROM nearest LEFT JOIN ruled USING (page_id)
 """
 )
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import ascii_lower
+from basinspark.llm.common import ascii_lower, stored
+from basinspark.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -103,41 +104,46 @@ def _weight(children: DataFrame, key: str, params: Reputation) -> DataFrame:
     return sums.select(key, F.col("all_bad").alias("bad"), F.col("all_pages").alias("pages"), bounded.alias("weight"))
 
 
-def host_reputation(outcomes: DataFrame, params: Reputation = Reputation()) -> tuple[DataFrame, DataFrame]:
-    """Posterior means with the bound per labelled host, domain and suffix (``level``, ``name``), and the one-row prior of all pages.
+def host_reputation(outcomes: DataFrame, params: Reputation = Reputation()) -> tuple[dict[str, DataFrame], float | None]:
+    """Posterior means with the bound of the labelled hosts, domains and suffixes, by level, and the rate of all pages.
 
-    ``outcomes`` has ``host`` and ``bad`` (0 or 1) for every labelled page.
+    ``outcomes`` has ``host`` and ``bad`` (0 or 1) for every labelled page. Each level is written once, with one row per
+    name, as the next one and its own posterior are made from it; the rate of all pages is one row.
     """
     domain, suffix = domain_of(F.col("host"), params.long_suffixes)
     hosts = outcomes.groupBy("host").agg(F.sum("bad").alias("bad"), F.count("bad").alias("pages")).where("pages > 0")
-    hosts = hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), F.lit(1).alias("every"), "bad", "pages")
-    domains = _weight(hosts, "domain", params)
-    named = domains.join(hosts.groupBy("domain").agg(F.first("suffix").alias("suffix")), "domain")
-    suffixes = _weight(named.select("domain", "suffix", "bad", "pages"), "suffix", params)
-    everything = _weight(suffixes.select("suffix", F.lit(1).alias("every"), "bad", "pages"), "every", params)
-
-    top = everything.select("every", (F.col("bad") / F.col("pages")).alias("rate"), F.col("weight").alias("w"))
-    mean = (F.col("bad") + F.col("w") * F.col("rate")) / (F.col("pages") + F.col("w"))
-    bound = mean - params.deviations * F.sqrt(mean * (1 - mean) / (F.col("pages") + F.col("w") + 1))
-
-    def posterior(level: str, rows: DataFrame) -> DataFrame:
-        return rows.select(F.lit(level).alias("level"), F.col(level).alias("name"), F.col("pages").alias("labelled_pages"), mean.alias("bad_rate"), bound.alias("bad_bound"))
-
-    of_suffix = suffixes.withColumn("every", F.lit(1)).join(F.broadcast(top), "every")
-    prior = of_suffix.select("suffix", mean.alias("rate"), F.col("weight").alias("w"))
-    of_domain = named.join(prior, "suffix")
-    prior = of_domain.select("domain", mean.alias("rate"), F.col("weight").alias("w"))
-    found = posterior("host", hosts.join(prior, "domain")).unionByName(posterior("domain", of_domain)).unionByName(posterior("suffix", of_suffix))
-    return found, top
-
-
-def nearest_reputation(pages: DataFrame, reputation: DataFrame, params: Reputation) -> DataFrame:
+    hosts, _ = stored(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "bad", "pages"), "hosts")
+    owners = hosts.groupBy("domain").agg(F.first("suffix").alias("suffix"))
+    domains, _ = stored(_weight(hosts, "domain", params).join(owners, "domain"), "domains")
+    suffixes, _ = stored(_weight(domains.select("domain", "suffix", "bad", "pages"), "suffix", params), "suffixes")
+    top = _weight(suffixes.select(F.lit(1).alias("every"), "bad", "pages"), "every", params).first()
+    if top is None:
+        none = hosts.select(F.col("host").alias("name"), F.col("pages").alias("labelled_pages"), F.lit(0.0).alias("bad_rate"), F.lit(0.0).alias("bad_bound"))
+        return {level: none.withColumnRenamed("name", level) for level in ("host", "domain", "suffix")}, None
+
+    def judged(rows: DataFrame, level: str) -> DataFrame:
+        mean = (F.col("bad") + F.col("w") * F.col("rate")) / (F.col("pages") + F.col("w"))
+        bound = mean - params.deviations * F.sqrt(mean * (1 - mean) / (F.col("pages") + F.col("w") + 1))
+        own = [F.col("weight")] if level != "host" else []
+        found = rows.select(level, F.col("pages").alias("labelled_pages"), mean.alias("bad_rate"), bound.alias("bad_bound"), *own)
+        return stored(found, f"{level}-reputation")[0]
+
+    def prior(rows: DataFrame, level: str) -> DataFrame:
+        return broadcast_if_small(rows.select(F.col(level).alias("_of"), F.col("bad_rate").alias("rate"), F.col("weight").alias("w")))
+
+    of_suffix = judged(suffixes.withColumns({"rate": F.lit(top["bad"] / top["pages"]), "w": F.lit(float(top["weight"]))}), "suffix")
+    of_domain = judged(domains.join(prior(of_suffix, "suffix"), F.col("suffix") == F.col("_of")), "domain")
+    of_host = judged(hosts.join(prior(of_domain, "domain"), F.col("domain") == F.col("_of")), "host")
+    return {"host": of_host, "domain": of_domain.drop("weight"), "suffix": of_suffix.drop("weight")}, top["bad"] / top["pages"]
+
+
+def nearest_reputation(pages: DataFrame, reputation: dict[str, DataFrame], params: Reputation) -> DataFrame:
     """One row per host of ``pages`` with its own posterior, or that of its domain, or that of its suffix."""
     domain, suffix = domain_of(F.col("host"), params.long_suffixes)
     hosts = pages.select("host").distinct().select("host", domain.alias("domain"), suffix.alias("suffix"))
-    for level in ("host", "domain", "suffix"):
-        own = reputation.where(F.col("level") == level).select(F.col("name").alias(level), F.struct("labelled_pages", "bad_rate", "bad_bound").alias(f"_{level}"))
-        hosts = hosts.join(own, level, "left")
+    for level, found in reputation.items():
+        own = found.select(level, F.struct("labelled_pages", "bad_rate", "bad_bound").alias(f"_{level}"))
+        hosts = hosts.join(broadcast_if_small(own), level, "left")
     nearest = F.coalesce("_host", "_domain", "_suffix")
     return hosts.select("host", F.col("_host.labelled_pages").alias("labelled_pages"), nearest["bad_rate"].alias("bad_rate"), nearest["bad_bound"].alias("bad_bound"))
 
@@ -154,9 +160,10 @@ def judged_urls(
     parts = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     parts = parts.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
     seen = outcomes.where(F.col("bad").isNotNull()).select(url_parts(F.col("url"))[0].alias("host"), F.col("bad").cast("long").alias("bad"))
-    reputation, top = host_reputation(seen, params)
-    prior = F.broadcast(top.select("every", F.col("rate").alias("_rate")))  # one row
-    joined = parts.withColumn("every", F.lit(1)).join(nearest_reputation(parts.where("host <> ''"), reputation, params), "host", "left").join(prior, "every", "left")
+    reputation, rate = host_reputation(seen, params)
+    # One row per host of the pages: broadcast where that is small, else joined by a shuffle that splits hot hosts.
+    nearest, _ = stored(nearest_reputation(parts.where("host <> ''"), reputation, params), "nearest")
+    joined = parts.join(broadcast_if_small(nearest), "host", "left").withColumn("_rate", F.lit(rate).cast("double"))
     bad = F.coalesce("bad_bound", "_rate", F.lit(0.0)) > params.limit
     return joined.select(
         "page_id", "host", "path", F.col("_rule.rule").alias("rule"),
