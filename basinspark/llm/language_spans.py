@@ -112,13 +112,14 @@ def needs_switches(scores: np.ndarray, switch: float) -> bool:
 
 def best_paths(scores: np.ndarray, lengths: list[int], switch: float) -> np.ndarray:
     """Viterbi labels of sequences laid end to end, one step over all sequences at a time."""
-    labels = np.zeros(len(scores), dtype=np.int8)
+    labels = np.zeros(len(scores), dtype=np.int32)
     order, starts, active = sequences_by_time(lengths)
     if not len(active):
         return labels
     width = scores.shape[1]
-    back = np.zeros((len(scores), width), dtype=np.int8)
-    own = np.arange(width, dtype=np.int8)
+    kind = np.min_scalar_type(width - 1)  # one byte a language while there are few
+    back = np.zeros((len(scores), width), dtype=kind)
+    own = np.arange(width, dtype=kind)
     value = np.zeros((len(order), width))
     value[:] = scores[starts]
     for t in range(1, len(active)):

@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import extended, sampled, sequences_by_time
+from basinspark.llm.common import dropped, extended, sampled, sequences_by_time, stored
 from basinspark.llm.word_tables import LETTERS, WordScores, chunked
+from basinspark.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ class ToxicParameters:
     sample_documents: int = 2500  # of each class, about; the fit sees no more
     sample_sequences: int = 12000  # token runs that the field is fitted on
     run_tokens: int = 40  # length of such a run; scoring has no such limit
+    most_spellings: int = 200_000  # toxic spellings that tokens are labelled by, the most frequent ones
     bits: int = 16  # feature cells
     precision: float = 0.95  # of a spelling's documents, the share that must be toxic
     near: float = 0.2  # of the documents of the strongest spelling in a document, the share another needs
@@ -65,26 +67,19 @@ def feature_cells(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return cells, np.concatenate(([0], np.cumsum([len(fs) for fs in lists])[:-1])).astype(np.int64)
 
 
-def token_labels(documents: list[list[str]], toxic: list[bool], params: ToxicParameters) -> list[np.ndarray]:
-    """Labels of the tokens of each document, as the module's text says."""
-    own, other = Counter(), Counter()
-    kinds = {}
-    for words, bad in zip(documents, toxic, strict=True):
-        found = set()
-        for w in set(words):
-            found.update(kinds.setdefault(w, [s for s in spellings(w) if s[0] in "=^"]))
-        (own if bad else other).update(found)
-    scale = max(1, sum(toxic)) / max(1, len(toxic) - sum(toxic))
-    strong = {s: n for s, n in own.items() if n / (n + other[s] * scale) >= params.precision}
-    least = min(max(3.0, params.common * sum(toxic)), max(strong.values(), default=1))
-    labels = []
-    for words, bad in zip(documents, toxic, strict=True):
-        if not bad:
-            labels.append(np.zeros(len(words), dtype=bool))
-            continue
-        strength = np.array([max((strong.get(s, 0) for s in kinds[w]), default=0) for w in words], dtype=float)
-        labels.append((strength > 0) & (strength >= params.near * strength.max(initial=0)) & (strength >= least))
-    return labels
+def label_spellings(word: str) -> list[str]:
+    """Those spellings by which a word is labelled: the whole word and its first letters."""
+    return [s for s in spellings(word) if s[0] in "=^"]
+
+
+def token_labels(words: list[str], strong: dict[str, int], near: float) -> np.ndarray:
+    """Labels of the tokens of a toxic document: words with a strong spelling, near the strongest one of the document."""
+    known: dict[str, int] = {}
+    for w in words:
+        if w not in known:
+            known[w] = max(strong.get(s, 0) for s in label_spellings(w))
+    strength = np.array([known[w] for w in words], dtype=float)
+    return (strength > 0) & (strength >= near * strength.max(initial=0))
 
 
 def forward_backward(odds: np.ndarray, lengths: list[int], moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,18 +118,8 @@ def forward_backward(odds: np.ndarray, lengths: list[int], moves: np.ndarray) ->
     return 1 / (1 + np.exp(-np.clip(p, -60, 60))), expected
 
 
-def fit_field(documents: list[list[str]], toxic: list[bool], params: ToxicParameters) -> ToxicModel:
-    """Fit the field and the document function on tokenised documents."""
-    rate = float(np.mean(toxic)) if toxic else 0.0
-    if not any(toxic) or all(toxic):
-        return ToxicModel(None, np.zeros((2, 2)), (0.0,) * 4, params.bits, min(rate, 0.499))
-    labels = token_labels(documents, toxic, params)
-    runs, plain = [], []
-    for words, own in zip(documents, labels, strict=True):
-        for k in range(0, len(words), params.run_tokens):
-            (runs if own[k : k + params.run_tokens].any() else plain).append((words[k : k + params.run_tokens], own[k : k + params.run_tokens]))
-    half = params.sample_sequences // 2
-    runs = [x[i] for x in (runs, plain) for i in range(0, len(x), max(1, -(-len(x) // half)))]
+def fit_field(runs: list[tuple[list[str], np.ndarray]], params: ToxicParameters) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the feature cells and of the moves, fitted on labelled runs of tokens."""
     vocabulary = sorted({w for words, _ in runs for w in words})
     number = {w: i for i, w in enumerate(vocabulary)}
     cells, begins = feature_cells(vocabulary, params.bits)
@@ -161,9 +146,7 @@ def fit_field(documents: list[list[str]], toxic: list[bool], params: ToxicParame
             slope += 0.1 * (g - slope)
             square += 0.05 * (g * g - square)
             value += params.rate * (slope / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.95**step)) + 1e-6)
-    model = ToxicModel(weights.astype(np.float32), moves, (0.0,) * 4, params.bits, rate)
-    facts = np.array([document_facts(p) for p in marginals(model, documents)])
-    return ToxicModel(model.weights, moves, _logistic(facts, np.array(toxic, dtype=float)), params.bits, rate)
+    return weights.astype(np.float32), moves
 
 
 def document_facts(p: np.ndarray) -> tuple[float, float, float]:
@@ -230,8 +213,65 @@ def _scored(model: ToxicModel):
     return run
 
 
+def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: (toxic, text) to the number of documents of each class that hold a spelling."""
+    own: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def counts() -> pa.RecordBatch:
+        names = sorted(own[0].keys() | own[1].keys())
+        columns = [pa.array(names, pa.string()), *(pa.array([side[n] for n in names], pa.int64()) for side in (own[1], own[0]))]
+        own[0].clear()
+        own[1].clear()
+        return pa.RecordBatch.from_arrays(columns, names=["spelling", "own", "other"])
+
+    for batch in batches:
+        for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = {s for w in set(LETTERS.findall(text.lower())) for s in label_spellings(w)}
+            own[toxic].update(found)
+            if len(own[0]) + len(own[1]) > 1_000_000:
+                yield counts()
+    yield counts()
+
+
+def _cut_in_runs(strong: dict[str, int], params: ToxicParameters):
+    """Task function: (id, toxic, text) to runs of tokens with their labels; ``marked`` tells whether a run has a toxic one."""
+    schema = pa.schema([("id", pa.string()), ("place", pa.int64()), ("marked", pa.bool_()), ("words", pa.string()), ("labels", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, toxic, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                words = LETTERS.findall(text.lower())
+                own = token_labels(words, strong, params.near) if toxic else np.zeros(len(words), dtype=bool)
+                rows = []
+                for k in range(0, len(words), params.run_tokens):
+                    part = own[k : k + params.run_tokens]
+                    rows.append({"id": key, "place": k, "marked": bool(part.any()), "words": " ".join(words[k : k + params.run_tokens]), "labels": part.tobytes()})
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return run
+
+
+def _facts_of(model: ToxicModel):
+    """Task function: (toxic, text) to the facts that the document function reads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = WordScores(lambda words: emissions(model, words), 1)
+        for batch in batches:
+            facts = []
+            for _, texts in chunked(batch.column(1).to_pylist(), 12_000_000):
+                facts += [document_facts(p) for p in marginals(model, [LETTERS.findall(t.lower()) for t in texts], table)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[i] for f in facts], pa.float64()) for i in range(3))], names=["toxic", "a", "b", "c"])
+
+    return run
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicParameters = ToxicParameters(), doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicModel:
-    """Fit on the labelled documents; about twice ``sample_documents`` texts reach the driver."""
+    """Fit on about ``sample_documents`` labelled documents of each class, however long they are.
+
+    Tasks count the spellings, cut the texts in runs and find the facts of documents. The driver gets the spellings that
+    are common and toxic (``most_spellings`` at most), ``sample_sequences`` runs of ``run_tokens``, and three numbers of
+    each document; no text.
+    """
     marked = labels.where(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(toxic).alias("_toxic"))
     counts = {r["_toxic"]: r["count"] for r in marked.groupBy("_toxic").count().collect()}
     chosen = None
@@ -239,9 +279,36 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicParameters = T
         rows = sampled(marked.where(F.col("_toxic") == value), params.sample_documents, counts.get(value, 0), "_id")
         chosen = rows if chosen is None else chosen.unionByName(rows)
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    found = texts.join(F.broadcast(chosen), "_id").toPandas().sort_values(["_id", "_text"])  # a bounded side
-    documents = [LETTERS.findall(t.lower()) for t in found["_text"]]
-    return fit_field(documents, [bool(v) for v in found["_toxic"]], params)
+    chosen, chosen_path = stored(chosen, "chosen")
+    picked = texts.join(broadcast_if_small(chosen), "_id").select(F.col("_id").cast("string"), F.col("_toxic").cast("int"), "_text")
+    picked, picked_path = stored(picked, "toxic-sample")
+    spark, paths = docs.sparkSession, [chosen_path, picked_path]
+    n = {r["_toxic"]: r["count"] for r in picked.groupBy("_toxic").count().collect()}
+    rate = n.get(1, 0) / max(1, sum(n.values()))
+    if not n.get(0) or not n.get(1):
+        dropped(spark, *paths)
+        return ToxicModel(None, np.zeros((2, 2)), (0.0,) * 4, params.bits, min(rate, 0.499))
+
+    spelled = picked.select("_toxic", "_text").mapInArrow(_spelled, "spelling string, own long, other long")
+    spelled = spelled.groupBy("spelling").agg(F.sum("own").alias("own"), F.sum("other").alias("other"))
+    precise = F.col("own") / (F.col("own") + F.col("other") * F.lit(n[1] / n[0])) >= params.precision
+    strong, strong_path = stored(spelled.where((F.col("own") > 0) & precise), "spellings")
+    least = min(max(3.0, params.common * n[1]), strong.agg(F.max("own")).first()[0] or 1)
+    common = strong.where(F.col("own") >= least).orderBy(F.desc("own"), "spelling").limit(params.most_spellings).collect()
+    runs, runs_path = stored(picked.mapInArrow(_cut_in_runs({r["spelling"]: r["own"] for r in common}, params), "id string, place long, marked boolean, words string, labels binary"), "runs")
+    totals = {r["marked"]: r["count"] for r in runs.groupBy("marked").count().collect()}
+    runs = runs.withColumn("_key", F.xxhash64("id", "place"))
+    wanted = None
+    for kind in (True, False):
+        part = sampled(runs.where(F.col("marked") == kind), params.sample_sequences // 2, totals.get(kind, 0), "_key")
+        wanted = part if wanted is None else wanted.unionByName(part)
+    found = wanted.orderBy("_key", "words").select("words", "labels").collect()  # as many as the parameters say, about
+    weights, moves = fit_field([(r["words"].split(" "), np.frombuffer(r["labels"], dtype=bool)) for r in found], params)
+    model = ToxicModel(weights, moves, (0.0,) * 4, params.bits, rate)
+    facts = picked.select("_toxic", "_text").mapInArrow(_facts_of(model), "toxic int, a double, b double, c double").orderBy("toxic", "a", "b", "c").collect()
+    dropped(spark, *paths, strong_path, runs_path)
+    document = _logistic(np.array([r[1:] for r in facts]), np.array([r[0] for r in facts], dtype=float))
+    return ToxicModel(weights, moves, document, params.bits, rate)
 
 
 def toxicity_scored(docs: DataFrame, model: ToxicModel, keep: list[Column], text: str = "text") -> DataFrame:

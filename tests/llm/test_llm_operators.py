@@ -96,6 +96,17 @@ def test_viterbi_against_all_paths():
             assert len(set(best)) == 1
 
 
+def test_hundreds_of_languages():
+    """Labels beyond one byte: with 300 languages each stretch of a text gets its own."""
+    from basinspark.llm.language_spans import best_paths
+
+    rng = np.random.default_rng(2)
+    truth = np.repeat(rng.permutation(300)[:40], 5)
+    scores = rng.normal(size=(200, 300)) * 0.1
+    scores[np.arange(200), truth] += 9.0
+    assert best_paths(scores, [120, 80], 2.0).tolist() == truth.tolist()
+
+
 def test_languages_without_labels_and_rows(docs, nothing):
     from basinspark.llm.language_spans import fit_languages, identified
 
