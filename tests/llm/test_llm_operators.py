@@ -463,14 +463,42 @@ def test_mixture_of_overlapping_sources(spark):
 
     rows = [(i, 10, ["a"] if i < 10 else ["b"] if i < 20 else ["a", "b"]) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, n int, s array<string>")
-    found = mixed(df, "doc_id", F.col("n"), F.col("s"), weights=lambda names: {s: 1.0 for s in names}, total_share=1.0).collect()
+    found = mixed(df, "doc_id", F.col("n"), F.col("s"), weights=(1.0,), total_share=1.0).collect()
     assert sum(r["taken"] for r in found) == 400 and all(r["taken"] <= 10 for r in found)  # no repetition while single copies suffice
-    with pytest.raises(ValueError, match="patterns"):
-        mixed(df, "doc_id", F.col("n"), F.col("s"), max_patterns=2)
+    # two groups that share no source are solved apart, beside a source of its own
+    more = spark.createDataFrame([(100 + i, 5, ["x"] if i < 4 else ["x", "y"]) for i in range(9)] + [(200, 7, ["z"]), (201, 9, None)], df.schema)
+    both = mixed(df.unionByName(more), "doc_id", F.col("n"), F.col("s"), weights=(1.0,), total_share=1.0).collect()
+    sums = Counter()
+    for r in both:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        sums[tuple(r["sources"])] += r["taken"]
+    targets = {r["sources"][0]: r["target"] for r in both if len(r["sources"]) == 1}
+    assert sums[("z",)] == math.floor(targets["z"] + 1e-6) and sums[(None,)] == math.floor(targets[None] + 1e-6)
+    assert sums[("a",)] + sums[("b",)] + sums[("a", "b")] == math.floor(targets["a"] + 1e-6) + math.floor(targets["b"] + 1e-6)
+
+
+def test_mixture_of_thousands_of_sources(spark):
+    from basinspark.llm.mixing import mixed
+
+    rng = random.Random(4)
+    sizes = [rng.randint(0, 50) for _ in range(5000)]
+    df = spark.createDataFrame([(i, n, [f"host{i}"]) for i, n in enumerate(sizes)], "doc_id long, n int, s array<string>")
+    found = {r["doc_id"]: (r["target"], r["taken"]) for r in mixed(df, "doc_id", F.col("n"), F.col("s")).collect()}
+    order = sorted(range(5000), key=lambda i: f"host{i}")
+    weight = {i: (3, 1, 2)[k % 3] for k, i in enumerate(order)}
+    low, high = 0.0, 1000.0
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(min(2 * sizes[i], level * weight[i]) for i in range(5000)) < 1.5 * sum(sizes):
+            low = level
+        else:
+            high = level
+    for i, (target, taken) in found.items():
+        assert target == pytest.approx(min(2 * sizes[i], level * weight[i]), abs=1e-6) and taken == math.floor(target + 1e-6)
 
 
 def test_flow_against_all_divisions():
-    from basinspark.llm.mixing import cheapest_flow, level_targets
+    from basinspark.llm.mixing import cheapest_flow
 
     offers, quotas, costs = {0: (3, [0]), 1: (2, [0, 1]), 2: (1, [1])}, [5, 4], [0, 1]
     flow = cheapest_flow(offers, quotas, costs)
@@ -480,8 +508,15 @@ def test_flow_against_all_divisions():
         max(0, a - 3) + max(0, b + c - 2) + max(0, d - 1) for a in range(7) for b in range(5) for c in range(5) for d in range(3) if b + c <= 4 and a + b == 5 and c + d == 4
     )
     assert sum(flow.values()) == 9 and cost == best
-    assert level_targets({"a": 10, "b": 100}, {"a": 3, "b": 1}, 60, 2) == {"a": 20, "b": 40}
-    assert level_targets({}, {}, 0, 2) == {}
+
+
+def test_full_sources_give_their_excess_on(spark):
+    from basinspark.llm.mixing import leveled
+
+    sources = spark.createDataFrame([("a", 10), ("b", 100)], "source string, source_size long")
+    assert {r["source"]: r["target"] for r in leveled(sources, (3, 1), 60, 2).collect()} == {"a": 20, "b": 40}
+    assert {r["source"]: r["target"] for r in leveled(sources, (3, 1), 10_000, 2).collect()} == {"a": 20, "b": 200}
+    assert leveled(sources.limit(0), (3, 1), 0, 2).count() == 0
 
 
 # Whole jobs
