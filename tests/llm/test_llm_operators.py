@@ -353,15 +353,31 @@ def test_license_notices(docs, spark, nothing):
 
 def test_license_ranking_against_all_templates():
     """The compression ranking finds the same notice as comparing the words of every template."""
-    import zstandard
+    from basinspark.llm.licenses import TEMPLATES, Ranking, ScanParameters, scan_block, tokens
 
-    from basinspark.llm.licenses import TEMPLATES, scan_block, tokens
+    ranking = Ranking(TEMPLATES, ScanParameters())
+    altered = {n: (t, t.replace(" the ", " "), t.lower(), f"Some words before. {t} And some after it, of no matter.") for n, t in TEMPLATES.items()}
+    for name, texts in altered.items():
+        for number, text in enumerate(texts):
+            found = scan_block(text, ranking)
+            best = max(TEMPLATES, key=lambda n: difflib.SequenceMatcher(None, tokens(TEMPLATES[n]), tokens(text)).ratio())
+            assert found and found[0]["license"] == best == name and (number == 1 or found[0]["exact"])
+            assert ranking(text)[0][2] == name
 
-    dictionaries = {n: zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for n, t in TEMPLATES.items()}
-    for name, text in TEMPLATES.items():
-        found = scan_block(text, TEMPLATES, dictionaries)
-        best = max(TEMPLATES, key=lambda n: difflib.SequenceMatcher(None, tokens(TEMPLATES[n]), tokens(text)).ratio())
-        assert found and found[0]["license"] == best == name and found[0]["exact"]
+
+def test_license_scans_of_own_templates_and_small_changes(spark):
+    from basinspark.llm.licenses import scanned
+
+    own = {"House": "Only members of this house can read these pages.", "Plain": "You may use it for any work."}
+    rows = [(None, "Preface.\n\nOnly members of this house can read these pages.\n\nText."), (2**60 + 1, "x you may use it for any work y"), (3, "nothing of the kind")]
+    found = scanned(spark.createDataFrame(rows, "doc_id long, text string"), own).collect()
+    assert {(r["doc_id"], r["license"], r["exact"]) for r in found} == {(None, "House", True), (2**60 + 1, "Plain", True)}
+    texts = {
+        1: "Released under the terms of the MIT License.", 2: "Licensed under the MIT license.", 3: "He went to MIT without any license.",
+        4: "Licensed under CC BY-XY 4.0.", 5: "MIT", 6: "Licensed under the Apache License, Version 1.1.",
+    }
+    found = scanned(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"], r["exact"]) for r in found} == {(1, "MIT", False), (2, "MIT", False)}
 
 
 # Language model
