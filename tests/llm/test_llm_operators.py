@@ -332,6 +332,50 @@ def test_extraction_round_trip(tag):
         assert main_text(page) == "\n".join(blocks)
 
 
+LONG = "<p>" + "body of the text " * 25 + "</p>"
+CASES = {
+    "sections": (f"<article><h2>T</h2><section>{LONG}</section><section><p>Short.</p></section><section><ul><li>a</li><li>b</li></ul></section></article>", ["T", LONG, "Short.", "a", "b"]),
+    "title and intro": (f"<div class=page><h1>T</h1><div>Intro.</div><div>{LONG}</div></div><div><a href=x>one</a> <a href=y>two</a></div>", ["T", "Intro.", LONG]),
+    "layout class": (f'<div class="content has-sidebar"><h1>T</h1>{LONG}</div><div class=sidebar>{LONG}</div>', ["T", LONG]),
+    "marked wrapper": (f'<div class="legal notices"><h1>T</h1>{LONG}{LONG}{LONG}</div><div>x</div>', ["T", LONG, LONG, LONG]),
+    "marked article": (f'<article class="legal post">{LONG}</article><div class=ad>Buy.</div>', [LONG]),
+    "comments": (f"<article><p>Short text.</p></article><div id=comments>{LONG * 9}</div>", ["Short text."]),
+    "comment articles": (f"<article><p>Short text.</p></article><article class=comment>{LONG * 9}</article>", ["Short text."]),
+    "hidden": (f"<div hidden><article>{LONG}</article></div><article><p>Seen.</p></article>", ["Seen."]),
+    "main": (f"<main><h1>T</h1><section>{LONG}</section><section><p>End.</p></section></main><div>{LONG}</div>", ["T", LONG, "End."]),
+    "deep": ("<div>" * 3000 + f"<h1>T</h1>{LONG}", ["T", LONG]),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_extraction_keeps_whole_articles(name):
+    from basinspark.llm.extraction import main_text
+
+    page, blocks = CASES[name]
+    expected = [" ".join(b.removeprefix("<p>").removesuffix("</p>").split()) for b in blocks]
+    assert main_text(f"<html><body><nav>menu</nav>{page}<footer>foot</footer></body></html>") == "\n".join(expected)
+
+
+def test_extraction_of_generated_layouts():
+    """Articles of sections, nested divs, lists and tables in marked and unmarked wrappers, with clutter around them."""
+    from basinspark.llm.extraction import main_text
+
+    rng = random.Random(21)
+    for _ in range(60):
+        blocks = [f"block {i} " + "of many plain words " * rng.randint(0, 12) for i in range(rng.randint(2, 10))]
+        body, k = "", 0
+        while k < len(blocks):
+            size = rng.randint(1, 3)
+            inner = "".join(rng.choice(["<p>{}</p>", "<div>{}</div>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<table><tr><td>{}</td></tr></table>"]).format(b) for b in blocks[k : k + size])
+            body += rng.choice(["{}", "<section>{}</section>", "<div><div>{}</div></div>", "<section class=intro>{}</section>"]).format(inner)
+            k += size
+        wrapper = rng.choice(["<article>{}</article>", "<main>{}</main>", '<div class="no-sidebar"><article class="post">{}</article></div>', '<main class="has-menu">{}</main>'])
+        clutter = ["<nav><a href=/>home</a></nav>", '<div class="ad">Buy now.</div>', "<aside>Aside words.</aside>", '<div id="cookie-notice">We use cookies.</div>', "<script>var p = '<p>no</p>';</script>", '<section class="comments"><p>I agree.</p></section>']
+        rng.shuffle(clutter)
+        page = "".join(clutter[:3]) + wrapper.format(body) + "".join(clutter[3:])
+        assert main_text(page) == "\n".join(" ".join(b.split()) for b in blocks)
+
+
 # Licenses
 
 
