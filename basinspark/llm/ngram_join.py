@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basinspark.llm.common import dropped, stored
+from basinspark.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -129,7 +130,7 @@ def in_order(grams: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarr
 
 
 def _prefixes(seed: int, heavy, params: JoinParameters):
-    """Rows (gram, node, n) of the prefix of each class, once for each task that has copies of it."""
+    """Rows (gram, node, n, place in the order) of the prefix of each class, once for each task that has copies of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -152,8 +153,11 @@ def _prefixes(seed: int, heavy, params: JoinParameters):
             if parts:
                 lengths = [len(x) for x in parts]
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(np.concatenate(parts)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), lengths)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), lengths))],
-                    names=["gram", "node", "n"],
+                    [
+                        _signed(np.concatenate(parts)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), lengths)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), lengths)),
+                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])),
+                    ],
+                    names=["gram", "node", "n", "at"],
                 )
 
     return run
@@ -223,18 +227,18 @@ class NgramJoin:
 
     def meetings(self) -> DataFrame:
         """Prefix shingles that at least two classes share: a row per shingle and class."""
-        entries = self.texts.select("text").mapInArrow(_prefixes(self.seed, self.heavy, self.params), "gram long, node long, n int")
+        entries = self.texts.select("text").mapInArrow(_prefixes(self.seed, self.heavy, self.params), "gram long, node long, n int, at int")
         ordered = Window.partitionBy("gram").orderBy("node")
         last = F.last("node").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         seen = entries.withColumns({"prev": F.lag("node").over(ordered), "first": F.first("node").over(ordered), "last": last})
         shared = seen.where("first <> last AND (prev IS NULL OR prev <> node)")
-        return self._stored(shared.select("gram", "node", "n"), "meetings")
+        return self._stored(shared.select("gram", "node", "n", "at"), "meetings")
 
     def open_meetings(self, meetings: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Meetings with the component of each class, without the shingles whose classes are all in one component."""
         if labels is None:
             return meetings.withColumn("component", F.col("node"))
-        named = meetings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = meetings.join(broadcast_if_small(labels), "node", "left").withColumn("component", F.coalesce("component", "node"))
         within = Window.partitionBy("gram")
         ends = named.withColumns({"low": F.min("component").over(within), "high": F.max("component").over(within)})
         return ends.where("low <> high").drop("low", "high")
@@ -254,12 +258,16 @@ class NgramJoin:
         met = self.open_meetings(meetings, labels).withColumn("prev", F.lag(F.struct("node", "n", "component")).over(dealt))
         met = met.where((F.col("prev.component") != F.col("component")) & self.fits(F.col("n"), F.col("prev.n")))
         pairs = self.pairs(met.select(F.struct("n", "node").alias("x"), F.col("prev").alias("y")))
-        both = pairs.join(prefixes.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
+        best = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
+        return self.hopeful(pairs, prefixes).withColumn("place", F.row_number().over(best)).where(F.col("place") <= self.params.partners).drop("place", "shared")
+
+    def hopeful(self, pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+        """Pairs with what they share of their prefixes, where that leaves the threshold within reach."""
+        pairs = self._stored(pairs, "met")
+        both = prefixes.select(F.col("node").alias("a"), F.col("grams").alias("x")).join(broadcast_if_small(pairs), "a")
         both = both.join(prefixes.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
         counted = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("shared"))
-        hopeful = counted.where(self.enough(F.col("shared"), F.col("n_a"), F.col("n_b")))
-        best = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
-        return hopeful.withColumn("place", F.row_number().over(best)).where(F.col("place") <= self.params.partners).drop("place", "shared")
+        return counted.where(self.enough(F.col("shared"), F.col("n_a"), F.col("n_b")))
 
     @staticmethod
     def pairs(found: DataFrame) -> DataFrame:
@@ -277,7 +285,7 @@ class NgramJoin:
         side = F.broadcast(wanted) if few else wanted
         texts = self.texts.join(side, self.texts["doc_id"].eqNullSafe(side["rep"]), "left_semi").select("text")
         parts = self._stored(texts.mapInArrow(_fragments(self.seed, p), "node long, fragment int, grams array<long>"), "fragments")
-        left = pairs.join(parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x")), "a")
+        left = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x")).join(broadcast_if_small(pairs), "a")
         both = left.join(parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y")), ["b", "fragment"])
         partial = both.select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("x", "y")).alias("shared"))
         partial = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("shared").alias("shared"))  # repeated rows
@@ -302,14 +310,23 @@ class NgramJoin:
                 self._drop(self.paths[before:-1])
                 return labels
 
-    def all_pairs(self, meetings: DataFrame, labels: DataFrame) -> DataFrame:
-        """All pairs of different components that meet often enough in their prefixes to reach the threshold."""
+    def all_pairs(self, meetings: DataFrame, prefixes: DataFrame, labels: DataFrame) -> DataFrame:
+        """All pairs of different components that share enough of their prefixes to reach the threshold.
+
+        Behind a shared shingle at places i and j at most min(n_x - i, n_y - j) are shared, itself included. The first one
+        that a linked pair shares leaves room for the overlap that it needs, so only such meetings become rows.
+        """
+        p = self.params.percent
         open_ = self._stored(self.open_meetings(meetings, labels), "open")
         x, y = open_.alias("x"), open_.alias("y")
         on = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-        met = x.join(y, on & self.fits(F.col("x.n"), F.col("y.n")))
-        counted = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).count()
-        return counted.where(self.enough(F.col("count"), F.col("n_a"), F.col("n_b"))).drop("count")
+        room = (100 + p) * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= p * (F.col("x.n") + F.col("y.n"))
+        met = x.join(y, on & room)
+        # The meetings with room are the first ones of a pair, so behind the last of them the rest is known.
+        facts = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
+        facts = facts.agg(F.count("*").alias("k"), F.max("x.at").alias("i"), F.max("y.at").alias("j"))
+        most = F.col("k") + F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) - 1
+        return self.hopeful(facts.where((100 + p) * most >= p * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b"), prefixes).drop("shared")
 
     def merged(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
         """Components after more links between classes of different components."""
@@ -339,7 +356,7 @@ class NgramJoin:
                 break
         if labels is None:
             labels = self.spark.createDataFrame([], "node long, component long")
-        labels = self.merged(labels, self.linked(self.all_pairs(meetings, labels)))
+        labels = self.merged(labels, self.linked(self.all_pairs(meetings, prefixes, labels)))
         top = self.classes.select("node", "rep").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = top.groupBy("component").agg(F.min("rep").alias("component_id"))
         ids = top.join(least, "component").select("node", F.col("rep").alias("class_id"), "component_id")
