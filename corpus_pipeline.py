@@ -9,7 +9,7 @@ doc_id is NULL passes the stages like any other; of rows that repeat, one stays
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinspark.llm.common import stored, table, words
@@ -41,16 +41,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts the one with the smallest doc_id stays; texts without words all stay."""
+    """Of each group of linked texts the one with the smallest doc_id stays; texts without words all stay.
+
+    Where ids repeat or are NULL, rows are told apart by numbers of their own, and of a group's rows with the smallest id
+    the one that comes first by a hash of its columns stays.
+    """
     members = near_duplicates(docs.select("doc_id", "text"))
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    keys = members.where(first).select("doc_id").distinct()
-    kept = docs.join(keys, docs["doc_id"].eqNullSafe(keys["doc_id"]), "left_semi")
-    if members.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
-    one = kept.withColumn("_place", F.row_number().over(again))
-    return one.where((F.col("_place") == 1) | (F.size(words(F.col("text"))) == 0)).drop("_place")
+    if members.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        keys = members.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
+        return docs.join(keys, "doc_id", "left_semi").select(*docs.columns)
+    numbered, _ = stored(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")), "numbered")
+    members = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")))
+    placed = numbered.join(members.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id"), "_row")
+    order = F.struct(F.col("_doc.doc_id").isNull().alias("last"), F.col("_doc.doc_id").alias("id"), F.xxhash64("_doc").alias("hash"), "_row")
+    first = placed.where("n_shingles > 0").groupBy("component_id").agg(F.min(order)["_row"].alias("_row"))
+    kept = first.select("_row").unionByName(members.where("n_shingles = 0").select(F.col("doc_id").alias("_row")))
+    return numbered.join(kept, "_row", "left_semi").select("_doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
