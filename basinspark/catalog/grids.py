@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinspark.catalog import query
-from basinspark.catalog.inputs import LINE_CENTS, LINE_MONTH, line_months, table
+from basinspark.catalog.inputs import LINE_CENTS, LINE_MONTH, event_runs, line_months, table
 from basinspark.functions.calendar import days_in_month
 from basinspark.functions.hydro import cell_area
 from basinspark.functions.numbers import mean
@@ -14,6 +14,7 @@ from basinspark.operators import grid
 from basinspark.plans.reduction import run_table_from_grid
 from basinspark.session import fresh_folder
 from basinspark.sources.tables import read_table
+from basinspark.streaming.completeness import followed_runs
 from basinspark.streaming.ingest import ingest_fields, ingest_runs, stored_means, stored_run_table
 
 STEP = 0.25
@@ -382,6 +383,42 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return means.withColumn("value", F.round("value", 6))
 
 
+_RUN_VALUES = """
+    SELECT time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '2000-01-01 00:00:00') AS run_ts, ascii(event_type) % 3 * 4 + user_id % 4 AS number
+    FROM events WHERE NOT (user_id % 4 = 3 AND day(ts) % 3 = 0)
+"""
+
+
+@query(
+    f"""
+    WITH runs AS (SELECT run_ts, CAST(count(DISTINCT number) AS INTEGER) AS n FROM ({_RUN_VALUES}) GROUP BY run_ts),
+    whole AS (SELECT count(DISTINCT ascii(event_type) % 3 * 4 + user_id % 4) AS expected FROM events),
+    ends AS (SELECT max(run_ts) AS last FROM runs)
+    SELECT CAST(strftime(run_ts, '%Y%m%d%H') AS BIGINT) AS run, CASE WHEN n = expected THEN 'complete' ELSE 'late' END AS status, n AS n_values
+    FROM runs, whole, ends WHERE n = expected OR run_ts + INTERVAL 50 HOURS < last
+    """
+)
+def run_completeness(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs that are complete or late, from files in three lots: the first half, the second with repeats, and one too late."""
+    number = F.ascii("event_type") % 3 * 4 + F.col("user_id") % 4
+    values = event_runs(spark, folder).select("run", F.to_timestamp(F.col("run").cast("string"), "yyyyMMddHH").alias("run_ts"), number.cast("int").alias("number"), "user_id")
+    known = {r[0]: i for i, r in enumerate(values.select("number").distinct().orderBy("number").collect())}  # twelve at most
+    places = F.create_map(*[F.lit(v) for pair in known.items() for v in pair])
+    values = values.withColumn("number", places[F.col("number")])
+    missing = (F.col("user_id") % 4 == 3) & (F.dayofmonth("run_ts") % 3 == 0)
+    first, last = values.agg(F.min("run_ts"), F.max("run_ts")).first()
+    half = F.lit((first + (last - first) / 2).replace(hour=0, minute=0, second=0, microsecond=0)).cast("timestamp")
+    arrivals, reports, progress = (fresh_folder(spark, name) for name in ("values", "reports", "progress"))
+    come = values.where(~missing)
+    lots = [come.where(F.col("run_ts") < half), come.where(F.col("run_ts") >= half - F.expr("INTERVAL 2 DAYS")), values.where(missing & (F.col("run_ts") < half))]
+    for lot in lots:
+        lot.select("run", "run_ts", "number").write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema("run long, run_ts timestamp, number int").parquet(arrivals)
+        query = followed_runs(stream, len(known), "25 hours").writeStream.outputMode("append").option("checkpointLocation", progress).trigger(availableNow=True)
+        query.format("parquet").option("path", reports).start().awaitTermination()
+    return spark.read.parquet(reports)
+
+
 @query(_WEIGHTED_SQL)
 def ingest_same_names(spark: SparkSession, folder: str) -> DataFrame:
     """Two folders of files with the same names, each with a part of the cells of every key, in two lots."""

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basinspark.catalog import query
 from basinspark.catalog.inputs import (
@@ -28,6 +29,7 @@ from basinspark.session import fresh_folder
 from basinspark.sources import listings, tables
 from basinspark.sources.bucketed import create_bucketed, upsert_bucketed
 from basinspark.sources.delimited import read_series, write_tsv
+from basinspark.sources.preamble import read_below
 from basinspark.sources.grids import one_name, preferred_column, preferred_variable, select_fields
 
 
@@ -70,15 +72,15 @@ def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_series(spark, path, orders.schema, sep="\t")
 
 
-@query(
-    f"""
+_OBSERVED_SQL = f"""
     SELECT l_returnflag AS lake, CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start,
            CAST(sum({LINE_CENTS}) AS DOUBLE) / count(*) AS observed
     FROM lineitem GROUP BY ALL
-    """
-)
-def preamble_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Per-series year × month files with a comment preamble, read back and unpivoted; empty months are sentinels."""
+"""
+
+
+def _observed_files(spark: SparkSession, folder: str, remark: str) -> tuple[str, T.StructType]:
+    """Per-series year × month files below eleven lines of preamble; empty months are sentinels."""
     lines = line_months(spark, folder).withColumnRenamed("l_returnflag", "lake")
     wide = to_wide(
         lines.withColumn("name", F.date_format(month_start("year", "month"), "MMM")),
@@ -97,7 +99,7 @@ def preamble_csv(spark: SparkSession, folder: str) -> DataFrame:
         "lake",
         F.explode(
             F.array(
-                *[F.struct(F.lit(i).alias("line"), F.lit(f"# remark {i}, with a comma ").alias("value")) for i in range(11)],
+                *[F.struct(F.lit(i).alias("line"), F.lit(f"{remark} {i}, with a comma ").alias("value")) for i in range(11)],
                 F.struct(F.lit(11).alias("line"), F.lit("Year, " + ", ".join(MONTH_NAMES) + " \r").alias("value")),
             )
         ).alias("h"),
@@ -113,12 +115,26 @@ def preamble_csv(spark: SparkSession, folder: str) -> DataFrame:
         .text(path)
     )
     schema = ", ".join(["Year int", *[f"{name} double" for name in MONTH_NAMES]])
-    files = read_series(
-        spark, [f"{path}/lake=*"], spark.createDataFrame([], schema).schema, comment="#"
-    ).withColumn("lake", F.regexp_extract(F.col("_metadata.file_path"), "lake=([^/]*)/", 1))
+    return path, spark.createDataFrame([], schema).schema
+
+
+@query(_OBSERVED_SQL)
+def preamble_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Per-series year × month files with a comment preamble, read back and unpivoted; empty months are sentinels."""
+    path, schema = _observed_files(spark, folder, "# remark")
+    files = read_series(spark, [f"{path}/lake=*"], schema, comment="#").withColumn(
+        "lake", F.regexp_extract(F.col("_metadata.file_path"), "lake=([^/]*)/", 1)
+    )
     return format_observed(files, ids=["lake"])
 
 
+@query(_OBSERVED_SQL)
+def preamble_by_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files with a preamble that no character marks, left out by its number of lines."""
+    path, schema = _observed_files(spark, folder, "remark, 1999, 7,")
+    return format_observed(read_below(spark, [f"{path}/lake=*"], schema, 11, name_pattern="lake=([^/]*)/", name_columns=("lake",)), ids=["lake"])
+
+
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def append_twice(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")

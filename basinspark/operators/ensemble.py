@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 from basinspark.functions.calendar import month_index
 from basinspark.functions.numbers import mean, rounded
 from basinspark.operators.quantiles import exact_quantiles
-from basinspark.operators.shape import to_wide
-from basinspark.session import size_checked
+from basinspark.session import broadcast_if_small, persisted
 
 
 def forecast_cutoff(
@@ -96,18 +95,20 @@ def lead_table(
 ) -> DataFrame:
     """One column per forecast month in calendar order: ``month_1``, ``month_2``, …; repeated cells are averaged.
 
-    Months are ranked on the table of distinct months, which the calendar bounds; they are counted when this is called.
+    Cells are averaged and written when this is called; what is pivoted, and the months that are ranked, come from them.
     A given ``horizon`` fixes the columns; more months than that are an error, so that none is left out.
     """
-    months = df.select(year, month).distinct()
-    ranked = size_checked(months.withColumn("_lead", F.dense_rank().over(Window.orderBy(year, month))))
+    cells = persisted(ensemble_mean(df, [*index, year, month], [value]))
+    months = cells.select(year, month).distinct()
+    ranked = broadcast_if_small(persisted(months.withColumn("_lead", F.dense_rank().over(Window.orderBy(year, month)))))
     found = ranked.count()
     if horizon is None:
         horizon = found
     elif found > horizon:
         raise ValueError(f"{found} months do not fit a horizon of {horizon}.")
-    leads = df.join(ranked, [year, month])
-    return to_wide(leads, index, "_lead", list(range(1, horizon + 1)), value, prefix=prefix)
+    leads = cells.where(F.col(f"`{value}`").isNotNull()).join(ranked, [year, month])
+    own = F.col(f"`{value}`")  # one row per cell, so that its value is the highest one
+    return leads.groupBy(*index).agg(*[F.max(F.when(F.col("_lead") == k, own)).alias(f"{prefix}{k}") for k in range(1, horizon + 1)])
 
 
 def first_leads(df: DataFrame, series: Sequence[str], order: Sequence[str], n: int = 8) -> DataFrame:

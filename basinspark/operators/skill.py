@@ -118,9 +118,12 @@ def skill(
         zp = (F.col("_p") - F.col("_mean_p")) / F.col("_sp")
         zo = (F.col("_o") - F.col("_mean_o")) / F.col("_so")
         moments = scaled.groupBy(*by).agg(*[m.alias(name) for name, m in _moments(zp, zo).items()])
-        scale = F.lit(1.0)
-    else:
-        scale = _spread("_var_o")
+    return scores_of(moments, by, scaling, digits)
+
+
+def scores_of(moments: DataFrame, by: Sequence[str], scaling: str = "obs_raw", digits: int | None = None) -> DataFrame:
+    """Scores from the moments of each group: mean squared, signed and absolute error, and both variances."""
+    scale = F.lit(1.0) if scaling == "own" else _spread("_var_o")
     unit = F.lit(1.0) if scaling == "obs_raw" else scale
     scores = {
         "rmse": F.sqrt("_mse") / scale,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basinspark.operators.groups import SMALL_GROUP, split_groups, stacked
+from basinspark.operators.groups import SMALL_GROUP
 from basinspark.operators.positions import with_position
 
 
@@ -23,19 +23,17 @@ def lag_lead(
     """Values of the rows before and after in the same series, as ``<column>_mo-<k>`` and ``<column>_mo<k>``.
 
     Shifts count rows, not months. Rows with any missing value are dropped; with ``lag = lead = 0`` that is all that
-    happens. A series of more than ``small_group`` rows is cut into chunks of that size, each with the neighbouring
-    rows its shifts need, so that no window group is larger than a chunk and its neighbours.
+    happens. Where a series has more than ``small_group`` rows, all rows are sorted and written once, and cut into chunks of
+    that size, each with the neighbouring rows its shifts need, so that no window group is larger than that.
     """
     if lag == 0 and lead == 0:
         return df.na.drop("any")
     # Rows without a series go in any case, and no other row looks at them.
     named = df.na.drop(subset=list(series)) if series else df
-    small, large, _ = split_groups(named, series, small_group)
-    parts = [
-        None if small is None else _shifted(small, [*series], order, columns, lag, lead),
-        None if large is None else _shifted_in_chunks(large, series, order, columns, lag, lead, small_group),
-    ]
-    return stacked(parts).na.drop("any")
+    sizes = named.groupBy(*series).agg(F.count(F.lit(1)).alias("_rows"))
+    if sizes.where(F.col("_rows") > small_group).isEmpty():
+        return _shifted(named, [*series], order, columns, lag, lead).na.drop("any")
+    return _shifted_in_chunks(named, series, order, columns, lag, lead, small_group).na.drop("any")
 
 
 def _shifted(

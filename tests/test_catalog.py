@@ -98,6 +98,11 @@ def test_linear_scores_of_the_training_flow(spark, connection):
     assert {r["model"] for r in rows} == {"GP", "RF", "LR"}
 
 
+def test_length_of_known_waves_is_found(spark):
+    row = contract.queries()["kernel_search"](spark, FOLDER).first()
+    assert row["found"] == pytest.approx(0.8, rel=0.2)
+
+
 def test_training_flow_returns_scores(spark):
     scores = contract.queries()["training_flow"](spark, FOLDER).collect()
     assert {"model", "target", "mse", "r2"} <= set(scores[0].asDict()) and len({(r["model"], r["target"]) for r in scores}) == len(scores)

@@ -88,6 +88,39 @@ def test_kernel_fit_equals_ridge_on_its_features(table):
     assert np.allclose(scored[["y 1", "y2"]], z @ expected, atol=1e-6)
 
 
+def exact_kernel(x, matern, quadratic, alpha):
+    distance = np.sqrt(((x[:, None] - x[None, :]) ** 2).sum(-1))
+    root = np.sqrt(3) * distance / matern
+    return (1 + root) * np.exp(-root) * (1 + distance**2 / (2 * alpha * quadratic**2)) ** -alpha
+
+
+def test_likelihood_equals_that_of_the_whole_matrix(spark):
+    source = np.random.default_rng(8)
+    x, y = source.normal(size=(90, 2)), source.normal(size=(90, 2))
+    df = models.assemble(spark.createDataFrame(pd.DataFrame(np.hstack([x, y]), columns=["a", "b", "y", "z"])), ["a", "b"])
+    kernel = models.KernelFeatures(2, 40, matern_length=1.5)
+    found = models.log_likelihood(models._products(df, ["y", "z"], kernel), 2, 0.1)
+    z = kernel.waves(x)
+    matrix = z @ z.T + 0.1 * np.eye(90)
+    direct = -0.5 * (np.trace(y.T @ np.linalg.solve(matrix, y)) + 2 * (np.linalg.slogdet(matrix)[1] + 90 * np.log(2 * np.pi)))
+    assert found == pytest.approx(direct, rel=1e-8)
+
+
+def test_lengths_are_recovered_by_likelihood(spark):
+    """Targets drawn with known lengths from the exact kernel, not from the random features."""
+    source = np.random.default_rng(12)
+    x = source.uniform(-2, 2, size=(500, 1))
+    for matern, quadratic, search in ((0.7, 100.0, "matern_length"), (100.0, 0.6, "quadratic_length")):
+        covariance = exact_kernel(x, matern, quadratic, 1.0) + 1e-8 * np.eye(500)
+        y = np.linalg.cholesky(covariance) @ source.normal(size=(500, 24)) + np.sqrt(0.1) * source.normal(size=(500, 24))
+        names = [f"y{i}" for i in range(24)]
+        df = models.assemble(spark.createDataFrame(pd.DataFrame(np.hstack([x, y]), columns=["a", *names])), ["a"]).cache()
+        start = models.KernelFeatures(1, 1000, matern_length=matern if search != "matern_length" else 2.5, quadratic_length=quadratic if search != "quadratic_length" else 2.5)
+        found = models.search_kernel(df, names, start, 0.1, (search,), passes=4)
+        assert getattr(found, search) == pytest.approx({"matern_length": matern, "quadratic_length": quadratic}[search], rel=0.2)
+        df.unpersist()
+
+
 def test_holdout_scores(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0, 5.0), (3.0, 3.0, 7.0, 7.0)], "a double, pa double, b double, pb double")
     found = {r.target: (r.mse, r.r2) for r in models.holdout_scores(df, {"a": "pa", "b": "pb"}).collect()}
