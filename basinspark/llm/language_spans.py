@@ -137,6 +137,10 @@ def best_paths(scores: np.ndarray, lengths: list[int], switch: float) -> np.ndar
     return labels
 
 
+#: Characters that are split into words at a time, and words whose texts wait for their paths together.
+CHUNK = 2_000_000
+WAITING_WORDS = 200_000
+
 RESULT = "lang_pred string, score double, spans array<struct<begin:int,end:int,lang:string>>"
 _ARROW_SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
@@ -173,7 +177,16 @@ def _labelled(model: LanguageModel, params: SpanParameters):
             results: list[tuple] = [(UNKNOWN, 0.0, [])] * batch.num_rows
             texts = batch.column(batch.num_columns - 1).to_pylist()
             waiting: list[tuple[int, list[str], np.ndarray, str]] = []
-            for first, run_ in chunked(texts if model.languages else []):
+
+            def decided(waiting=waiting, results=results) -> None:
+                """Paths of the texts that wait, which are let go."""
+                labels = best_paths(np.concatenate([x[2] for x in waiting]), [len(x[1]) for x in waiting], params.switch)
+                ends = np.cumsum([len(x[1]) for x in waiting])
+                for (i, ws, own, text), e in zip(waiting, ends, strict=True):
+                    results[i] = _summary(model, ws, own, labels[e - len(ws) : e], text)
+                waiting.clear()
+
+            for first, run_ in chunked(texts if model.languages else [], CHUNK):
                 found = [LETTERS.findall(t) for t in run_]
                 scores = table.of([w for ws in found for w in ws])
                 end = 0
@@ -186,12 +199,11 @@ def _labelled(model: LanguageModel, params: SpanParameters):
                         waiting.append((first + i, ws, own.copy(), run_[i]))
                     else:
                         results[first + i] = _summary(model, ws, own, None, run_[i])
+                if sum(len(x[1]) for x in waiting) >= WAITING_WORDS:
+                    decided()
             if waiting:
-                lengths = [len(x[1]) for x in waiting]
-                labels = best_paths(np.concatenate([x[2] for x in waiting]), lengths, params.switch)
-                ends = np.cumsum(lengths)
-                for (i, ws, own, text), e in zip(waiting, ends, strict=True):
-                    results[i] = _summary(model, ws, own, labels[e - len(ws) : e], text)
+                decided()
+            del texts
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([r[0] for r in results], pa.string()), pa.array([r[1] for r in results], pa.float64()), pa.array([r[2] for r in results], _ARROW_SPANS)],
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "spans"],

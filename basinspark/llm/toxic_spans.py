@@ -186,6 +186,9 @@ def marginals(model: ToxicModel, documents: list[list[str]], table: WordScores |
     return np.split(p, np.cumsum(lengths)[:-1])
 
 
+#: Characters that are split into words at a time.
+CHUNK = 3_000_000
+
 RESULT = "score double, offsets array<struct<begin:int,end:int>>"
 _ARROW_OFFSETS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
@@ -197,7 +200,7 @@ def _scored(model: ToxicModel):
         table = None if model.weights is None else WordScores(lambda words: emissions(model, words), 1)
         for batch in batches:
             scores, offsets = [], []
-            for _, texts in chunked(batch.column(batch.num_columns - 1).to_pylist(), 12_000_000):
+            for _, texts in chunked(batch.column(batch.num_columns - 1).to_pylist(), CHUNK):
                 if table is None:
                     scores += [model.rate] * len(texts)
                     offsets += [[]] * len(texts)
@@ -258,7 +261,7 @@ def _facts_of(model: ToxicModel):
         table = WordScores(lambda words: emissions(model, words), 1)
         for batch in batches:
             facts = []
-            for _, texts in chunked(batch.column(1).to_pylist(), 12_000_000):
+            for _, texts in chunked(batch.column(1).to_pylist(), CHUNK):
                 facts += [document_facts(p) for p in marginals(model, [LETTERS.findall(t.lower()) for t in texts], table)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[i] for f in facts], pa.float64()) for i in range(3))], names=["toxic", "a", "b", "c"])
 
