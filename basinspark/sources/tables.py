@@ -112,7 +112,8 @@ def upsert_into(
     if sequence is not None:
         batch = latest_by_key(batch, keys, sequence).drop(sequence)
     batch = persisted(batch)
-    _no_repeats(batch, keys)
+    if sequence is None:
+        _no_repeats(batch, keys)
     recover(spark, path, discard=True)
     target = _stored(spark, path, batch, partition_by)
     if key_index.has_index(spark, path):
