@@ -175,21 +175,16 @@ def forest_joint_targets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def kernel_search(spark: SparkSession, folder: str) -> DataFrame:
-    """Length of a kernel found by likelihood on waves of length 0.8 over all lines, from a start at 3."""
-    known = models.KernelFeatures(n_inputs=2, n_features=60, matern_length=0.8, quadratic_length=50.0, seed=5)
-    weights = [0.9 * (-1) ** i / (1 + i % 3) for i in range(known.n_features)]
-    lines = _lines(spark, folder)
-    scaler = features.fit_scaler(lines, ["x", "d"])
-    scaled = scaler.scale(lines)
-    waves = [
-        F.lit(float(w * (2 / known.n_features) ** 0.5)) * F.cos(F.col("x") * F.lit(float(known.frequencies[0, i])) + F.col("d") * F.lit(float(known.frequencies[1, i])) + F.lit(float(known.phases[i])))
-        for i, w in enumerate(weights)
-    ]
-    drawn = scaled.withColumn("y", models.summed(waves))
-    table = models.assemble(features.fit_scaler(drawn, ["y"]).scale(drawn, ["y"]), ["x", "d"]).select("_features", "y")
-    start = models.KernelFeatures(n_inputs=2, n_features=60, matern_length=3.0, quadratic_length=50.0, seed=5)
-    found = models.search_kernel(table, ["y"], start, search=("matern_length",), passes=4)
-    return spark.range(1).select(F.lit("y").alias("target"), F.lit(start.matern_length).alias("start"), F.lit(float(found.matern_length)).alias("found"))
+    """Both length scales of the kernel that make the prices of the training lines most likely, beside those of the start."""
+    train, _ = _parts(_lines(spark, folder))
+    scaler = features.fit_scaler(train, [*INPUTS, "y"])
+    rows = models.assemble(scaler.scale(train), INPUTS)
+    start = models.KernelFeatures(n_inputs=len(INPUTS), n_features=100)
+    found = models.search_kernel(rows, ["y"], start, passes=2, points=3)
+    return spark.createDataFrame(
+        [(name, float(k.matern_length), float(k.quadratic_length), models.fit_likelihood(rows, ["y"], k)) for name, k in (("start", start), ("found", found))],
+        "kernel string, matern_length double, quadratic_length double, log_likelihood double",
+    )
 
 
 @query("SELECT l_orderkey, l_partkey, l_linenumber, true AS near FROM lineitem WHERE l_shipdate >= '1999-01-01'")
