@@ -3,7 +3,7 @@
 A text is the subword ids of its words in a public byte-pair vocabulary, each word with a leading blank, and an end. The
 attention model reads the ids before a place and predicts the id there: the class of the id, then the id in its class,
 both from the state of the place. Every id has an input and an output vector of its own. Classes only order the
-softmax: the most frequent ids are classes alone, the others are in groups of about equal counts.
+softmax: the most frequent ids are classes alone, the others are in groups, the smaller the more frequent their ids are.
 
 The weights are fitted on the windows of all training texts, each once. The texts are dealt into ``rounds`` by a hash of
 their key. In a round every task starts from the same weights and takes its windows in batches; Spark adds up the tasks'
@@ -44,13 +44,14 @@ SPLIT = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 WORD, SUBWORD, TEXTS = range(3)  # kinds of counts
 FIXED = float(1 << 20)  # weighted changes are added up as whole numbers of this fraction
 SLICE = 1 << 17  # numbers to a row of the sums
+CELLS = 1 << 17  # numbers in a softmax of several places
 
 
 @dataclass(frozen=True)
 class ModelParameters:
-    classes: int = 256
-    width: int = 32
-    window: int = 32
+    classes: int = 64
+    width: int = 16
+    window: int = 40
     context: int = 8
     rounds: int = 4
     trainers: int = 96  # tasks of a round
@@ -140,102 +141,165 @@ class Attention:
         self.p = {"e": start(ids, d), "s": start(w, d, scale=0.1), "q": start(d, d), "k": start(d, d), "v": start(d, d), "o": start(d, d), "u": start(d, classes, scale=0.1), "b": np.zeros(classes, dtype=np.float32)}
         if class_of is not None:
             self.p |= {"r": np.zeros((ids, d), dtype=np.float32), "c": np.zeros(ids, dtype=np.float32)}
-        self.mask = np.where(np.tril(np.ones((w, w), dtype=bool)), np.float32(0), np.float32(-1e9))
+        self.mask = np.tril(np.ones((w, w), dtype=bool))
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
         x = p["e"][inputs] + p["s"]
-        q, k, v = x @ (p["q"] * np.float32(x.shape[-1] ** -0.5)), x @ p["k"], x @ p["v"]
-        a = q @ k.transpose(0, 2, 1)
-        a += self.mask
-        a -= a.max(axis=-1, keepdims=True)
-        np.exp(a, out=a)
-        a /= a.sum(axis=-1, keepdims=True)
+        d = x.shape[-1]
+        # One product over all places of the batch for queries, keys and values.
+        joint = np.hstack((p["q"] * np.float32(d**-0.5), p["k"], p["v"]))
+        qkv = (x.reshape(-1, d) @ joint).reshape(*x.shape[:-1], 3 * d)
+        q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
+        _, a, sums = exponentials(q @ k.transpose(0, 2, 1), self.mask)
+        a *= 1 / sums[..., None]
         m = a @ v
-        h = x + m @ p["o"]
+        h = x + (m.reshape(-1, d) @ p["o"]).reshape(x.shape)
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "m": m, "h": h}
 
-    def grouped(self, targets: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
-        """For each class of several ids: the places of its targets, its ids as a range of the order, and the targets in it."""
-        own = self.class_of[targets]
+    def grouped(self, goal: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, slice]], np.ndarray]:
+        """The places whose targets share a class, in the order of classes; the range of places and of ids of each such
+        class; and the targets' numbers in their classes."""
+        own = self.class_of[goal]
         at = np.flatnonzero(self.sizes[own] > 1)
-        at = at[np.argsort(own[at], kind="stable")]
-        for places in np.split(at, np.flatnonzero(np.diff(own[at])) + 1):
-            if len(places):
-                k = own[places[0]]
-                yield places, slice(self.first[k], self.first[k] + self.sizes[k]), self.rank[targets[places]] - self.first[k]
+        by_class, begins, classes = runs(own[at].astype(np.int16))
+        at = at[by_class]
+        ends = np.append(begins[1:], len(at))[: len(begins)]
+        ranges = [(slice(b, e), slice(self.first[k], self.first[k] + self.sizes[k])) for k, b, e in zip(classes, begins, ends, strict=True)]
+        return at, ranges, self.rank[goal[at]] - self.first[own[at]]
 
     def logs(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray | None = None) -> np.ndarray:
         """Natural log probability of each target; 0 at places that are not counted."""
         counted = np.ones(targets.shape, dtype=bool) if counted is None else counted
+        p = self.p
         h, goal = self.forward(inputs)["h"][counted], targets[counted].astype(np.int64)
-        found = log_shares(h @ self.p["u"] + self.p["b"], self.class_of[goal])
-        for places, ids, own in self.grouped(goal) if "r" in self.p else ():
-            for k in range(0, len(places), 1024):
-                part = places[k : k + 1024]
-                found[part] += log_shares(h[part] @ self.p["r"][ids].T + self.p["c"][ids], own[k : k + 1024])
+        found = np.zeros(len(goal), dtype=h.dtype)
+        own = self.class_of[goal]
+        for part in pieces(0, len(goal), len(p["b"])):
+            found[part] = log_shares(h[part] @ p["u"] + p["b"], own[part])
+        if "r" in p:
+            at, ranges, number = self.grouped(goal)
+            inner, added = h[at], np.zeros(len(at), dtype=h.dtype)
+            for places, ids in ranges:
+                for part in pieces(places.start, places.stop, ids.stop - ids.start):
+                    added[part] = log_shares(inner[part] @ p["r"][ids].T + p["c"][ids], number[part])
+            found[at] += added
         result = np.zeros(targets.shape, dtype=found.dtype)
         result[counted] = found
         return result
 
-    def gradient(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradient of the mean log likelihood of the counted places."""
+    def touched(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, tuple[np.ndarray | slice, np.ndarray]]:
+        """Gradient of the mean log likelihood of the counted places: of each part the rows that it touches and their values."""
         p, f = self.p, self.forward(inputs)
         d = f["x"].shape[-1]
+        every = slice(None)
         h, goal = f["h"][counted], targets[counted].astype(np.int64)
         n = max(1, len(goal))
-        z = left_over(h @ p["u"] + p["b"], self.class_of[goal], n)
-        g = {"u": h.T @ z, "b": z.sum(axis=0)}
-        back = z @ p["u"].T
+        own, back = self.class_of[goal], np.empty_like(h)
+        du, db = np.zeros_like(p["u"]), np.zeros_like(p["b"])
+        for part in pieces(0, len(goal), len(p["b"])):
+            z = left_over(h[part] @ p["u"] + p["b"], own[part], n)
+            du += h[part].T @ z
+            db += z.sum(axis=0)
+            back[part] = z @ p["u"].T
+        g = {"u": (every, du), "b": (every, db)}
         if "r" in p:
-            g |= {"r": np.zeros_like(p["r"]), "c": np.zeros_like(p["c"])}
-            for places, ids, own in self.grouped(goal):
-                z = left_over(h[places] @ p["r"][ids].T + p["c"][ids], own, n)
-                g["r"][ids], g["c"][ids] = z.T @ h[places], z.sum(axis=0)
-                back[places] += z @ p["r"][ids]
+            at, ranges, number = self.grouped(goal)
+            inner, added = h[at], np.empty((len(at), d), dtype=h.dtype)
+            rows = np.concatenate([np.arange(ids.start, ids.stop) for _, ids in ranges]) if ranges else np.zeros(0, dtype=np.int64)
+            dr, dc, k = np.zeros((len(rows), d), dtype=h.dtype), np.zeros(len(rows), dtype=h.dtype), 0
+            for places, ids in ranges:
+                size = ids.stop - ids.start
+                for part in pieces(places.start, places.stop, ids.stop - ids.start):
+                    z = left_over(inner[part] @ p["r"][ids].T + p["c"][ids], number[part], n)
+                    dr[k : k + size] += z.T @ inner[part]
+                    dc[k : k + size] += z.sum(axis=0)
+                    added[part] = z @ p["r"][ids]
+                k += size
+            g |= {"r": (rows, dr), "c": (rows, dc)}
+            back[at] += added
         flat = lambda x: x.reshape(-1, x.shape[-1])
         dh = np.zeros_like(f["h"])
         dh[counted] = back
-        g["o"] = flat(f["m"]).T @ flat(dh)
-        dm = dh @ p["o"].T
+        g["o"] = every, flat(f["m"]).T @ flat(dh)
+        dm = (flat(dh) @ p["o"].T).reshape(dh.shape)
         da = dm @ f["v"].transpose(0, 2, 1)
-        dv = f["a"].transpose(0, 2, 1) @ dm
-        ds = f["a"] * (da - (da * f["a"]).sum(axis=-1, keepdims=True))
+        joint = np.empty((*dh.shape[:-1], 3 * d), dtype=dh.dtype)
         scale = np.float32(d**-0.5)
-        dq, dk = ds @ f["k"] * scale, ds.transpose(0, 2, 1) @ (f["q"])
-        g["q"], g["k"], g["v"] = flat(f["x"]).T @ flat(dq), flat(f["x"]).T @ flat(dk), flat(f["x"]).T @ flat(dv)
-        dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        g["s"] = dx.sum(axis=0)
-        g["e"] = np.zeros_like(p["e"])
-        by_id = np.argsort(inputs, axis=None, kind="stable")
-        ids, begins = np.unique(inputs.ravel()[by_id], return_index=True)
-        g["e"][ids] = np.add.reduceat(flat(dx)[by_id], begins, axis=0)
+        joint[..., 2 * d :] = f["a"].transpose(0, 2, 1) @ dm
+        da -= (dm * f["m"]).sum(axis=-1, keepdims=True)
+        da *= f["a"]
+        joint[..., :d] = da @ f["k"]
+        joint[..., :d] *= scale
+        joint[..., d : 2 * d] = da.transpose(0, 2, 1) @ f["q"]
+        both = flat(f["x"]).T @ flat(joint)
+        g |= {k: (every, both[:, i * d : (i + 1) * d]) for i, k in enumerate("qkv")}
+        dx = dh + (flat(joint) @ np.hstack((p["q"], p["k"], p["v"])).T).reshape(dh.shape)
+        g["s"] = every, dx.sum(axis=0)
+        by_id, begins, ids = runs(inputs.ravel().astype(np.min_scalar_type(len(p["e"]))))
+        g["e"] = ids, np.add.reduceat(flat(dx)[by_id], begins, axis=0)
         return g
 
+    def gradient(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean log likelihood of the counted places."""
+        whole = {}
+        for k, (rows, g) in self.touched(inputs, targets, counted).items():
+            whole[k] = np.zeros_like(self.p[k])
+            whole[k][rows] = g
+        return whole
+
     def step(self, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray, rate: float, squares: dict[str, np.ndarray]) -> None:
-        """Steps of Adagrad, whose sums of squared gradients are in ``squares``; parts without a gradient stay as they are."""
-        for k, g in self.gradient(inputs, targets, counted).items():
-            rows = np.unique(inputs) if k == "e" else slice(None)
-            g = g[rows]
-            squares[k][rows] += g * g
-            self.p[k][rows] += np.float32(rate) * g / np.sqrt(squares[k][rows])
+        """Steps of Adagrad, whose sums of squared gradients are in ``squares``; rows without a gradient stay as they are."""
+        for k, (rows, g) in self.touched(inputs, targets, counted).items():
+            sums = squares[k][rows] + g * g
+            squares[k][rows] = sums
+            self.p[k][rows] += np.float32(rate) * g / np.sqrt(sums)
+
+
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the keys, where each distinct key begins in it, and the distinct keys."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begins = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, dtype=np.int64)
+    return order, begins, keys[begins].astype(np.int64)
+
+
+def pieces(begin: int, end: int, width: int) -> Iterator[slice]:
+    """The range in slices, whose softmax over ``width`` numbers a row stays in the processor's cache."""
+    size = max(1, CELLS // max(width, 1))
+    return (slice(k, min(k + size, end)) for k in range(begin, end, size))
+
+
+def exponentials(z: np.ndarray, mask: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits, their exponentials (0 outside the mask) and the sums of rows; all rows are shifted by their largest logit
+    where a sum would leave the range of a float."""
+    def powers() -> tuple[np.ndarray, np.ndarray]:
+        e = np.exp(z)
+        if mask is not None:
+            e *= mask
+        return e, (e.reshape(-1, e.shape[-1]) @ np.ones(e.shape[-1], dtype=e.dtype)).reshape(e.shape[:-1])
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        e, sums = powers()
+    if sums.size and not (sums.min() > 1e-20 and sums.max() < 1e20):
+        if mask is not None:
+            z = np.where(mask, z, z.dtype.type(-1e9))
+        z = z - z.max(axis=-1, keepdims=True)
+        e, sums = powers()
+    return z, e, sums
 
 
 def log_shares(z: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Natural log of each row's own share in the softmax; overwrites ``z``."""
-    z -= z.max(axis=-1, keepdims=True)
-    found = z[np.arange(len(z)), own]
-    np.exp(z, out=z)
-    return found - np.log(z.sum(axis=-1))
+    """Natural log of each row's own share in the softmax."""
+    z, _, sums = exponentials(z)
+    return z[np.arange(len(z)), own] - np.log(sums)
 
 
 def left_over(z: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
-    """Gradient of the own shares' mean log over ``n`` rows; overwrites ``z``."""
-    z -= z.max(axis=-1, keepdims=True)
-    np.exp(z, out=z)
-    z /= -z.sum(axis=-1, keepdims=True)
-    z[np.arange(len(z)), own] += 1
-    z /= n
+    """Gradient of the own shares' mean log over ``n`` rows."""
+    _, z, sums = exponentials(z)
+    z *= (-1 / (n * sums))[:, None]
+    z[np.arange(len(z)), own] += z.dtype.type(1 / n)
     return z
 
 
@@ -270,15 +334,21 @@ class Model:
 
 
 def group_classes(counts: np.ndarray, classes: int) -> np.ndarray:
-    """A class of its own for the most frequent subwords, the others in groups of about equal counts."""
+    """A class of its own for the most frequent subwords, groups of about equal sums of the roots of counts for the others.
+
+    With such groups the sum over places of the sizes of their classes is least. Subwords that were never counted have
+    one class together, as no training place asks for them.
+    """
     order = np.argsort(-counts, kind="stable")
-    single = min(classes // 2, len(order))
-    class_of = np.zeros(len(counts), dtype=np.int16)
-    class_of[order[:single]] = np.arange(single)
-    rest = np.cumsum(counts[order[single:]] + 1.0)
-    if len(rest):
-        class_of[order[single:]] = single + np.minimum((rest / rest[-1] * (classes - 1 - single)).astype(int), classes - 2 - single)
-    return class_of
+    seen = order[: np.count_nonzero(counts)]
+    single = min(classes // 2, len(seen))
+    class_of = np.full(len(counts), classes - 1)
+    class_of[seen[:single]] = np.arange(single)
+    roots = np.cumsum(np.sqrt(counts[seen[single:]]))
+    groups = classes - 1 - single
+    if len(roots):
+        class_of[seen[single:]] = single + np.minimum((roots / roots[-1] * groups).astype(int), groups - 1)
+    return np.unique(class_of, return_inverse=True)[1].astype(np.int16)
 
 
 class WordFacts:

@@ -487,6 +487,32 @@ def test_attention_gradient_and_mask():
     assert net.logs(inputs, targets)[:, :4] == pytest.approx(before[:, :4])  # what comes later does not count
 
 
+def test_softmax_of_any_range_and_least_class_costs():
+    """Logits of any size keep their shares; groups by roots of counts cost no more than groups of equal counts."""
+    from basinspark.llm.attention_lm import exponentials, group_classes, log_shares
+
+    rng = np.random.default_rng(3)
+    for scale, shift in ((1, 0), (1, 500), (1, -500), (300, 0)):
+        z = (rng.standard_normal((6, 9)) * scale + shift).astype(np.float32)
+        exact = z.astype(float) - z.max(axis=1, keepdims=True)
+        exact -= np.log(np.exp(exact).sum(axis=1, keepdims=True))
+        own = rng.integers(0, 9, 6)
+        assert log_shares(z, own) == pytest.approx(exact[np.arange(6), own], rel=1e-4, abs=1e-5)
+    mask = np.tril(np.ones((4, 4), dtype=bool))
+    for shift in (0, 200, -200):
+        _, e, sums = exponentials(np.full((2, 4, 4), shift, dtype=np.float32), mask)
+        assert e / sums[..., None] == pytest.approx(np.broadcast_to(mask / mask.sum(axis=1, keepdims=True), (2, 4, 4)), rel=1e-5)
+
+    counts = np.floor(1e6 / np.arange(1, 3001) ** 1.2)
+    counts[2500:] = 0
+    cost = lambda c: (counts * np.bincount(c)[c]).sum()
+    ours = group_classes(counts, 32)
+    mass = np.cumsum(counts[16:])
+    equal = np.concatenate((np.arange(16), 16 + np.minimum(mass / mass[-1] * 16, 15).astype(int)))
+    assert cost(ours) < cost(equal) and len(set(ours[2500:])) == 1 and not set(ours[:2500]) & set(ours[2500:])
+    assert len(set(group_classes(np.zeros(5), 8))) == 1
+
+
 def test_model_is_a_distribution(docs):
     """Class probabilities add up to 1, and so do those of subwords in their classes."""
     from basinspark.llm.attention_lm import Attention, ModelParameters, group_classes
