@@ -79,6 +79,6 @@ def sequences_by_time(lengths):
     return order, starts[order], active
 
 
-def extended(rows: DataFrame, added: str) -> StructType:
-    """The schema of all but the last column (the text), followed by the added columns."""
-    return StructType(rows.schema.fields[:-1] + StructType.fromDDL(added).fields)
+def extended(rows: DataFrame, added: str, keep_text: bool = False) -> StructType:
+    """The schema of all but the last column (the text), which can stay, followed by the added columns."""
+    return StructType(rows.schema.fields[: None if keep_text else -1] + StructType.fromDDL(added).fields)

@@ -281,11 +281,14 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Ite
         yield block
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[Column], params: LeakParameters = LeakParameters(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The columns ``keep`` of every row with ``leaks``: item, edits, found windows of all its windows, words of the region."""
+def with_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[Column], params: LeakParameters = LeakParameters(), text: str = "text", item_id: str = "item_id", item_text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The columns ``keep`` of every row with ``leaks``: item, edits, found windows of all its windows, words of the region.
+
+    With ``keep_text`` the text follows ``keep`` as ``_text``, so that it need not go to the tasks twice.
+    """
     rows = docs.select(*keep, F.col(text).alias("_text"), F.lit(None).cast(RESULT_SQL).alias("leaks"))
     schema = rows.schema
     for block in item_blocks(benchmark, item_id, item_text, params.block_bytes):
         index = docs.sparkSession.sparkContext.broadcast(LeakIndex(block, params))
         rows = rows.mapInArrow(_searched(index), schema)
-    return rows.drop("_text")
+    return rows if keep_text else rows.drop("_text")

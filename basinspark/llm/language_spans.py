@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,12 +65,12 @@ def script_of(codes: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.array(SCRIPT_STARTS), codes, side="right") - 1
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trigram and script counts of the words of each language; scripts follow the trigram cells."""
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
-        for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            words = LETTERS.findall((text or "").lower())
+        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+            lang, words = lang.as_py(), LETTERS.findall((text.as_py() or "").lower())
             if not words:
                 continue
             own = sums.setdefault(lang, np.zeros((1 << BITS) + len(SCRIPT_STARTS), dtype=np.int64))
@@ -81,14 +80,15 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             own[1 << BITS :] += np.bincount(script_of(codes[codes != 32]), minlength=len(SCRIPT_STARTS))
     for lang, own in sums.items():
         cells = np.flatnonzero(own)
-        yield pd.DataFrame({"lang": lang, "cell": cells, "n": own[cells]})
+        columns = [pa.array([lang] * len(cells), pa.string()), pa.array(cells, pa.int32()), pa.array(own[cells], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "cell", "n"])
 
 
 def fit_languages(labelled: DataFrame, params: SpanParameters = SpanParameters(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Fit on texts with a language; the counts that reach the driver have a row for each language and cell at most."""
     usable = labelled.where(F.col(lang).isNotNull() & (F.col(lang) != UNKNOWN))
     rows = sampled(usable, params.sample_rows, usable.select(lang).count(), doc_id).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = rows.mapInPandas(_counted, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(_counted, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = counts.toPandas()
     languages = tuple(sorted(found["lang"].unique()))
     sums = np.zeros(((1 << BITS) + len(SCRIPT_STARTS), len(languages)))
@@ -168,14 +168,14 @@ def _summary(model: LanguageModel, words: list[str], scores: np.ndarray, labels:
     return model.languages[best], float(share * sure), spans
 
 
-def _labelled(model: LanguageModel, params: SpanParameters):
-    """Task function: append prediction, score and spans to batches whose last column is the text."""
+def _labelled(model: LanguageModel, params: SpanParameters, keep_text: bool):
+    """Task function: append prediction, score and spans to batches whose last column is the text, which can stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordScores(lambda words: model.score(words, params.worst), len(model.languages))
         for batch in batches:
             results: list[tuple] = [(UNKNOWN, 0.0, [])] * batch.num_rows
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = (t.as_py() for t in batch.column(batch.num_columns - 1))
             waiting: list[tuple[int, list[str], np.ndarray, str]] = []
 
             def decided(waiting=waiting, results=results) -> None:
@@ -203,16 +203,19 @@ def _labelled(model: LanguageModel, params: SpanParameters):
                     decided()
             if waiting:
                 decided()
-            del texts
+            kept = batch.num_columns - (not keep_text)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([r[0] for r in results], pa.string()), pa.array([r[1] for r in results], pa.float64()), pa.array([r[2] for r in results], _ARROW_SPANS)],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "spans"],
+                [*batch.columns[:kept], pa.array([r[0] for r in results], pa.string()), pa.array([r[1] for r in results], pa.float64()), pa.array([r[2] for r in results], _ARROW_SPANS)],
+                names=[*batch.schema.names[:kept], "lang_pred", "score", "spans"],
             )
 
     return run
 
 
-def identified(docs: DataFrame, model: LanguageModel, keep: list[Column], params: SpanParameters = SpanParameters(), text: str = "text") -> DataFrame:
-    """The columns ``keep`` of every row with ``lang_pred``, ``score`` and ``spans`` (offsets in characters of the text)."""
+def identified(docs: DataFrame, model: LanguageModel, keep: list[Column], params: SpanParameters = SpanParameters(), text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The columns ``keep`` of every row with ``lang_pred``, ``score`` and ``spans`` (offsets in characters of the text).
+
+    With ``keep_text`` the text follows ``keep`` as ``_text``, so that it need not go to the tasks twice.
+    """
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(_labelled(model, params), extended(rows, RESULT))
+    return rows.mapInArrow(_labelled(model, params, keep_text), extended(rows, RESULT, keep_text))

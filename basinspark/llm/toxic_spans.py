@@ -193,14 +193,14 @@ RESULT = "score double, offsets array<struct<begin:int,end:int>>"
 _ARROW_OFFSETS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
-def _scored(model: ToxicModel):
-    """Task function: append score and offsets of toxic tokens to batches whose last column is the text."""
+def _scored(model: ToxicModel, keep_text: bool):
+    """Task function: append score and offsets of toxic tokens to batches whose last column is the text, which can stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None if model.weights is None else WordScores(lambda words: emissions(model, words), 1)
         for batch in batches:
             scores, offsets = [], []
-            for _, texts in chunked(batch.column(batch.num_columns - 1).to_pylist(), CHUNK):
+            for _, texts in chunked((t.as_py() for t in batch.column(batch.num_columns - 1)), CHUNK):
                 if table is None:
                     scores += [model.rate] * len(texts)
                     offsets += [[]] * len(texts)
@@ -209,8 +209,9 @@ def _scored(model: ToxicModel):
                     scores.append(document_score(model, p))
                     bad = set(np.flatnonzero(p >= 0.5).tolist())
                     offsets.append([{"begin": m.start(), "end": m.end()} for i, m in enumerate(LETTERS.finditer(text)) if i in bad] if bad else [])
+            kept = batch.num_columns - (not keep_text)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array(offsets, _ARROW_OFFSETS)], names=[*batch.schema.names[:-1], "score", "offsets"]
+                [*batch.columns[:kept], pa.array(scores, pa.float64()), pa.array(offsets, _ARROW_OFFSETS)], names=[*batch.schema.names[:kept], "score", "offsets"]
             )
 
     return run
@@ -314,7 +315,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicParameters = T
     return ToxicModel(weights, moves, document, params.bits, rate)
 
 
-def toxicity_scored(docs: DataFrame, model: ToxicModel, keep: list[Column], text: str = "text") -> DataFrame:
-    """The columns ``keep`` of every row with ``score`` and the ``offsets`` of toxic tokens in its text."""
+def toxicity_scored(docs: DataFrame, model: ToxicModel, keep: list[Column], text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The columns ``keep`` of every row with ``score`` and the ``offsets`` of toxic tokens in its text.
+
+    With ``keep_text`` the text follows ``keep`` as ``_text``, so that it need not go to the tasks twice.
+    """
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(_scored(model), extended(rows, RESULT))
+    return rows.mapInArrow(_scored(model, keep_text), extended(rows, RESULT, keep_text))

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def chunked(texts: Sequence[str | None], characters: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+def chunked(texts: Iterable[str | None], characters: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about so many characters with the index of their first; NULL becomes the empty text."""
     first, run, size = 0, [], 0
     for i, text in enumerate(texts):
