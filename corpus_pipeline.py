@@ -9,7 +9,7 @@ doc_id is NULL passes the stages like any other; of rows that repeat, one stays
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinspark.llm.common import stored, table, words
@@ -24,20 +24,30 @@ LEAST_LANGUAGE_SCORE = 0.5
 TOXIC_SCORE = 0.5
 
 
+def without_text(docs: DataFrame) -> list[Column]:
+    """All columns but the text as one, which keeps their names apart from those of an operator; the text goes beside it."""
+    return [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row")]
+
+
+def restored(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents from ``_row`` and ``_text``."""
+    return rows.select(*[(F.col("_text") if c == "text" else F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep texts of a learned language; where no row has a language, nothing can be judged and all rows stay."""
     model = fit_languages(docs)
     if not model.languages:
         return docs
-    rows = identified(docs, model, [F.struct("*").alias("_row")])
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("_row.*")
+    rows = identified(docs, model, without_text(docs), keep_text=True)
+    return restored(rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts that the labelled ones among the rows say are toxic."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    rows = toxicity_scored(docs, model, [F.struct("*").alias("_row")])
-    return rows.where(F.col("score") < TOXIC_SCORE).select("_row.*")
+    rows = toxicity_scored(docs, model, without_text(docs), keep_text=True)
+    return restored(rows.where(F.col("score") < TOXIC_SCORE), docs.columns)
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +71,8 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts that hold a passage of a benchmark item."""
-    rows = with_leaks(docs, table(spark, sf_dir, "benchmark"), [F.struct("*").alias("_row")])
-    return rows.where(F.coalesce(F.size("leaks"), F.lit(0)) <= 0).select("_row.*")
+    rows = with_leaks(docs, table(spark, sf_dir, "benchmark"), without_text(docs), keep_text=True)
+    return restored(rows.where(F.coalesce(F.size("leaks"), F.lit(0)) <= 0), docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
