@@ -109,3 +109,42 @@ def test_weights_are_poisson():
     weights = forest.poisson_weights(np.arange(200_000), 5, 42)
     assert abs(weights.mean() - 1) < 0.01 and abs(weights.var() - 1) < 0.02
     assert (weights == forest.poisson_weights(np.arange(200_000), 5, 42)).all() and (weights != forest.poisson_weights(np.arange(200_000), 6, 42)).any()
+
+
+def counted(monkeypatch, name):
+    """Make a step of the forest report what it gave."""
+    given, real = [], getattr(forest, name)
+    monkeypatch.setattr(forest, name, lambda *args: given.append(real(*args)) or given[-1])
+    return given
+
+
+@pytest.mark.parametrize(
+    ("local_rows", "depth", "least", "pass_bytes"),
+    [(100_000, 30, 1, 1 << 30), (100_000, 30, 1, 20_000), (20, 4, 4, 1 << 30)],
+)
+def test_cells_of_equal_bins_grow_the_same_trees(spark, monkeypatch, local_rows, depth, least, pass_bytes):
+    """Rows added up by cell, in one and in several passes, against plain recursion over the rows."""
+    monkeypatch.setattr(forest, "PART_BYTES", 20_000)
+    df, given = data(spark, 1500, 11, True), counted(monkeypatch, "_cells")
+    params = forest.ForestParameters(trees=3, depth=depth, least_rows=least, local_rows=local_rows, pass_bytes=pass_bytes)
+    trees = forest.fit_trees(df, "_features", TARGETS, params)
+    stored = given[0].groupBy("tree").agg(forest.F.sum("n").alias("n")).collect()
+    assert len(stored) == 3 and max(r["n"] for r in stored) < 200
+    rows = df.withColumn("id", forest.F.monotonically_increasing_id()).toPandas()
+    x, y, ids = np.stack(rows["_features"].map(lambda v: v.toArray())), rows[TARGETS].to_numpy(), rows["id"].to_numpy()
+    for tree in range(3):
+        weights = forest.poisson_weights(ids, tree, params.seed).astype(float)
+        drawn = weights > 0
+        grown = brute_tree(x[drawn], y[drawn] - y.mean(axis=0), weights[drawn], depth, least)
+        one = forest.scored(df, "_features", trees.where(f"tree = {tree}"), ["p1", "p2", "p3"]).select("p1", "p2", "p3").toPandas().to_numpy()
+        assert np.allclose(one[drawn], np.array([brute_value(grown, r) for r in x[drawn]]) + y.mean(axis=0), atol=1e-8)
+
+
+def test_weights_by_slices_equal_those_by_steps():
+    """The drawn weights are those of the steps of the distribution, bit by bit."""
+    ids = np.arange(300_000) * 8_589_934_592 + 17
+    state = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(((42 << 20) + 4) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        state = (state ^ (state >> np.uint64(shift))) * np.uint64(factor)
+    uniform = ((state ^ (state >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    assert (forest.poisson_weights(ids, 3, 42) == np.searchsorted(np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 18)])), uniform, side="right")).all()
