@@ -13,13 +13,14 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basinspark.operators.distinct import by_distinct
 from basinspark.operators.ensemble import union_models
 from basinspark.operators.features import Scaler
 from basinspark.operators.forest import TREE, ForestParameters, fit_trees, scored
@@ -105,14 +106,10 @@ class LinearFit:
         features, phases = self.kernel.frequencies, self.kernel.phases
         coefficients, intercepts = self.coefficients, self.intercepts
 
-        @F.pandas_udf("array<double>")
-        def outputs_of(batch: pd.Series) -> pd.Series:
-            if batch.empty:
-                return pd.Series([], dtype=object)
-            waves_of = np.sqrt(2 / len(phases)) * np.cos(np.stack(batch.to_numpy()) @ features + phases)
-            return pd.Series(list(waves_of @ coefficients + intercepts))
+        def outputs_of(x: np.ndarray) -> np.ndarray:
+            return np.sqrt(2 / len(phases)) * np.cos(x @ features + phases) @ coefficients + intercepts
 
-        scored = df.withColumn("_outputs", outputs_of(vector_to_array(F.col(_X))))
+        scored = df.withColumn("_outputs", by_distinct(outputs_of)(vector_to_array(F.col(_X))))
         return scored.withColumns({t: F.get("_outputs", i) for i, t in enumerate(self.targets)}).drop("_outputs")
 
 
@@ -130,39 +127,69 @@ class ForestFit:
 
 #: Most bytes of partial sums that the tasks of one pass send; where more tasks would exceed it, partitions are joined.
 SUM_BYTES = 8 << 30
+#: Different feature vectors whose rows a task joins before it multiplies.
+FOLDED_ROWS = 10_000
 
 
 def _many_products(df: DataFrame, targets: Sequence[str], kernels: Sequence[KernelFeatures | None]) -> list[np.ndarray]:
     """For each kernel the sums of products of (1, features, targets) over all rows with complete targets, in one pass.
 
-    Each task adds up its own rows, and the sums of the tasks are added by kernel and matrix row. Tasks get plain arrays
-    and do not need this package.
+    Each task adds up its own rows, and the sums of the tasks are added by kernel and matrix row. Rows of equal features
+    count as one with their number and target sums, as long as a task holds at most ``FOLDED_ROWS`` of them at a time. Tasks
+    get plain arrays and do not need this package.
     """
+    most = FOLDED_ROWS
     waves_of = [None if k is None else (k.frequencies, k.phases) for k in kernels]
     inputs = df.na.drop(subset=list(targets)).select(
         vector_to_array(F.col(_X)).alias("x"), F.array(*[F.col(f"`{t}`").cast("double") for t in targets]).alias("y")
     )
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: list[np.ndarray | None] = [None] * len(waves_of)
-        for batch in batches:
-            if batch.empty:
-                continue
-            x, y = np.stack(batch["x"].to_numpy()), np.stack(batch["y"].to_numpy())
+        place: dict[bytes, int] = {}
+        kept: list[np.ndarray] = []
+        sums: np.ndarray | None = None  # counts and target sums of the rows of each place
+        squares = 0.0
+
+        def add() -> None:
+            x = np.concatenate(kept)
             for number, wave in enumerate(waves_of):
                 z = x if wave is None else np.sqrt(2 / len(wave[1])) * np.cos(x @ wave[0] + wave[1])
-                rows = np.hstack([np.ones((len(z), 1)), z, y])
-                own = rows.T @ rows
+                z = np.hstack([np.ones((len(z), 1)), z])
+                with_y = z.T @ sums[:, 1:]
+                own = np.block([[(z * sums[:, :1]).T @ z, with_y], [with_y.T, squares]])
                 totals[number] = own if totals[number] is None else totals[number] + own
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, y = (np.ascontiguousarray(batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)) for name in ("x", "y"))
+            size = 8 * x.shape[1]
+            packed, first, cell = np.unique(x.view(np.dtype((np.void, size))).ravel(), return_index=True, return_inverse=True)
+            raw, old = packed.tobytes(), len(place)
+            at = np.array([place.setdefault(raw[i : i + size], len(place)) for i in range(0, len(raw), size)])
+            kept.append(x[first[at >= old]])
+            own = np.zeros((len(place), 1 + y.shape[1]))
+            if sums is not None:
+                own[:old] = sums
+            own[at] += np.column_stack([np.bincount(cell, column, len(packed)) for column in (np.ones(len(x)), *y.T)])
+            sums = own
+            squares = squares + y.T @ y
+            if len(place) >= most:
+                add()
+                place, kept, sums, squares = {}, [], None, 0.0
+        if place:
+            add()
         for number, total in enumerate(totals):
             if total is not None:
-                yield pd.DataFrame({"kernel": number, "line": np.arange(len(total)), "products": list(total)})
+                names, columns = ["kernel", "line", "products"], [np.full(len(total), number, np.int32), np.arange(len(total)), list(total)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.list_(pa.float64())), strict=True)], names)
 
     width = max(0 if k is None else k.n_features for k in kernels) + len(targets) + 64
     tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, SUM_BYTES // (8 * width * width * len(kernels)))
     sums = (
         inputs.coalesce(tasks)
-        .mapInPandas(partial, "kernel int, line long, products array<double>")
+        .mapInArrow(partial, "kernel int, line long, products array<double>")
         .groupBy("kernel", "line")
         .agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("products")))).alias("products"))
     )

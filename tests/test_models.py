@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basinspark.operators import features, models
+from basinspark.operators.distinct import by_distinct
 from basinspark.plans.forecast import forecast, published_by_lead
 from basinspark.plans.training import train
 from basinspark.plans.verification import verify
@@ -200,3 +201,32 @@ def test_training_forecast_and_verification(spark, tmp_path):
     skill = {r.group: r for r in verify(wide, long).collect()}
     assert set(skill) == {"All", "Components", "Precipitation", "Evaporation", "Runoff", "CNBS"}
     assert skill["All"].n_pairs == 48 * 16 and skill["All"].r2 == pytest.approx(1.0, abs=1e-3)
+
+
+def test_equal_features_are_multiplied_once(spark, monkeypatch):
+    """Sums of products of rows that occur again, joined as long as few are held, against those of all rows."""
+    source = np.random.default_rng(5)
+    frame = pd.DataFrame({"a": source.integers(0, 4, 3000) / 3, "b": source.integers(0, 3, 3000) / 7, "y": source.normal(size=3000), "z": source.normal(size=3000)})
+    df = models.assemble(spark.createDataFrame(frame).repartition(2), ["a", "b"])
+    kernel = models.KernelFeatures(n_inputs=2, n_features=7)
+    for most in (10_000, 5):
+        monkeypatch.setattr(models, "FOLDED_ROWS", most)
+        for found, z in zip(models._many_products(df, ["y", "z"], [kernel, None]), (kernel.waves(frame[["a", "b"]].to_numpy()), frame[["a", "b"]].to_numpy()), strict=True):
+            whole = np.hstack([np.ones((3000, 1)), z, frame[["y", "z"]].to_numpy()])
+            assert np.allclose(found, whole.T @ whole, rtol=1e-10, atol=1e-9)
+
+
+def test_equal_rows_are_computed_once(spark):
+    """Every row has its result, whether it is new, kept, or past what a task keeps; few rows are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def doubled(x):
+        seen.add(len(x))
+        return x * 2
+
+    values = F.array((F.col("id") % 50).cast("double"), F.lit(1.0))
+    df = spark.range(60_000, numPartitions=2)
+    for most, limit in ((100, 100), (10, 2000)):
+        before = seen.value
+        wrong = df.withColumn("out", by_distinct(doubled, most)(values)).where("out[0] <> 2 * (id % 50) OR out[1] <> 2 OR size(out) <> 2")
+        assert wrong.count() == 0 and 0 < seen.value - before <= limit
