@@ -11,7 +11,12 @@ from basinspark.functions.calendar import days_in_month
 from basinspark.functions.names import name_part, recoded
 from basinspark.functions.numbers import mean, null_if_nan
 from basinspark.schemas import LAKE_NAMES
-from basinspark.session import size_checked
+from basinspark.session import broadcast_if_small, persisted, size_checked
+
+#: Pairs of field row and weight that one task joins and sums where they are dealt by target.
+TASK_PAIRS = 1_000_000
+#: Targets per cell up to which small weights are broadcast; beyond it a few rows of the field make too many pairs.
+MOST_TARGETS = 64
 
 
 def crop(
@@ -94,10 +99,11 @@ def weighted_neighbours(
 ) -> DataFrame:
     """The field once per target that a cell is a neighbour of, cropped to the cells that any target needs.
 
-    The weights are written when this is called, and broadcast if they are small, which holds for any regional mask.
-    The bounds of their cells are scalar subqueries, so the scan of the field can skip row groups.
+    The weights are written when this is called, and broadcast if they are small and name few targets per cell, which holds
+    for any regional mask. The bounds of their cells are scalar subqueries, so the scan of the field can skip row groups.
+    Other weights are dealt by target, see :func:`_dealt`.
     """
-    table = size_checked(
+    written = persisted(
         weights.select(
             *[F.col(name).alias(f"_t{i}") for i, name in enumerate(target)],
             F.col("src_lat_i").alias("_sy"),
@@ -107,13 +113,40 @@ def weighted_neighbours(
             F.col("n_sources").alias("_needed"),
         )
     )
-    extent = table.select(F.col("_sy").alias(source[0]), F.col("_sx").alias(source[1]))
+    table = broadcast_if_small(written)
+    extent = written.select(F.col("_sy").alias(source[0]), F.col("_sx").alias(source[1]))
     field = crop(grid, extent, source[0], source[1]).select(
         *columns, F.col(source[0]).alias("_sy"), F.col(source[1]).alias("_sx")
     )
+    per_cell = written.groupBy("_sy", "_sx").agg(F.count(F.lit(1)).alias("n")).agg(F.avg("n")).first()[0] or 0
+    if table is written or per_cell > MOST_TARGETS:
+        return _dealt(field, written, [f"_t{i}" for i in range(len(target))])
     return field.join(table, ["_sy", "_sx"])
 
 
+def _dealt(field: DataFrame, weights: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The join of field and weights in tasks that make about ``TASK_PAIRS`` rows each, however many share a cell.
+
+    The field is written when this is called, and the pairs are counted per cell. A small field goes to all tasks, and all
+    neighbours of a target meet in one of them. Otherwise the targets of a cell are dealt over as many slices as its pairs
+    ask for, and each row of the field goes to the slices of its cell.
+    """
+    cells = ["_sy", "_sx"]
+    field = persisted(field)
+    near = weights.groupBy(*cells).agg(F.count(F.lit(1)).alias("_near"))
+    counts = field.groupBy(*cells).agg(F.count(F.lit(1)).alias("_rows")).join(near, cells).withColumn("_pairs", F.col("_rows") * F.col("_near"))
+    pairs = counts.agg(F.sum("_pairs")).first()[0] or 0
+    tasks = max(1, -(-pairs // TASK_PAIRS))
+    small = broadcast_if_small(field)
+    if small is not field:
+        return weights.repartition(tasks, *names).join(small, cells)
+    slices = size_checked(counts.select(*cells, F.ceil(F.col("_pairs") / TASK_PAIRS).cast("int").alias("_slices")))
+    dealt = weights.join(slices, cells).withColumn("_slice", F.pmod(F.xxhash64(*names), F.col("_slices")).cast("int")).drop("_slices")
+    copied = field.join(slices, cells).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))).drop("_slices")
+    keys = [*cells, "_slice"]
+    return copied.repartition(tasks, *keys).join(dealt.repartition(tasks, *keys), keys).drop("_slice")
+
+
 def regrid(
     grid: DataFrame,
     weights: DataFrame,

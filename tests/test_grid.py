@@ -191,3 +191,25 @@ def test_ingest_in_parts_equals_one_batch(spark, tmp_path, mask):
     target = str(tmp_path / "later")
     ingest("c", after_run=1)
     assert {r.run for r in spark.read.parquet(target).collect()} == {2}
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_many_targets_per_cell_are_dealt_over_tasks(spark, monkeypatch, whole):
+    """A few cells with many targets, with the field sent to all tasks or dealt, against the broadcast of the weights."""
+    places = spark.range(400).selectExpr("id AS target", "(id % 61) / 20 AS lat", "(id % 37) / 10 AS lon")
+    weights = grid.bilinear_weights(places, 0.0, 1.0, 4, 0.0, 1.0, 5, target=["target"])
+    cells = field(spark, lambda i, j: 10 * i + j * j, skip={(2, 2)}).withColumn("run", F.explode(F.array(F.lit(1), F.lit(2))))
+    cells = cells.unionByName(cells.withColumn("value", F.col("value") + F.lit(4.0)))
+    monkeypatch.setattr(grid, "MOST_TARGETS", 10_000)
+    expected = rows(grid.regrid(cells, weights, ["run"], target=["target"]))
+    monkeypatch.setattr(grid, "MOST_TARGETS", 64)
+    monkeypatch.setattr(grid, "TASK_PAIRS", 100)
+    if not whole:
+        monkeypatch.setattr(grid, "broadcast_if_small", lambda side: side)
+    found = grid.regrid(cells, weights, ["run"], target=["target"])
+    sizes = [len(part) for part in found.rdd.glom().collect()]
+    found = rows(found)
+    assert [r[:2] for r in found] == [r[:2] for r in expected] and len(found) > 700
+    assert [r[2] is None for r in found] == [r[2] is None for r in expected]
+    assert [r[2] or 0.0 for r in found] == pytest.approx([r[2] or 0.0 for r in expected], rel=1e-12)
+    assert not whole or max(sizes) < len(found) / 8
