@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
 
+from basinspark.catalog import QUERIES, load_all
 from basinspark.operators import forest, models
 from basinspark.session import persisted
 
@@ -148,3 +151,15 @@ def test_weights_by_slices_equal_those_by_steps():
         state = (state ^ (state >> np.uint64(shift))) * np.uint64(factor)
     uniform = ((state ^ (state >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
     assert (forest.poisson_weights(ids, 3, 42) == np.searchsorted(np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 18)])), uniform, side="right")).all()
+
+
+@pytest.mark.parametrize("query", ["ensemble_linear_mean", "forest_joint_targets"])
+def test_queries_grow_their_forests_from_cells(spark, monkeypatch, query):
+    """The trees of few different inputs come from cells, whose number does not grow with the rows."""
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not there")
+    load_all()
+    given = counted(monkeypatch, "_cells")
+    assert QUERIES[query](spark, folder).count() > 0
+    assert len(given) == 1 and max(r["n"] for r in given[0].groupBy("tree").agg(forest.F.sum("n").alias("n")).collect()) <= 63
