@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,6 +16,8 @@ from basinspark.session import fresh_folder
 #: White space of the word rule; everything else belongs to a word.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: Rows that a task holds at a time where they are whole texts or long arrays; Spark's own numbers are 4,096 and 10,000.
+FEW_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": "512", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,3 +89,35 @@ def sequences_by_time(lengths):
 def extended(rows: DataFrame, added: str, keep_text: bool = False) -> StructType:
     """The schema of all but the last column (the text), which can stay, followed by the added columns."""
     return StructType(rows.schema.fields[: None if keep_text else -1] + StructType.fromDDL(added).fields)
+
+
+@contextlib.contextmanager
+def few_rows_at_a_time(spark: SparkSession) -> Iterator[None]:
+    """Scans and Python tasks of the jobs that run inside hold ``FEW_ROWS`` at a time; the session's own numbers come back."""
+    before = {name: spark.conf.get(name) for name in FEW_ROWS}
+    for name, most in FEW_ROWS.items():
+        spark.conf.set(name, str(min(int(most), int(before[name]) if int(before[name]) > 0 else int(most))))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The task function, after which its worker keeps no freed memory: workers are used again, and wait beside other stages."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import dropped, stored
+from basinspark.llm.common import dropped, few_rows_at_a_time, lean, stored
 from basinspark.session import broadcast_if_small
 
 
@@ -226,7 +226,7 @@ class NgramJoin:
         self.texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
         schema = "doc_id long, n int, node long, check long, gram long, copies long"
         for self.seed in range(4):
-            facts = self._stored(self.texts.mapInArrow(_digests(self.seed, params), schema), "digests")
+            facts = self._stored(self.texts.mapInArrow(lean(_digests(self.seed, params)), schema), "digests")
             self.documents = facts.where("n IS NOT NULL").select("doc_id", "n", "node", "check")
             classes = self.documents.where("node IS NOT NULL").groupBy("node").agg(
                 F.min("doc_id").alias("rep"), F.first("n").alias("n"), (F.min("check") != F.max("check")).alias("clash")
@@ -255,7 +255,7 @@ class NgramJoin:
 
     def meetings(self) -> DataFrame:
         """Prefix shingles that at least two classes share: a row per shingle and class."""
-        entries = self.texts.select("text").mapInArrow(_prefixes(self.seed, self.heavy, self.params), "gram long, node long, n int, at int")
+        entries = self.texts.select("text").mapInArrow(lean(_prefixes(self.seed, self.heavy, self.params)), "gram long, node long, n int, at int")
         ordered = Window.partitionBy("gram").orderBy("node")
         last = F.last("node").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         seen = entries.withColumns({"prev": F.lag("node").over(ordered), "first": F.first("node").over(ordered), "last": last})
@@ -344,7 +344,7 @@ class NgramJoin:
         few = wanted.limit(p.broadcast_rows + 1).count() <= p.broadcast_rows
         side = F.broadcast(wanted) if few else wanted
         texts = self.texts.join(side, self.texts["doc_id"].eqNullSafe(side["rep"]), "left_semi").select("text")
-        parts = self._stored(texts.mapInArrow(_fragments(self.seed, p), "node long, fragment int, grams array<long>"), "fragments")
+        parts = self._stored(texts.mapInArrow(lean(_fragments(self.seed, p)), "node long, fragment int, grams array<long>"), "fragments")
         left = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x")).join(broadcast_if_small(pairs), "a")
         both = left.join(parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y")), ["b", "fragment"])
         partial = both.select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("x", "y")).alias("shared"))
@@ -435,8 +435,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     The join runs when this is called, as its second round depends on the first; the result is a written table.
     """
-    join = NgramJoin(docs, doc_id, text, params)
-    try:
-        return stored(join.members(), "members")[0]
-    finally:
-        join.close()
+    with few_rows_at_a_time(docs.sparkSession):
+        join = NgramJoin(docs, doc_id, text, params)
+        try:
+            return stored(join.members(), "members")[0]
+        finally:
+            join.close()

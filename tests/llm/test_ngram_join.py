@@ -65,3 +65,21 @@ def test_frequent_shingles_take_little_beyond_their_block():
     both = [ngram_join.shingles(t, 0, 5) for t in (texts[0], texts[1])]
     assert often == {int(g): 2 for grams in both for g in grams.view(np.int64)}
     assert peak < 2.5 * 8 * params.heavy_block, peak
+
+
+def test_tasks_hold_few_rows_and_give_memory_back(spark, monkeypatch):
+    """Every job of the join runs with few rows at a time, the session's numbers stay, and a task ends by giving memory back."""
+    from basinspark.llm import common
+
+    names, within, given = list(common.FEW_ROWS), [], []
+    before = {name: spark.conf.get(name) for name in names}
+    write = ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: (within.append({x: spark.conf.get(x) for x in names}), write(df, name))[1])
+    rows = ngram_join.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")).collect()
+    assert [r["component_id"] for r in rows] == [1, 1]
+    assert within and all(int(w[x]) <= int(common.FEW_ROWS[x]) < int(before[x]) for w in within for x in names), within
+    assert {name: spark.conf.get(name) for name in names} == before
+
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a b"])], names=["doc_id", "text"])
+    assert list(common.lean(lambda batches: batches)(iter([batch]))) == [batch] and given == [1]
