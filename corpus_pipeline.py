@@ -18,6 +18,7 @@ from basinspark.llm.language_spans import UNKNOWN, fit_languages, identified
 from basinspark.llm.mixing import mixed
 from basinspark.llm.ngram_join import near_duplicates
 from basinspark.llm.toxic_spans import fit_toxicity, toxicity_scored
+from basinspark.session import broadcast_if_small
 
 #: A text goes when less than this share of its letters is surely in one learned language.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -58,15 +59,26 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     members = near_duplicates(docs.select("doc_id", "text"))
     if members.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
-        keys = members.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-        return docs.join(keys, "doc_id", "left_semi").select(*docs.columns)
+        return staying(docs, members.select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("_stays")), "doc_id")
     numbered, _ = stored(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")), "numbered")
     members = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")))
-    placed = numbered.join(members.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id"), "_row")
-    order = F.struct(F.col("_doc.doc_id").isNull().alias("last"), F.col("_doc.doc_id").alias("id"), F.xxhash64("_doc").alias("hash"), "_row")
-    first = placed.where("n_shingles > 0").groupBy("component_id").agg(F.min(order)["_row"].alias("_row"))
-    kept = first.select("_row").unionByName(members.where("n_shingles = 0").select(F.col("doc_id").alias("_row")))
-    return numbered.join(kept, "_row", "left_semi").select("_doc.*")
+    facts = numbered.select("_row", F.col("_doc.doc_id").alias("id"), F.xxhash64("_doc").alias("hash"))
+    placed = facts.join(members.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id"), "_row")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "_row")
+    first = placed.where("n_shingles > 0").groupBy("component_id").agg(F.min(order)["_row"].alias("_row")).select("_row", F.lit(True).alias("_first"))
+    kept = F.coalesce("_first", F.col("n_shingles") == 0)
+    marked, _ = stored(placed.select("_row", "n_shingles").join(first, "_row", "left").select("_row", kept.alias("_stays")), "marked")
+    return staying(numbered, marked, "_row").select("_doc.*")
+
+
+def staying(docs: DataFrame, marked: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is marked ``_stays``; every row has a key of its own, and ``marked`` is a written table.
+
+    The shorter of the lists of staying and going keys meets the rows, broadcast if it is small, so that texts are not shuffled.
+    """
+    lists = [marked.where("_stays").select(key), marked.where("NOT _stays").select(key)]
+    how, keys = min(zip(("left_semi", "left_anti"), lists, strict=True), key=lambda x: x[1].count())
+    return docs.join(broadcast_if_small(keys), key, how).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,24 @@ def test_rows_with_one_id_are_told_apart(spark, folder):
     assert [r[1].startswith(other) for r in kept if r[0] == 5] == [True]
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_texts_are_not_shuffled_to_drop_copies(spark, folder, tmp_path, repeated):
+    """The rows that stay are found by a list of ids, the shorter one, beside which the texts keep their tasks."""
+    rows = [(i, f"some words of text {i} and no other", "en") for i in range(40)] + [(40, "some words of text 1 and no other", "en")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows + [(None, None, "en")] * repeated, "doc_id long, text string, lang string").write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = corpus_pipeline.duplicates(spark, spark.read.parquet(path), folder)
+        ids = [r[0] for r in found.collect()]
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(i for i in ids if i is not None) == list(range(40)) and len(ids) == 40 + repeated
+    assert "SortMergeJoin" not in plan and "LeftAnti" in plan, plan
+
+
 def test_empty_table_passes_all_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
