@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basinspark.llm.common import lean
+
 TABLE_BITS = 20
 GAP = 256  # zero bytes between texts, longer than a band is wide
 
@@ -290,5 +292,5 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[Column], params
     schema = rows.schema
     for block in item_blocks(benchmark, item_id, item_text, params.block_bytes):
         index = docs.sparkSession.sparkContext.broadcast(LeakIndex(block, params))
-        rows = rows.mapInArrow(_searched(index), schema)
+        rows = rows.mapInArrow(lean(_searched(index)), schema)
     return rows if keep_text else rows.drop("_text")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import extended, sampled, sequences_by_time
+from basinspark.llm.common import extended, lean, sampled, sequences_by_time
 from basinspark.llm.word_tables import LETTERS, WordScores, chunked, padded, trigram_cells
 
 UNKNOWN = "und"
@@ -218,4 +218,4 @@ def identified(docs: DataFrame, model: LanguageModel, keep: list[Column], params
     With ``keep_text`` the text follows ``keep`` as ``_text``, so that it need not go to the tasks twice.
     """
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(_labelled(model, params, keep_text), extended(rows, RESULT, keep_text))
+    return rows.mapInArrow(lean(_labelled(model, params, keep_text)), extended(rows, RESULT, keep_text))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import dropped, extended, sampled, sequences_by_time, stored
+from basinspark.llm.common import dropped, extended, lean, sampled, sequences_by_time, stored
 from basinspark.llm.word_tables import LETTERS, WordScores, chunked
 from basinspark.session import broadcast_if_small
 
@@ -321,4 +321,4 @@ def toxicity_scored(docs: DataFrame, model: ToxicModel, keep: list[Column], text
     With ``keep_text`` the text follows ``keep`` as ``_text``, so that it need not go to the tasks twice.
     """
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(_scored(model, keep_text), extended(rows, RESULT, keep_text))
+    return rows.mapInArrow(lean(_scored(model, keep_text)), extended(rows, RESULT, keep_text))

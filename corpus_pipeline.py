@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinspark.llm.common import stored, table, words
+from basinspark.llm.common import few_rows_at_a_time, stored, table, words
 from basinspark.llm.decontamination import with_leaks
 from basinspark.llm.language_spans import UNKNOWN, fit_languages, identified
 from basinspark.llm.mixing import mixed
@@ -109,5 +109,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs, _ = stored(stage(spark, docs, sf_dir), name)
+        with few_rows_at_a_time(spark):
+            docs, _ = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

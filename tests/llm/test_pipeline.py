@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from basinspark.llm import common
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +72,23 @@ def test_texts_are_not_shuffled_to_drop_copies(spark, folder, tmp_path, repeated
     assert "SortMergeJoin" not in plan and "LeftAnti" in plan, plan
 
 
+def test_stages_are_written_a_few_rows_at_a_time(spark, folder, monkeypatch):
+    """The jobs that write a stage hold few rows at a time, the session's numbers come back, and the search of leaks gives memory back."""
+    from basinspark.llm import decontamination
+
+    names, within, given = list(common.FEW_ROWS), [], []
+    before = {name: spark.conf.get(name) for name in names}
+    write, give = corpus_pipeline.stored, decontamination.lean
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: (within.append({x: spark.conf.get(x) for x in names}), write(df, name))[1])
+    monkeypatch.setattr(decontamination, "lean", lambda run: (given.append(run), give(run))[1])
+    kept = dict(corpus_pipeline.STAGES)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, kept[name]) for name in ("decontamination", "mixture")])
+    rows = corpus_pipeline.run(spark, folder)
+    assert 5000 not in {r["doc_id"] for r in rows.collect()}
+    assert within and given and all(int(w[x]) <= int(common.FEW_ROWS[x]) < int(before[x]) for w in within for x in names), within
+    assert {name: spark.conf.get(name) for name in names} == before
+
+
 def test_empty_table_passes_all_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
